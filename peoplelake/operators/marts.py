@@ -17,7 +17,7 @@ from peoplelake.functions.metrics import exact_mean, exact_sum, ratio, total_whe
 
 WEIGHT = "n"
 # Sample points of the salary distributions. Fixed values.
-PERCENTILES = {"p25": 0.25, "median": 0.5, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
+PERCENTILES = {"median": 0.5, "p25": 0.25, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
 DEFAULT_ACCURACY = 10_000
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -252,6 +254,7 @@ def build_all(
     files: int = 1,
     strict: bool = False,
     accuracy: int = op.DEFAULT_ACCURACY,
+    concurrent_marts: int = 4,
 ) -> DataFrame:
     """Build, write and validate the selected marts; returns one status row per mart.
 
@@ -264,25 +267,29 @@ def build_all(
     counted = None
     if any(m.counts for m in chosen):
         counted = write_cells(silver, f"{lake.root}/work/cells", as_of)
-    checks: list[DataFrame] = []
-    failed: list[tuple] = []
-    written: set[str] = set()
-    for mart in chosen:
+
+    def build_one(mart: Mart) -> DataFrame:
+        if mart.counts:
+            df = mart.fn(counted, as_of)
+        elif mart.name == LEADERBOARD and PAY_BASE in {m.name for m in chosen}:
+            df = top_paying_of(read_table(spark, lake.gold(PAY_BASE)))
+        else:
+            df = mart.fn(silver, as_of, accuracy=accuracy) if mart.fn in _PAY else mart.fn(silver, as_of)
+        write_table(df.coalesce(max(1, files)), lake.gold(mart.name), mode=mode)
+        return validation_row(mart.name, read_table(spark, lake.gold(mart.name)), mart.required)
+
+    def attempt(mart: Mart) -> DataFrame:
         try:
-            if mart.name == "salary/top_paying_depts" and "salary/by_department" in written:
-                df = top_paying_of(read_table(spark, lake.gold("salary/by_department")))
-            elif mart.counts:
-                df = mart.fn(counted, as_of)
-            else:
-                df = mart.fn(silver, as_of, accuracy=accuracy) if mart.fn in _PAY else mart.fn(silver, as_of)
-            write_table(df.coalesce(max(1, files)), lake.gold(mart.name), mode=mode)
-            written.add(mart.name)
-            checks.append(validation_row(mart.name, read_table(spark, lake.gold(mart.name)), mart.required))
-        except Exception as error:  # isolation: any failure of one mart is a status row, not the end of the job
-            failed.append((mart.name, None, None, False, f"{type(error).__name__}: {str(error)[:200]}"))
-    status = spark.createDataFrame(failed, VALIDATION_DDL).withColumn("status", F.lit("failed"))
-    for check in checks:
-        status = status.unionByName(check.withColumn("status", F.lit("written")))
+            return build_one(mart).withColumn("status", F.lit("written"))
+        except Exception as error:  # isolation: a failing mart is a status row, not the end of the job
+            row = (mart.name, None, None, False, f"{type(error).__name__}: {str(error)[:200]}")
+            return spark.createDataFrame([row], VALIDATION_DDL).withColumn("status", F.lit("failed"))
+
+    # Marts are independent small jobs: submitting a few at a time keeps the cluster busy between their tiny stages.
+    with ThreadPoolExecutor(concurrent_marts) as pool:
+        first = list(pool.map(attempt, [m for m in chosen if m.name != LEADERBOARD]))
+    rows = first + [attempt(m) for m in chosen if m.name == LEADERBOARD]
+    status = reduce(DataFrame.unionByName, rows)
     if strict:
         bad = [r["mart"] for r in status.filter(~F.col("passed")).select("mart").collect()]
         if bad:
@@ -290,6 +297,7 @@ def build_all(
     return status
 
 
+LEADERBOARD, PAY_BASE = "salary/top_paying_depts", "salary/by_department"
 _PAY = (salary_by_department, salary_top_paying, salary_distribution, pay_by_rating)
 
 

@@ -59,12 +59,16 @@ def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) ->
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
+CSV_OPTIONS = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_format(df: DataFrame, path: str, file_format: str, list_field: str = "skills") -> None:
     """CSV (list field pipe-joined), JSON lines or Parquet."""
     if file_format == "csv":
         if list_field in df.columns:
             df = df.withColumn(list_field, F.array_join(list_field, "|"))
-        df.write.option("header", True).option("escape", '"').option("emptyValue", '""').csv(path)
+        # Surrounding spaces survive. An empty cell is a missing value, so empty text comes back as null.
+        df.write.options(**CSV_OPTIONS).csv(path)
     elif file_format == "json":
         df.write.option("ignoreNullFields", False).json(path)
     elif file_format == "parquet":
@@ -80,14 +84,7 @@ def read_format(spark: SparkSession, path: str, file_format: str, schema, list_f
             (f"`{f.name}` string" if f.name == list_field else f"`{f.name}` {f.dataType.simpleString()}")
             for f in schema.fields
         ]
-        df = (
-            spark.read.schema(", ".join(flat))
-            .option("header", True)
-            .option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(path)
-        )
+        df = spark.read.schema(", ".join(flat)).options(**CSV_OPTIONS).csv(path)
         if list_field in df.columns:
             df = df.withColumn(list_field, F.split(list_field, r"\|"))
         return df
