@@ -40,18 +40,19 @@ def mark_current(df: DataFrame, key: str, version_by: str = "event_ts", flag: st
 
     A window over the key would put all versions of a hot key in one task. Here exact copies collapse to one counted
     row, the newest version per key comes from a partial aggregate, and the join back is an ordinary equi-join whose
-    large side adaptive execution can split. Exactly one row per key is flagged, copies included.
+    large side adaptive execution can split. Exactly one row per key is flagged, copies included; a missing key has no
+    current row.
     """
     columns = df.columns
     order = [version_by, *_orderable(df, [key, version_by])]
     versions = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     versions = versions.withColumn("_version", F.struct(*[F.col(c) for c in order]))
     newest = versions.groupBy(F.col(key).alias("_key")).agg(F.max("_version").alias("_newest"))
-    flagged = versions.join(newest, F.col(key).eqNullSafe(F.col("_key")), "left")
+    flagged = versions.join(newest, F.col(key) == F.col("_key"), "left")
     return flagged.select(
         *columns,
         F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_copy"),
-        F.col("_version").eqNullSafe(F.col("_newest")).alias("_is_newest"),
+        F.coalesce(F.col("_version") == F.col("_newest"), F.lit(False)).alias("_is_newest"),
     ).select(*columns, (F.col("_is_newest") & (F.col("_copy") == 1)).alias(flag))
 
 

@@ -5,6 +5,7 @@ Everything per-question is one projection; no question is ever paired with a rul
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -121,36 +122,32 @@ def resolve_tables(
 
     A view is a candidate when the name is one of its underscore-delimited prefixes; its score is the number of
     remaining name parts that occur in the question. The best score wins, then the shorter name; a score of 0 resolves
-    to nothing. Prefixes are spelled out on the view side, so this is an equi-join against a table as small as the
-    registry, with all candidates of a name in one row: one question in, one row out, no shuffle of the questions.
+    to nothing. The prefixes are spelled out once into a constant lookup the size of the view registry, so a question
+    is resolved where it lies: no join, no shuffle on a handful of hot names.
     """
-    spark = references.sparkSession
-    prefixes: dict[str, list[tuple[str, list[str]]]] = {}
+    prefixes: dict[str, list[dict]] = {}
     for view in views:
         parts = view.split("_")
         for cut in range(1, len(parts)):
-            prefixes.setdefault("_".join(parts[:cut]), []).append((view, parts[cut:]))
-    catalog = spark.createDataFrame(
-        list(prefixes.items()), "_ref string, _candidates array<struct<view: string, parts: array<string>>>"
-    )
+            prefixes.setdefault("_".join(parts[:cut]), []).append({"view": view, "parts": parts[cut:]})
+    lookup = F.from_json(F.lit(json.dumps(prefixes)), "map<string, array<struct<view: string, parts: array<string>>>>")
+    name, known = F.col(table_ref), F.col(table_ref).isin(*views)
     words = F.regexp_extract_all(F.lower(F.coalesce(F.col(question), F.lit(""))), F.lit("[a-z0-9]+"), 0)
-    joined = references.join(catalog, (F.col(table_ref) == F.col("_ref")) & ~F.col(table_ref).isin(*views), "left")
-    hits = lambda c: F.size(F.filter(c["parts"], lambda p: F.array_contains(F.col("_words"), p)))
-    ranked = F.transform(
-        "_candidates",
-        lambda c: F.struct((-hits(c)).alias("s"), F.length(c["view"]).alias("l"), c["view"].alias("view")),
-    )
-    best = F.array_min(ranked)
-    return (
-        joined.withColumn("_words", words)
-        .withColumn("_best", best)
-        .select(
-            *references.columns,
-            F.when(F.col(table_ref).isin(*views), F.col(table_ref))
-            .when(F.col("_best.s") < 0, F.col("_best.view"))
-            .alias("resolved_view"),
-            F.coalesce(-F.col("_best.s"), F.lit(0)).alias("score"),
-        )
+
+    def best_candidate(spoken: Column) -> Column:
+        def scored(c: Column) -> Column:
+            hits = F.size(F.filter(c["parts"], lambda part: F.array_contains(spoken, part)))
+            return F.struct((-hits).alias("loss"), F.length(c["view"]).alias("size"), c["view"].alias("view"))
+
+        return F.array_min(F.transform(F.try_element_at(lookup, name), scored))
+
+    # Binding the words as a lambda argument makes them be extracted once per question, not once per candidate part.
+    best = F.get(F.transform(F.array(words), best_candidate), F.lit(0))
+    resolved = references.withColumn("_best", F.when(~known, best))
+    return resolved.select(
+        *references.columns,
+        F.when(known, name).when(F.col("_best.loss") < 0, F.col("_best.view")).alias("resolved_view"),
+        F.coalesce(-F.col("_best.loss"), F.lit(0)).alias("score"),
     )
 
 

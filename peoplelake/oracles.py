@@ -91,7 +91,7 @@ relation(
     "emp",
     """SELECT CAST(o_orderkey AS VARCHAR) AS employee_id, c_name AS name,
     CASE WHEN o_custkey % 41 <> 0 THEN c_mktsegment END AS department,
-    CASE WHEN o_custkey % 59 <> 0 THEN n_name END AS country, r_name AS location,
+    CASE WHEN o_custkey % 59 <> 0 THEN n_name END AS country,
     CASE WHEN o_custkey % 47 <> 0 THEN o_totalprice END AS salary,
     CASE o_orderstatus WHEN 'F' THEN 'Yes' WHEN 'O' THEN 'No' END AS attrition,
     CASE WHEN o_custkey % 43 <> 0 THEN CAST(o_orderdate AS DATE) END AS joining_date,
@@ -256,7 +256,7 @@ _TENURE = (f"(({int(_y)} - year(joining_date)) * 12 + ({int(_m)} - month(joining
            f"+ ({int(_d)} - day(joining_date)) / 31.0) / 12.0")
 relation(
     "cohorts",
-    f"""SELECT *, year(joining_date) AS hire_year, month(joining_date) AS hire_month,
+    f"""SELECT *, CAST(year(joining_date) AS INT) AS hire_year, CAST(month(joining_date) AS INT) AS hire_month,
     CASE WHEN joining_date IS NULL THEN NULL WHEN {_TENURE} < 1 THEN '0-1y' WHEN {_TENURE} < 3 THEN '1-3y'
          WHEN {_TENURE} < 5 THEN '3-5y' WHEN {_TENURE} < 10 THEN '5-10y' ELSE '10y+' END AS tenure_bucket FROM emp""",
     "emp",
@@ -313,13 +313,13 @@ for _name, (_needs, _sql) in MART_SQL.items():
 relation(
     "m_salary_top_paying_depts",
     "SELECT rank, department, avg_salary, median_salary, employees_with_salary, total_payroll, snapshot_date FROM "
-    "(SELECT *, dense_rank() OVER (ORDER BY avg_salary DESC) AS rank FROM m_salary_by_department) WHERE rank <= 5",
+    "(SELECT *, CAST(dense_rank() OVER (ORDER BY avg_salary DESC) AS INT) AS rank FROM m_salary_by_department) WHERE rank <= 5",
     "m_salary_by_department",
 )
 relation(
     "m_performance_top_teams",
-    "SELECT rank, department, avg_rating, rated_employees, high_performer_pct, snapshot_date FROM (SELECT *, dense_rank() "
-    "OVER (ORDER BY avg_rating DESC) AS rank FROM m_performance_by_department WHERE rated_employees >= 5) WHERE rank <= 5",
+    "SELECT rank, department, avg_rating, rated_employees, high_performer_pct, snapshot_date FROM (SELECT *, CAST(dense_rank() "
+    "OVER (ORDER BY avg_rating DESC) AS INT) AS rank FROM m_performance_by_department WHERE rated_employees >= 5) WHERE rank <= 5",
     "m_performance_by_department",
 )
 for _mart in MARTS:

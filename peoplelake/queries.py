@@ -11,7 +11,7 @@ from peoplelake import bindings as b
 from peoplelake.bindings import AS_OF, Tables
 from peoplelake.functions import text as tx
 from peoplelake.operators import latest, marts as op, quality, reports, retrieval, routing
-from peoplelake.plans import catalog, gold, insights, silver
+from peoplelake.plans import catalog, gold, insights, jobs, silver
 from peoplelake.schemas import stream_schema
 from peoplelake.session import scratch_path
 from peoplelake.sources import lake as lk
@@ -580,9 +580,8 @@ def conversation_context(t: Tables) -> DataFrame:
 
 def flagship(t: Tables) -> DataFrame:
     """Attrition by department from a dirty feed, behind the data-quality gate."""
-    cleaned = silver.silver_employees(b.feed(t), AS_OF)
-    quality.enforce(quality.quality_report(cleaned))
-    return gold.BY_NAME["attrition/by_department"].build(cleaned, AS_OF)
+    table, _ = jobs.clean_employees(b.feed(t), Lake(scratch_path(t.spark, "flagship")), AS_OF, fail_on_quality=True)
+    return gold.BY_NAME["attrition/by_department"].build(table, AS_OF)
 
 
 @query
