@@ -61,16 +61,18 @@ def classify_intents(questions: DataFrame, text: str = "question") -> DataFrame:
     A question no rule matches is off-topic unless it contains a topic word, in which case it stays undecided
     (semantic, confidence 0). Equal scores go to the earlier intent.
     """
-    q = F.lower(squash_whitespace_ends(F.col(text)))
+    # The normalised text is a column of its own, so it is computed once and not once per rule.
+    q = F.col("_q")
+    normal = questions.withColumn("_q", F.lower(squash_whitespace_ends(F.col(text))))
     votes = {
         intent: sum(
-            (F.when(q.rlike("(?i)" + rule), weight).otherwise(0) for rule, target, weight in INTENT_RULES
+            (F.when(q.rlike("(?iU)" + rule), weight).otherwise(0) for rule, target, weight in INTENT_RULES
              if target == intent),
             F.lit(0),
         )
         for intent in INTENTS
     }
-    scored = questions.withColumns({f"score_{i.lower()}": v for i, v in votes.items()}).withColumn(
+    scored = normal.withColumns({f"score_{i.lower()}": v for i, v in votes.items()}).withColumn(
         "_on_topic", q.rlike("|".join(TOPIC_WORDS))
     )
     columns = [F.col(f"score_{i.lower()}") for i in INTENTS]
@@ -102,16 +104,20 @@ CANNOT_ANSWER = "CANNOT_ANSWER"
 
 def extract_sql(answers: DataFrame, text: str = "answer") -> DataFrame:
     """Add the last fenced SQL block of a model answer (or the answer without a prose first line) and a refusal flag."""
-    blocks = F.regexp_extract_all(text, F.lit(FENCED_SQL), 1)
-    lines = F.filter(F.split(text, r"\r?\n"), lambda x: squash_whitespace_ends(x) != "")
+    blocks, lines = F.col("_blocks"), F.col("_lines")
+    fenced = F.regexp_extract_all(text, F.lit(FENCED_SQL), 1)
+    written = F.filter(F.split(text, r"\r?\n"), lambda x: squash_whitespace_ends(x) != "")
     opener = F.lower(F.coalesce(F.get(lines, F.lit(0)), F.lit("")))
     chatty = opener.startswith(PROSE_OPENERS[0])
     for start in PROSE_OPENERS[1:]:
         chatty = chatty | opener.startswith(start)
     body = F.when(chatty, F.slice(lines, F.lit(2), F.greatest(F.size(lines), F.lit(1)))).otherwise(lines)
     sql = F.when(F.size(blocks) > 0, F.try_element_at(blocks, F.lit(-1))).otherwise(F.array_join(body, "\n"))
-    return answers.withColumn("sql", squash_whitespace_ends(F.coalesce(sql, F.lit("")))).withColumn(
-        "cannot_answer", F.col("sql").contains(CANNOT_ANSWER)
+    split = answers.withColumns({"_blocks": fenced, "_lines": written})
+    return (
+        split.withColumn("sql", squash_whitespace_ends(F.coalesce(sql, F.lit(""))))
+        .withColumn("cannot_answer", F.col("sql").contains(CANNOT_ANSWER))
+        .drop("_blocks", "_lines")
     )
 
 

@@ -720,7 +720,7 @@ oracle(
     f"""SELECT *, NOT is_empty AND NOT too_long AND is_select AND NOT has_many_statements AND blocked_words = '' AS allowed
     FROM (SELECT log_id, sql, {_stmt} = '' AS is_empty, length(sql) > {MAX_SQL_CHARS} AS too_long,
       regexp_matches(upper({_stmt}), '^\\s*(SELECT|WITH)\\b') AS is_select, contains({_stmt}, ';') AS has_many_statements,
-      array_to_string(list_filter([{_words}], lambda w: w IS NOT NULL), ',') AS blocked_words FROM statements)""")
+      array_to_string(list_sort(list_filter([{_words}], lambda w: w IS NOT NULL)), ',') AS blocked_words FROM statements)""")
 relation("answers", f"SELECT o_orderkey AS log_id, {filled(b.ANSWERS)} AS answer FROM staffed", "staffed")
 _blocks = r"regexp_extract_all(answer, '(?is)```(?:sql)?\s*(.+?)\s*```', 1)"
 _lines = "list_filter(string_split(answer, chr(10)), lambda x: trim(x) <> '')"

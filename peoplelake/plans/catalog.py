@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peoplelake.functions.text import squash_whitespace_ends
 from peoplelake.plans.gold import MARTS, Mart, load_mart
 from peoplelake.sources.lake import Lake
 
@@ -94,22 +95,28 @@ def audit_query_log(
 ) -> DataFrame:
     """Flag logged statements that a read-only policy would refuse; one projection, no shuffle.
 
-    A blocked word counts when it stands between characters other than letters and underscores, in any case.
+    A blocked word counts when it stands between characters other than letters and underscores, in any case; found
+    words are listed alphabetically. Shared intermediate texts are columns of their own, so each is computed once.
     """
-    text = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(sql), F.lit("")), r"^\s+|\s+$", ""), r";\s*$", "")
-    upper = F.upper(text)
-    words = F.array_compact(F.array(*[F.when(upper.rlike(f"(^|[^A-Z_]){w}([^A-Z_]|$)"), w) for w in blocked]))
-    checked = log.withColumns({
-        "is_empty": text == "",
-        "too_long": F.length(F.coalesce(F.col(sql), F.lit(""))) > max_chars,
-        "is_select": upper.rlike(r"^\s*(SELECT|WITH)\b"),
-        "has_many_statements": text.contains(";"),
-        "blocked_words": F.array_join(words, ","),
-    })
-    return checked.withColumn(
-        "allowed",
-        ~F.col("is_empty") & ~F.col("too_long") & F.col("is_select") & ~F.col("has_many_statements")
-        & (F.col("blocked_words") == ""),
+    word = r"(?<![A-Z_])(" + "|".join(blocked) + r")(?![A-Z_])"
+    text, upper = F.col("_text"), F.col("_upper")
+    trimmed = F.regexp_replace(squash_whitespace_ends(F.coalesce(F.col(sql), F.lit(""))), r";\s*$", "")
+    return (
+        log.withColumn("_text", trimmed)
+        .withColumn("_upper", F.upper(text))
+        .withColumns({
+            "is_empty": text == "",
+            "too_long": F.length(F.coalesce(F.col(sql), F.lit(""))) > max_chars,
+            "is_select": upper.rlike(r"^\s*(SELECT|WITH)\b"),
+            "has_many_statements": text.contains(";"),
+            "blocked_words": F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all(upper, F.lit(word), 1))), ","),
+        })
+        .withColumn(
+            "allowed",
+            ~F.col("is_empty") & ~F.col("too_long") & F.col("is_select") & ~F.col("has_many_statements")
+            & (F.col("blocked_words") == ""),
+        )
+        .drop("_text", "_upper")
     )
 
 
