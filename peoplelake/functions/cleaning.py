@@ -1,4 +1,8 @@
-"""Column expressions that repair single fields. All are codegen-friendly built-ins; none can fail a row under ANSI."""
+"""Column expressions that repair single fields. All are codegen-friendly built-ins; none can fail a row under ANSI.
+
+Multi-step repairs are split where an intermediate value is used more than once, so that a plan can keep that value in
+a column of its own and compute it once per row.
+"""
 
 from __future__ import annotations
 
@@ -41,35 +45,56 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
+def folded(c: Column) -> Column:
+    """Case- and margin-insensitive form used for matching."""
+    return F.lower(F.trim(c))
+
+
+def department_of(key: Column, otherwise: Column) -> Column:
+    """Canonical name of a folded spelling: the first pattern that matches, else ``otherwise``."""
+    matches = [F.when(key.rlike(pattern), F.lit(name)) for name, pattern in DEPARTMENT_PATTERNS]
+    return F.coalesce(*matches, otherwise)
+
+
 def canonical_department(c: Column) -> Column:
     """First matching canonical name, else the text as it came; null stays null."""
-    key = F.lower(F.trim(c))
-    matches = [F.when(key.rlike(pattern), F.lit(name)) for name, pattern in DEPARTMENT_PATTERNS]
-    return F.coalesce(*matches, c)
+    return department_of(folded(c), c)
 
 
-def parse_salary(c: Column) -> Column:
-    """Money text to double: currency signs, thousands separators, a ``k`` suffix and trailing units are understood."""
-    text = F.lower(F.trim(c))
+def salary_amount(text: Column) -> Column:
+    """Number in a folded money text: currency signs, separators, a ``k`` suffix and trailing units are understood."""
     in_thousands = text.rlike(THOUSANDS_FORM)
-    kept = F.when(in_thousands, F.regexp_replace(text, r"[^0-9.]", "")).otherwise(
-        F.regexp_replace(text, r"[^0-9.\-]", "")
-    )
+    kept = F.regexp_replace(text, F.when(in_thousands, r"[^0-9.]").otherwise(r"[^0-9.\-]"), F.lit(""))
     amount = kept.try_cast("double") * F.when(in_thousands, 1000).otherwise(1)
-    return F.when(~text.isin(*SALARY_PLACEHOLDERS) & amount.between(*SALARY_RANGE), amount)
+    return F.when(~text.isin(*SALARY_PLACEHOLDERS), amount)
 
 
-def parse_iso_date(c: Column, as_of: dt.date | str | None = None) -> Column:
-    """Strict ISO day, no earlier than 1950 and no later than the reporting day."""
-    day = F.try_to_date(c, "yyyy-MM-dd")
+def parse_salary(c: Column) -> Column:
+    """Money text to double, null when it is not a number or not plausible."""
+    return null_outside(salary_amount(folded(c)), SALARY_RANGE)
+
+
+def iso_day(c: Column) -> Column:
+    return F.try_to_date(c, "yyyy-MM-dd")
+
+
+def plausible_day(day: Column, as_of: dt.date | str | None = None) -> Column:
+    """No earlier than 1950 and no later than the reporting day, else null."""
     return F.when((F.year(day) >= EARLIEST_YEAR) & (day <= as_of_date(as_of)), day)
 
 
-def yes_no(c: Column) -> Column:
-    word = F.lower(F.trim(c))
+def parse_iso_date(c: Column, as_of: dt.date | str | None = None) -> Column:
+    return plausible_day(iso_day(c), as_of)
+
+
+def yes_no_of(word: Column) -> Column:
     return F.when(word.isin(*YES_WORDS), "Yes").when(word.isin(*NO_WORDS), "No")
 
 
+def yes_no(c: Column) -> Column:
+    return yes_no_of(folded(c))
+
+
 def title_case(c: Column) -> Column:
     return F.initcap(F.trim(c))
 

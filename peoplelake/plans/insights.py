@@ -302,35 +302,35 @@ def row_chunks(mart: DataFrame, spec: RowInsight) -> DataFrame:
     return _chunk(mart, spec, chunk_id, render(spec.text), None, spec.extras)
 
 
-def _listed(mart: DataFrame, listing: Listing) -> DataFrame:
-    """One-row frame with the joined items. Only the ``n`` chosen rows are ever gathered."""
-    if any(c == "_bucket_order" for c, _ in listing.by):
-        mart = mart.withColumn("_bucket_order", position_of(F.col("experience_bucket"), EXPERIENCE_BUCKETS))
-    forward = [F.desc(c) if down else F.asc(c) for c, down in listing.by]
-    backward = [F.asc(c) if down else F.desc(c) for c, down in listing.by]
-    chosen = mart.orderBy(*(backward if listing.last_of else forward))
-    if listing.n is not None:
-        chosen = chosen.limit(listing.n)
-    placed = chosen.select(
-        F.row_number().over(Window.orderBy(*forward)).alias("place"), render(listing.item).alias("item")
-    )
-    items = F.transform(F.sort_array(F.collect_list(F.struct("place", "item"))), lambda x: x["item"])
-    return placed.agg(F.array_join(items, listing.sep).alias("items"))
+def _place(listing: Listing) -> Column:
+    """Position in the listing's order, counted from its end for ``last_of``. Runs over the rows of one small mart."""
+    order = [F.desc(c) if down != listing.last_of else F.asc(c) for c, down in listing.by]
+    return F.row_number().over(Window.orderBy(*order))
+
+
+def _gathered(listing: Listing, place: str) -> Column:
+    """Aggregate that joins the listed items; rows beyond ``n`` are null to it and never gathered."""
+    entry = F.struct(F.col(place).alias("place"), render(listing.item).alias("item"))
+    chosen = entry if listing.n is None else F.when(F.col(place) <= listing.n, entry)
+    entries = F.sort_array(F.collect_list(chosen), asc=not listing.last_of)
+    return F.array_join(F.transform(entries, lambda x: x["item"]), listing.sep)
 
 
 def summary_chunk(mart: DataFrame, spec: Summary) -> DataFrame:
+    """Totals and listings of a mart in one aggregate over it."""
     if spec.shape is None:
-        facts = mart.agg(
+        if any(c == "_bucket_order" for listing in spec.lists.values() for c, _ in listing.by):
+            mart = mart.withColumn("_bucket_order", position_of(F.col("experience_bucket"), EXPERIENCE_BUCKETS))
+        facts = mart.withColumns({f"_{name}": _place(listing) for name, listing in spec.lists.items()}).agg(
             F.count(F.lit(1)).alias("groups"),
             F.max("snapshot_date").alias("snapshot_date"),
             *[make().alias(name) for name, make in spec.totals.items()],
+            *[_gathered(listing, f"_{name}").alias(name) for name, listing in spec.lists.items()],
         )
     else:
         facts = spec.shape(mart)
         if "snapshot_date" not in facts.columns:
             facts = reports.attach(facts, snapshot_date=mart.agg(F.max("snapshot_date")))
-    if spec.lists:
-        facts = reports.attach(facts, **{name: _listed(mart, listing) for name, listing in spec.lists.items()})
     chunk_id = stable_id(spec.domain, spec.metric, *spec.id_tail)
     return _chunk(facts.filter(spec.present()), spec, chunk_id, render(spec.text), "summary", spec.extras)
 

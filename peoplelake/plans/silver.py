@@ -31,28 +31,37 @@ def clean_department(df: DataFrame) -> DataFrame:
 
     An unknown name stays as it came, spacing included; blank text turns into null.
     """
-    raw = F.col("department")
-    named = F.when(fx.blank_to_null(raw).isNotNull(), fx.canonical_department(raw))
-    return df.withColumns({"department_raw": raw, "department": named}).withColumn(
-        "department_canonical", F.col("department").isin(*fx.DEPARTMENTS)
+    raw, key = F.col("department_raw"), F.col("_key")
+    return (
+        df.withColumns({"department_raw": F.col("department"), "_key": fx.folded(F.col("department"))})
+        .withColumn("department", F.when(key != "", fx.department_of(key, raw)))
+        .withColumn("department_canonical", F.col("department").isin(*fx.DEPARTMENTS))
+        .drop("_key")
     )
 
 
 def clean_salary(df: DataFrame) -> DataFrame:
-    return df.withColumns({"salary_raw": F.col("salary"), "salary": fx.parse_salary(F.col("salary"))}).withColumn(
-        "salary_valid", F.col("salary").isNotNull()
+    return (
+        df.withColumns({"salary_raw": F.col("salary"), "_text": fx.folded(F.col("salary"))})
+        .withColumn("salary", fx.salary_amount(F.col("_text")))
+        .withColumn("salary", fx.null_outside(F.col("salary"), fx.SALARY_RANGE))
+        .withColumn("salary_valid", F.col("salary").isNotNull())
+        .drop("_text")
     )
 
 
 def clean_joining_date(df: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
-    raw = F.col("joining_date")
-    return df.withColumns({"joining_date_raw": raw, "joining_date": fx.parse_iso_date(raw, as_of)}).withColumn(
-        "joining_date_valid", F.col("joining_date").isNotNull()
+    return (
+        df.withColumns({"joining_date_raw": F.col("joining_date"), "joining_date": fx.iso_day(F.col("joining_date"))})
+        .withColumn("joining_date", fx.plausible_day(F.col("joining_date"), as_of))
+        .withColumn("joining_date_valid", F.col("joining_date").isNotNull())
     )
 
 
 def clean_attrition(df: DataFrame) -> DataFrame:
-    return df.withColumn("attrition", fx.yes_no(F.col("attrition")))
+    return df.withColumn("attrition", fx.folded(F.col("attrition"))).withColumn(
+        "attrition", fx.yes_no_of(F.col("attrition"))
+    )
 
 
 def clean_country(df: DataFrame) -> DataFrame:
