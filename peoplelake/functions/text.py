@@ -1,4 +1,4 @@
-"""Text formatting as column expressions, plus a small ``{field:format}`` renderer for narrative templates."""
+"""Text formatting. Formats are SQL expression templates, so a whole narrative is one parsed expression."""
 
 from __future__ import annotations
 
@@ -8,41 +8,88 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The text of a missing number, the Indian units for money, and the longest id.
 MISSING = "n/a"
-# Indian numbering units used for money.
-CRORE = 1e7
-LAKH = 1e5
+CRORE, LAKH = "1e7", "1e5"
 ID_LENGTH = 512
 
 
-def fixed_point(c: Column, digits: int) -> Column:
-    """Plain decimal text without grouping, rounded half-even on the binary value like C ``printf``."""
+def quoted(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+# ``format_number`` rounds half-even on the binary value, as C ``printf`` does.
+def fixed_sql(c: str, digits: int) -> str:
     pattern = "0" if digits == 0 else "0." + "0" * digits
-    return F.call_function("format_number", c.cast("double"), F.lit(pattern))
+    return f"format_number(CAST({c} AS DOUBLE), '{pattern}')"
 
 
-def grouped(c: Column) -> Column:
-    """Thousands-separated whole number."""
-    return F.format_number(c, 0)
+def whole_sql(c: str) -> str:
+    """Integer, 0 when missing or unparseable."""
+    return f"coalesce(try_cast({c} AS BIGINT), 0L)"
 
 
-def money(c: Column, currency: str = "INR") -> Column:
-    v = c.cast("double")
-    amount = (
-        F.when(v >= CRORE, F.concat(fixed_point(v / CRORE, 2), F.lit(" Cr")))
-        .when(v >= LAKH, F.concat(fixed_point(v / LAKH, 2), F.lit(" L")))
-        .otherwise(grouped(v))
+def percent_sql(c: str, digits: int = 1) -> str:
+    return f"coalesce(concat({fixed_sql(f'CAST({c} AS DOUBLE) * 100', digits)}, '%'), '{MISSING}')"
+
+
+def money_sql(c: str, currency: str = "INR") -> str:
+    v = f"CAST({c} AS DOUBLE)"
+    return (
+        f"coalesce(concat({quoted(currency + ' ')}, CASE WHEN {v} >= {CRORE} THEN concat({fixed_sql(f'{v} / {CRORE}', 2)}, ' Cr') "
+        f"WHEN {v} >= {LAKH} THEN concat({fixed_sql(f'{v} / {LAKH}', 2)}, ' L') ELSE format_number({v}, 0) END), '{MISSING}')"
     )
-    return F.coalesce(F.concat(F.lit(currency + " "), amount), F.lit(MISSING))
 
 
-def percent(c: Column, digits: int = 1) -> Column:
-    return F.coalesce(F.concat(fixed_point(c.cast("double") * 100, digits), F.lit("%")), F.lit(MISSING))
+FORMATS = {
+    "": lambda c: f"CAST({c} AS STRING)",
+    "int": lambda c: f"CAST({whole_sql(c)} AS STRING)",
+    "grouped": lambda c: f"format_number({whole_sql(c)}, 0)",
+    "pct": percent_sql,
+    "money": money_sql,
+    "f2": lambda c: fixed_sql(c, 2),
+    "signed1": lambda c: f"concat(CASE WHEN {c} >= 0 THEN '+' ELSE '' END, {fixed_sql(c, 1)})",
+}
+
+
+def render_sql(template: str) -> str:
+    """SQL text that fills the ``{column:format}`` slots of a template; a missing plain value reads ``None``."""
+    pieces: list[str] = []
+    for literal, field, spec, _ in string.Formatter().parse(template):
+        if literal:
+            pieces.append(quoted(literal))
+        if field is not None:
+            pieces.append(f"coalesce({FORMATS[spec or ''](field)}, 'None')")
+    return f"concat({', '.join(pieces)})"
 
 
-def whole(c: Column) -> Column:
-    """Integer, 0 when missing or unparseable."""
-    return F.coalesce(c.try_cast("bigint"), F.lit(0).cast("bigint"))
+def render(template: str) -> Column:
+    return F.expr(render_sql(template))
+
+
+def money(c: str, currency: str = "INR") -> Column:
+    """Money text of a SQL expression: crore and lakh units, else thousands-separated."""
+    return F.expr(money_sql(c, currency))
+
+
+def percent(c: str, digits: int = 1) -> Column:
+    return F.expr(percent_sql(c, digits))
+
+
+def whole(c: str) -> Column:
+    return F.expr(whole_sql(c))
+
+
+def stable_id_sql(*parts: str, **named: str) -> str:
+    """Dot-joined segments, then ``key=value`` segments in key order, spaces as underscores, cut at 512 characters."""
+    segments = [quoted(p) for p in parts]
+    segments += [f"concat({quoted(k + '=')}, coalesce(CAST({named[k]} AS STRING), 'None'))" for k in sorted(named)]
+    return f"substring(replace(concat_ws('.', {', '.join(segments)}), ' ', '_'), 1, {ID_LENGTH})"
+
+
+def stable_id(*parts: str, **named: str) -> Column:
+    """Chunk id from literal parts and named SQL expressions."""
+    return F.expr(stable_id_sql(*parts, **named))
 
 
 def plain(c: Column, dtype: str) -> Column:
@@ -53,37 +100,9 @@ def plain(c: Column, dtype: str) -> Column:
     return c.cast("string")
 
 
-FORMATS = {
-    "": lambda c: c.cast("string"),
-    "int": lambda c: whole(c).cast("string"),
-    "grouped": lambda c: grouped(whole(c)),
-    "pct": percent,
-    "money": money,
-    "f2": lambda c: fixed_point(c, 2),
-    "signed1": lambda c: F.concat(F.when(c >= 0, "+").otherwise(""), fixed_point(c, 1)),
-}
-
-
-def render(template: str, values: Mapping[str, Column] | None = None) -> Column:
-    """Fill ``{field:format}`` slots from ``values`` or, failing that, from the column of the same name."""
-    values = values or {}
-    pieces: list[Column] = []
-    for literal, field, spec, _ in string.Formatter().parse(template):
-        if literal:
-            pieces.append(F.lit(literal))
-        if field is not None:
-            source = values[field] if field in values else F.col(field)
-            pieces.append(F.coalesce(FORMATS[spec or ""](source), F.lit("None")))
-    return F.concat(*pieces)
-
-
-def stable_id(*parts: str | Column, **named: Column) -> Column:
-    """Dot-joined segments, named ones as ``key=value`` in key order, spaces as underscores, cut at 512 characters."""
-    segments = [F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]
-    for key in sorted(named):
-        value = F.coalesce(named[key].cast("string"), F.lit("None"))
-        segments.append(F.concat(F.lit(key + "="), value))
-    return F.substring(F.replace(F.concat_ws(".", *segments), F.lit(" "), F.lit("_")), 1, ID_LENGTH)
+def fixed_point(c: Column, digits: int) -> Column:
+    pattern = "0" if digits == 0 else "0." + "0" * digits
+    return F.call_function("format_number", c.cast("double"), F.lit(pattern))
 
 
 def squash_whitespace_ends(c: Column) -> Column:

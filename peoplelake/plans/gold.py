@@ -254,7 +254,7 @@ def build_all(
     files: int = 1,
     strict: bool = False,
     accuracy: int = op.DEFAULT_ACCURACY,
-    concurrent_marts: int = 4,
+    concurrent_marts: int = 8,
 ) -> DataFrame:
     """Build, write and validate the selected marts; returns one status row per mart.
 

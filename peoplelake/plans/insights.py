@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from peoplelake.functions.metrics import position_of
-from peoplelake.functions.text import render, stable_id
+from peoplelake.functions.text import quoted, render, render_sql, stable_id_sql
 from peoplelake.operators import reports
 from peoplelake.plans.gold import EXPERIENCE_BUCKETS
 
@@ -50,10 +49,10 @@ class Summary:
     domain: str
     metric: str
     text: str
-    totals: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
+    totals: Mapping[str, str] = field(default_factory=dict)
     lists: Mapping[str, Listing] = field(default_factory=dict)
     shape: Callable[[DataFrame], DataFrame] | None = None
-    present: Callable[[], Column] = lambda: F.col("groups") > 0
+    present: str = "groups > 0"
     extras: tuple[str, ...] = ()
     source: str | None = None  # mart to read when it differs from domain/metric
     id_tail: tuple[str, ...] = ("summary",)
@@ -145,9 +144,9 @@ SUMMARIES = (
         "out of {headcount:grouped}). The departments with the highest attrition are {top}. The departments with the "
         "lowest attrition are {bottom}.",
         totals={
-            "headcount": lambda: F.sum("headcount"),
-            "attrited": lambda: F.sum("attrited"),
-            "overall": lambda: F.coalesce(F.try_divide(F.sum("attrited"), F.sum("headcount")), F.lit(0.0)),
+            "headcount": "sum(headcount)",
+            "attrited": "sum(attrited)",
+            "overall": "coalesce(try_divide(sum(attrited), sum(headcount)), 0.0D)",
         },
         lists={
             "top": Listing("{department} ({attrition_rate:pct})", _top("attrition_rate", "department"), ", ", 3),
@@ -163,7 +162,7 @@ SUMMARIES = (
     Summary(
         "attrition", "trend_by_cohort",
         "Hire-cohort attrition trend: the cohorts with the highest churn are {top}. Coverage spans {first}-{last}.",
-        totals={"first": lambda: F.min("hire_year"), "last": lambda: F.max("hire_year")},
+        totals={"first": "min(hire_year)", "last": "max(hire_year)"},
         lists={"top": Listing("{hire_year:int} ({attrition_rate:pct})", _top("attrition_rate", "hire_year"), ", ", 2)},
     ),
     Summary(
@@ -176,7 +175,7 @@ SUMMARIES = (
         "salary", "by_department",
         "Across {groups} departments, top-paying are: {top}. Lowest-paying are: {bottom}. Total company payroll "
         "across departments: {payroll:money}.",
-        totals={"payroll": lambda: F.sum("total_payroll")},
+        totals={"payroll": "sum(total_payroll)"},
         lists={
             "top": Listing("{department} {avg_salary:money}", _top("avg_salary", "department"), "; ", 3),
             "bottom": Listing("{department} {avg_salary:money}", _low("avg_salary", "department"), "; ", 3),
@@ -193,32 +192,32 @@ SUMMARIES = (
         "P99 {p99_salary:money}, min {min_salary:money}, max {max_salary:money}, stddev {stddev_salary:money}. "
         "Total payroll {total_payroll:money} across {employees_with_salary:int} employees.",
         shape=lambda mart: mart,
-        present=lambda: F.col("employees_with_salary") > 0,
+        present="employees_with_salary > 0",
         extras=("avg_salary",),
     ),
     Summary(
         "workforce", "by_country",
         "Workforce spans {groups} countries with total headcount of {headcount:int}. Largest geographies: {top}.",
-        totals={"headcount": lambda: F.sum("headcount")},
+        totals={"headcount": "sum(headcount)"},
         lists={"top": Listing("{country} ({headcount:int})", _top("headcount", "country"), "; ", 3)},
     ),
     Summary(
         "workforce", "by_department",
         "Departments by headcount across {groups} departments. Largest: {top}. Total active workforce: {active:int}.",
-        totals={"active": lambda: F.sum("active")},
+        totals={"active": "sum(active)"},
         lists={"top": Listing("{department} ({headcount:int})", _top("headcount", "department"), "; ", 3)},
     ),
     Summary(
         "workforce", "experience_distribution", "Seniority pyramid: {board}",
         lists={"board": Listing("{experience_bucket} {headcount:int} ({share_pct:pct})",
-                                (("_bucket_order", False),), " | ")},
+                                ((f"array_position(array{EXPERIENCE_BUCKETS}, experience_bucket)", False),), " | ")},
     ),
     Summary(
         "workforce", "hiring_trends",
         "Hiring trend across {years} years. Peak year: {peak_year:int} with {peak_hires:int} hires. Latest year "
         "({latest_year:int}): {latest_hires:int} hires, {direction} from {prior_hires:int} the year before.",
         shape=reports.hiring_pulse,
-        present=lambda: F.col("years") >= 2,
+        present="years >= 2",
     ),
     Summary(
         "performance", "by_department",
@@ -238,7 +237,7 @@ SUMMARIES = (
         "vs rating-{low_rating:int} at {low_avg_salary:money} -- top performers earn {abs_gap:money} {direction} on "
         "average ({gap_pct:signed1}%).",
         shape=lambda mart: reports.pay_gap(mart).withColumn("abs_gap", F.abs("gap")),
-        present=lambda: F.col("ratings") >= 2,
+        present="ratings >= 2",
     ),
 )
 
@@ -279,18 +278,18 @@ PULSE_TEXT = (
 VERSUS_TEXT = ", vs {prior_hires:int} in {prior_year:int}"
 
 
-def _chunk(df: DataFrame, spec, chunk_id: Column, text: Column, kind: str | None, extras: tuple[str, ...]) -> DataFrame:
+def _chunk(df: DataFrame, spec, text: str, kind: str | None, extras: Sequence[str], chunk_id: str) -> DataFrame:
     """Project to the chunk shape; metadata keeps primitives as text and the common fields are real columns."""
-    pairs = [x for e in extras for x in (F.lit(e), F.col(e).cast("string"))]
-    return df.select(
-        chunk_id.alias("chunk_id"),
-        text.alias("text"),
-        F.lit(spec.domain).alias("domain"),
-        F.lit(spec.metric).alias("metric"),
-        F.lit(f"gold/{spec.domain}/{spec.metric}").alias("source_mart"),
-        F.lit(kind).cast("string").alias("kind"),
-        F.col("snapshot_date").cast("string").alias("snapshot_date"),
-        (F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")).alias("metadata"),
+    pairs = ", ".join(f"'{e}', CAST({e} AS STRING)" for e in extras)
+    return df.selectExpr(
+        f"{chunk_id} AS chunk_id",
+        f"{text} AS text",
+        f"'{spec.domain}' AS domain",
+        f"'{spec.metric}' AS metric",
+        f"'gold/{spec.domain}/{spec.metric}' AS source_mart",
+        f"CAST({quoted(kind) if kind else 'NULL'} AS STRING) AS kind",
+        "CAST(snapshot_date AS STRING) AS snapshot_date",
+        f"CAST(map({pairs}) AS map<string, string>) AS metadata",
     )
 
 
@@ -298,41 +297,41 @@ def row_chunks(mart: DataFrame, spec: RowInsight) -> DataFrame:
     if (spec.domain, spec.metric) == ("workforce", "hiring_trends"):
         # Narrated per year: months are rolled up first.
         mart = mart.groupBy("hire_year").agg(F.sum("hires").alias("hires"), F.max("snapshot_date").alias("snapshot_date"))
-    chunk_id = stable_id(spec.domain, spec.metric, **{k: F.col(c) for k, c in spec.key.items()})
-    return _chunk(mart, spec, chunk_id, render(spec.text), None, spec.extras)
+    chunk_id = stable_id_sql(spec.domain, spec.metric, **spec.key)
+    return _chunk(mart, spec, render_sql(spec.text), None, spec.extras, chunk_id)
 
 
-def _place(listing: Listing) -> Column:
+def _place(listing: Listing) -> str:
     """Position in the listing's order, counted from its end for ``last_of``. Runs over the rows of one small mart."""
-    order = [F.desc(c) if down != listing.last_of else F.asc(c) for c, down in listing.by]
-    return F.row_number().over(Window.orderBy(*order))
+    order = [f"{c} {'DESC' if down != listing.last_of else 'ASC'}" for c, down in listing.by]
+    return f"row_number() OVER (ORDER BY {', '.join(order)})"
 
 
-def _gathered(listing: Listing, place: str) -> Column:
+def _gathered(listing: Listing, place: str) -> str:
     """Aggregate that joins the listed items; rows beyond ``n`` are null to it and never gathered."""
-    entry = F.struct(F.col(place).alias("place"), render(listing.item).alias("item"))
-    chosen = entry if listing.n is None else F.when(F.col(place) <= listing.n, entry)
-    entries = F.sort_array(F.collect_list(chosen), asc=not listing.last_of)
-    return F.array_join(F.transform(entries, lambda x: x["item"]), listing.sep)
+    entry = f"struct({place} AS place, {render_sql(listing.item)} AS item)"
+    if listing.n is not None:
+        entry = f"CASE WHEN {place} <= {listing.n} THEN {entry} END"
+    ascending = str(not listing.last_of).lower()
+    return f"array_join(transform(sort_array(collect_list({entry}), {ascending}), x -> x.item), {quoted(listing.sep)})"
 
 
 def summary_chunk(mart: DataFrame, spec: Summary) -> DataFrame:
     """Totals and listings of a mart in one aggregate over it."""
     if spec.shape is None:
-        if any(c == "_bucket_order" for listing in spec.lists.values() for c, _ in listing.by):
-            mart = mart.withColumn("_bucket_order", position_of(F.col("experience_bucket"), EXPERIENCE_BUCKETS))
-        facts = mart.withColumns({f"_{name}": _place(listing) for name, listing in spec.lists.items()}).agg(
-            F.count(F.lit(1)).alias("groups"),
-            F.max("snapshot_date").alias("snapshot_date"),
-            *[make().alias(name) for name, make in spec.totals.items()],
-            *[_gathered(listing, f"_{name}").alias(name) for name, listing in spec.lists.items()],
+        placed = mart.selectExpr("*", *[f"{_place(x)} AS _{name}" for name, x in spec.lists.items()])
+        facts = placed.agg(
+            F.expr("count(1) AS groups"),
+            F.expr("max(snapshot_date) AS snapshot_date"),
+            *[F.expr(f"{sql} AS {name}") for name, sql in spec.totals.items()],
+            *[F.expr(f"{_gathered(x, '_' + name)} AS {name}") for name, x in spec.lists.items()],
         )
     else:
         facts = spec.shape(mart)
         if "snapshot_date" not in facts.columns:
             facts = reports.attach(facts, snapshot_date=mart.agg(F.max("snapshot_date")))
-    chunk_id = stable_id(spec.domain, spec.metric, *spec.id_tail)
-    return _chunk(facts.filter(spec.present()), spec, chunk_id, render(spec.text), "summary", spec.extras)
+    chunk_id = stable_id_sql(spec.domain, spec.metric, *spec.id_tail)
+    return _chunk(facts.filter(spec.present), spec, render_sql(spec.text), "summary", spec.extras, chunk_id)
 
 
 def _snapshot_chunk(marts: Marts) -> DataFrame | None:
@@ -355,8 +354,8 @@ def _snapshot_chunk(marts: Marts) -> DataFrame | None:
     sentence = F.when(F.col("rated") > 0, render(RATING_TEXT)).otherwise("")
     spec = Summary("overview", "company_snapshot", SNAPSHOT_TEXT)
     return _chunk(
-        facts.filter(F.col("total_headcount").isNotNull()), spec, stable_id(spec.domain, spec.metric),
-        render(SNAPSHOT_TEXT, {"rating_sentence": sentence}), "summary", ("total_headcount", "attrition_rate"),
+        facts.filter("total_headcount IS NOT NULL").withColumn("rating_sentence", sentence), spec,
+        render_sql(SNAPSHOT_TEXT), "summary", ("total_headcount", "attrition_rate"), stable_id_sql(spec.domain, spec.metric),
     )
 
 
@@ -368,8 +367,8 @@ def _pulse_chunk(marts: Marts) -> DataFrame | None:
     versus = F.when(F.col("years") >= 2, render(VERSUS_TEXT)).otherwise("")
     spec = Summary("overview", "hiring_pulse", PULSE_TEXT)
     return _chunk(
-        facts.filter(F.col("years") > 0), spec, stable_id(spec.domain, spec.metric),
-        render(PULSE_TEXT, {"versus": versus}), "summary", (),
+        facts.filter("years > 0").withColumn("versus", versus), spec, render_sql(PULSE_TEXT), "summary", (),
+        stable_id_sql(spec.domain, spec.metric),
     )
 
 

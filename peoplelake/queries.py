@@ -36,21 +36,21 @@ def mart(t: Tables, name: str) -> DataFrame:
     return m.build(b.employees(t), AS_OF, **options)
 
 
-_LAKES: dict[tuple[str, str], Lake] = {}
+_GOLD: dict[tuple[str, str], tuple[Lake, dict[str, DataFrame]]] = {}
 
 
-def gold_lake(t: Tables) -> Lake:
-    """The Gold marts of a folder, built once per application by the regular build job."""
+def built_gold(t: Tables) -> tuple[Lake, dict[str, DataFrame]]:
+    """The written Gold marts of a folder, built once per application by the regular build job."""
     key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _LAKES:
+    if key not in _GOLD:
         lake = Lake(scratch_path(t.spark, "gold"))
         gold.build_all(b.employees(t), lake, AS_OF, accuracy=EXACT_ACCURACY).collect()
-        _LAKES[key] = lake
-    return _LAKES[key]
+        _GOLD[key] = lake, catalog.load_marts(t.spark, lake)
+    return _GOLD[key]
 
 
 def gold_marts(t: Tables) -> dict[str, DataFrame]:
-    return catalog.load_marts(t.spark, gold_lake(t))
+    return built_gold(t)[1]
 
 
 # -- sources and sinks ----------------------------------------------------------------------------------------------------
@@ -199,8 +199,8 @@ def mart_validation(t: Tables) -> DataFrame:
 
 @query
 def lake_health(t: Tables) -> DataFrame:
-    lake = gold_lake(t)
-    chunks = insights.union_chunks(insights.row_insights(catalog.load_marts(t.spark, lake)))
+    lake, marts = built_gold(t)
+    chunks = insights.union_chunks(insights.row_insights(marts))
     return catalog.lake_health(t.spark, lake, chunks)
 
 
@@ -428,18 +428,18 @@ def fmt_money(t: Tables) -> DataFrame:
     people = b.employees(t)
     return people.select(
         "employee_id",
-        tx.money(F.col("salary")).alias("salary_text"),
-        tx.money(F.col("salary") * 100).alias("hundredfold_text"),
-        tx.money(F.col("salary") / 100).alias("hundredth_text"),
-        tx.whole(F.col("performance_rating")).alias("rating"),
+        tx.money("salary").alias("salary_text"),
+        tx.money("salary * 100").alias("hundredfold_text"),
+        tx.money("salary / 100").alias("hundredth_text"),
+        tx.whole("performance_rating").alias("rating"),
     )
 
 
 @query
 def fmt_pct(t: Tables) -> DataFrame:
     rates = mart(t, "attrition/by_country")
-    return rates.select("country", tx.percent(F.col("attrition_rate")).alias("rate_text"),
-                        tx.percent(F.col("attrition_rate"), 2).alias("rate_text_2"))
+    return rates.select("country", tx.percent("attrition_rate").alias("rate_text"),
+                        tx.percent("attrition_rate", 2).alias("rate_text_2"))
 
 
 # -- governance -----------------------------------------------------------------------------------------------------------

@@ -30,7 +30,7 @@ def marts(spark, built):
 
 def test_number_formats(spark):
     df = spark.createDataFrame([(1, 12_345_678.0), (2, 123_456.0), (3, 99_999.4), (4, None), (5, 0.125)], "i int, v double")
-    rows = df.orderBy("i").select(tx.money(F.col("v")), tx.percent(F.col("v")), tx.whole(F.col("v")), tx.plain(F.col("v"), "double")).collect()
+    rows = df.orderBy("i").select(tx.money("v"), tx.percent("v"), tx.whole("v"), tx.plain(F.col("v"), "double")).collect()
     assert [r[0] for r in rows] == ["INR 1.23 Cr", "INR 1.23 L", "INR 99,999", "n/a", "INR 0"]
     assert rows[4][1] == "12.5%" and rows[3][1] == "n/a" and [r[2] for r in rows][3:] == [0, 0]
     assert rows[0][3] == "12345678.0"
@@ -38,9 +38,9 @@ def test_number_formats(spark):
 
 def test_stable_ids(spark):
     row = spark.range(1).select(
-        tx.stable_id("attrition", "by_department", dept=F.lit("Human Resources")).alias("a"),
-        tx.stable_id("salary", "x", rank=F.lit(1), dept=F.lit("IT")).alias("b"),
-        F.length(tx.stable_id(F.repeat(F.lit("x"), 900))).alias("n")).first()
+        tx.stable_id("attrition", "by_department", dept="'Human Resources'").alias("a"),
+        tx.stable_id("salary", "x", rank="1", dept="'IT'").alias("b"),
+        F.length(tx.stable_id(k="repeat('x', 900)")).alias("n")).first()
     assert (row["a"], row["b"], row["n"]) == ("attrition.by_department.dept=Human_Resources", "salary.x.dept=IT.rank=1", 512)
 
 
