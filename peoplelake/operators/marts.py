@@ -19,6 +19,8 @@ WEIGHT = "n"
 # Sample points of the salary distributions. Fixed values.
 PERCENTILES = {"median": 0.5, "p25": 0.25, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
 DEFAULT_ACCURACY = 10_000
+# Most partial sketches a percentile reducer has to merge; more than the task slots of a large cluster.
+MAX_SKETCHES = 20_000
 
 
 def snapshot(df: DataFrame, as_of: dt.date | str | None) -> DataFrame:
@@ -68,11 +70,11 @@ def distribution(
     """Count, mean, percentiles, standard deviation, extremes and total of a measure, per group or overall.
 
     All percentiles come from one sketch. Every map task ships one sketch per group to that group's reducer, so the
-    number of map tasks, not the number of rows, sets the reducer's work: scans with more splits than task slots are
-    coalesced (no shuffle) to a few tasks per slot first.
+    number of map tasks, not the number of rows, sets the reducer's work. Scans with more splits than ``MAX_SKETCHES``
+    are coalesced to that many tasks first (no shuffle); since only the group and measure columns are read, such a task
+    still reads a normal amount of data.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    valid = df.filter(F.col(measure).isNotNull()).select(*by, measure).coalesce(4 * slots)
+    valid = df.filter(F.col(measure).isNotNull()).select(*by, measure).coalesce(MAX_SKETCHES)
     m = F.col(measure)
     sketch = F.percentile_approx(measure, [PERCENTILES[p] for p in points], accuracy)
     aggs = [F.count(F.lit(1)).alias(count_name), exact_mean(m).alias(f"avg_{measure}"), sketch.alias("_q")]
