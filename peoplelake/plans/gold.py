@@ -26,10 +26,16 @@ EXPERIENCE_BUCKETS = ("0-2y", "2-5y", "5-10y", "10-20y", "20y+")
 HIGH_RATING, LOW_RATING = 4, 2
 TOP_N, MIN_TEAM_SIZE = 5, 5
 
-CELL_KEYS = (
-    "department", "country", "hire_year", "hire_month", "tenure_bucket", "experience_bucket",
-    "performance_rating", "attrition",
-)
+# What the count marts group by. Each set is aggregated on its own, so the cells stay a few hundred rows however sparse
+# the combinations of all dimensions are.
+CELL_SETS = {
+    "department": ("department", "performance_rating", "attrition"),
+    "country": ("country", "attrition"),
+    "month": ("hire_year", "hire_month", "attrition"),
+    "tenure": ("tenure_bucket", "attrition"),
+    "experience": ("experience_bucket",),
+}
+CELL_KEYS = tuple(dict.fromkeys(key for keys in CELL_SETS.values() for key in keys))
 
 
 def dimension_frame(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -50,8 +56,17 @@ def dimension_frame(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def cells(silver: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """One pass over the employees down to counted cells; every count mart is a roll-up of these."""
-    return dimension_frame(silver, as_of).groupBy(*CELL_KEYS).agg(F.sum(op.WEIGHT).alias(op.WEIGHT))
+    """One pass over the employees down to counted cells, ``cell_set`` telling which dimensions a cell has.
+
+    Grouping sets fold into the map-side hash aggregate, so what is shuffled is a few hundred rows per task.
+    """
+    counted = dimension_frame(silver, as_of).groupingSets(list(map(list, CELL_SETS.values())), *CELL_KEYS).agg(
+        F.sum(op.WEIGHT).alias(op.WEIGHT), F.grouping_id().alias("_absent")
+    )
+    # grouping_id has a bit per key, set where the key is not part of the set.
+    absent = {name: sum(1 << i for i, k in enumerate(reversed(CELL_KEYS)) if k not in keys) for name, keys in CELL_SETS.items()}
+    label = F.coalesce(*[F.when(F.col("_absent") == bits, F.lit(name)) for name, bits in absent.items()])
+    return counted.withColumn("cell_set", label).drop("_absent")
 
 
 # -- count marts: functions of a dimension frame or of its cells ------------------------------------------------------
@@ -150,13 +165,13 @@ def pay_by_rating(silver: DataFrame, as_of: AsOf = None, accuracy: int = op.DEFA
 # -- registry -----------------------------------------------------------------------------------------------------------
 @dataclass(frozen=True)
 class Mart:
-    """A registered mart. ``counts`` marts read cells, the others read employee rows."""
+    """A registered mart. Count marts name the cell set they roll up, the others read employee rows."""
 
     domain: str
     metric: str
     fn: Callable[..., DataFrame]
     required: tuple[str, ...]
-    counts: bool = False
+    cell_set: str | None = None
 
     @property
     def name(self) -> str:
@@ -168,7 +183,11 @@ class Mart:
 
     def build(self, silver: DataFrame, as_of: AsOf = None, **options) -> DataFrame:
         """The mart straight from the cleaned employees."""
-        return self.fn(dimension_frame(silver, as_of) if self.counts else silver, as_of, **options)
+        return self.fn(dimension_frame(silver, as_of) if self.cell_set else silver, as_of, **options)
+
+    def build_from_cells(self, counted: DataFrame, as_of: AsOf = None) -> DataFrame:
+        """The same mart rolled up from the shared cells."""
+        return self.fn(counted.filter(F.col("cell_set") == self.cell_set), as_of)
 
 
 def _worst_first(by: str):
@@ -179,25 +198,25 @@ _RATE = ("headcount", "attrition_rate")
 _SPLIT = ("headcount", "attrited", "active")
 MARTS: tuple[Mart, ...] = (
     Mart("attrition", "by_department", _attrition("department", _worst_first("department")),
-         ("department", *_SPLIT, "attrition_rate"), True),
+         ("department", *_SPLIT, "attrition_rate"), "department"),
     Mart("attrition", "by_country", _attrition("country", _worst_first("country")),
-         ("country", *_SPLIT, "attrition_rate"), True),
+         ("country", *_SPLIT, "attrition_rate"), "country"),
     Mart("attrition", "trend_by_cohort", _attrition("hire_year", lambda: [F.col("hire_year")]),
-         ("hire_year", *_RATE), True),
+         ("hire_year", *_RATE), "month"),
     Mart("attrition", "by_tenure_bucket",
          _attrition("tenure_bucket", lambda: [position_of(F.col("tenure_bucket"), TENURE_BUCKETS)]),
-         ("tenure_bucket", *_RATE), True),
+         ("tenure_bucket", *_RATE), "tenure"),
     Mart("salary", "by_department", salary_by_department,
          ("department", "avg_salary", "median_salary", "p25_salary", "p75_salary", "stddev_salary", "total_payroll")),
     Mart("salary", "top_paying_depts", salary_top_paying, ("rank", "department", "avg_salary")),
     Mart("salary", "distribution", salary_distribution, ("avg_salary", "median_salary", "p95_salary", "p99_salary")),
-    Mart("workforce", "by_country", _headcount("country"), ("country", *_SPLIT), True),
-    Mart("workforce", "by_department", _headcount("department"), ("department", *_SPLIT), True),
-    Mart("workforce", "experience_distribution", _experience, ("experience_bucket", "headcount", "share_pct"), True),
-    Mart("workforce", "hiring_trends", _hiring, ("hire_year", "hire_month", "hires"), True),
+    Mart("workforce", "by_country", _headcount("country"), ("country", *_SPLIT), "country"),
+    Mart("workforce", "by_department", _headcount("department"), ("department", *_SPLIT), "department"),
+    Mart("workforce", "experience_distribution", _experience, ("experience_bucket", "headcount", "share_pct"), "experience"),
+    Mart("workforce", "hiring_trends", _hiring, ("hire_year", "hire_month", "hires"), "month"),
     Mart("performance", "by_department", _ratings,
-         ("department", "rated_employees", "avg_rating", "high_performers", "high_performer_pct"), True),
-    Mart("performance", "top_teams", _top_teams, ("rank", "department", "avg_rating"), True),
+         ("department", "rated_employees", "avg_rating", "high_performers", "high_performer_pct"), "department"),
+    Mart("performance", "top_teams", _top_teams, ("rank", "department", "avg_rating"), "department"),
     Mart("performance", "vs_salary", pay_by_rating,
          ("performance_rating", "employees", "avg_salary", "median_salary")),
 )
@@ -265,12 +284,12 @@ def build_all(
     spark = silver.sparkSession
     chosen = select_marts(names, registry)
     counted = None
-    if any(m.counts for m in chosen):
+    if any(m.cell_set for m in chosen):
         counted = write_cells(silver, f"{lake.root}/work/cells", as_of)
 
     def build_one(mart: Mart) -> DataFrame:
-        if mart.counts:
-            df = mart.fn(counted, as_of)
+        if mart.cell_set:
+            df = mart.build_from_cells(counted, as_of)
         elif mart.name == LEADERBOARD and PAY_BASE in {m.name for m in chosen}:
             df = top_paying_of(read_table(spark, lake.gold(PAY_BASE)))
         else:

@@ -32,7 +32,7 @@ def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 
 def mart(t: Tables, name: str) -> DataFrame:
     m = gold.BY_NAME[name]
-    options = {} if m.counts else {"accuracy": EXACT_ACCURACY}
+    options = {} if m.cell_set else {"accuracy": EXACT_ACCURACY}
     return m.build(b.employees(t), AS_OF, **options)
 
 
