@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peoplelake.functions.cleaning import as_of_date
@@ -343,7 +343,7 @@ def headcount(current: DataFrame, as_of: AsOf = None) -> DataFrame:
     return op.snapshot(counts.withColumn("attrition_rate", ratio(F.col("attrition_count"), F.col("headcount"))), as_of)
 
 
-def _mean_of(total: str, count: str) -> F.Column:
+def _mean_of(total: str, count: str) -> Column:
     return F.round(F.try_divide(F.col(total), F.col(count)), 2).cast("double")
 
 
