@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,9 @@ SCORE_CELLS = 4_000_000
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
+# The scoring helpers travel inside the task, so executors need numpy and pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def where_equal(df: DataFrame, where: Mapping[str, object] | None) -> DataFrame:
     """Metadata equality filter on promoted columns; a plain predicate, so it reaches the Parquet scan."""

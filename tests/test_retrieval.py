@@ -117,3 +117,17 @@ def test_delete_where_and_reset(spark):
     assert sorted(r["id"] for r in rt.delete_where(df, {"domain": "x"}).collect()) == ["c"]
     assert sorted(r["id"] for r in rt.delete_where(df, {"domain": "x", "n": 1}).collect()) == ["b", "c"]
     assert rt.delete_where(df, {}).count() == 3 and rt.reset(df).count() == 0
+
+
+def test_scoring_travels_with_the_task():
+    """Workers that cannot import this package can still run the scoring helpers."""
+    from pyspark import cloudpickle
+
+    shipped = cloudpickle.dumps(rt._best_of_batch)
+    code = ("import sys, pickle; sys.modules['peoplelake'] = None; "
+            "fn = pickle.loads(sys.stdin.buffer.read()); print(fn.__name__)")
+    import subprocess
+    import sys
+
+    done = subprocess.run([sys.executable, "-c", code], input=shipped, capture_output=True, timeout=60, cwd="/")
+    assert done.stdout.decode().strip() == "_best_of_batch", done.stderr.decode()[-500:]
