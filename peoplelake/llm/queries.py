@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm import bpe, exact_dedup, mixing, sharding
+from peoplelake.llm import bpe, exact_dedup, mixing, sharding, simhash
 from peoplelake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,12 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
 
 
+@query
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, folder, "documents"))
