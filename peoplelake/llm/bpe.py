@@ -15,6 +15,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from peoplelake.llm.common import ship
+
 #: Entries of the pieces a worker remembers; beyond that it forgets all and starts again. Results don't depend on it.
 CACHE = 1 << 19
 #: White space as the pattern's ``\s`` has it; the standard ``re`` counts four control characters more.
@@ -152,7 +154,8 @@ def _table(name: str) -> list[bytes]:
 
 
 def _ship(df: DataFrame, ranks_path: str) -> str:
-    """Give every executor the rank file; its name there."""
+    """Give every executor the rank file and this package; the file's name there."""
+    ship(df.sparkSession)
     df.sparkSession.sparkContext.addFile(ranks_path)
     return ranks_path.rstrip("/").rpartition("/")[2]
 

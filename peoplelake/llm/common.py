@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable
 from functools import reduce
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import peoplelake
 from peoplelake.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,6 +19,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 HOT_SHARE = 1000
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give Python workers this package, once per application, so a cluster needs no installation of it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(peoplelake.__file__).parent
+    path = f"{tempfile.mkdtemp()}/peoplelake.zip"
+    with zipfile.ZipFile(path, "w") as packed:
+        for file in sorted(root.rglob("*.py")):
+            packed.write(file, file.relative_to(root.parent))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: lineage ends there and lost executors cost nothing."""
     path = scratch_path(df.sparkSession, label)

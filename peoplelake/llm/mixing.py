@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplelake.llm.common import WORD, fresh, positions, staged, total_of
+from peoplelake.llm.common import WORD, fresh, positions, ship, staged, total_of
 from peoplelake.llm.feistel import permute
 
 BLOCK = 128
@@ -120,6 +120,7 @@ def mix(
     A null text has size 0 and is never taken, nor are texts without words; a null source is a source. Rows equal in key,
     text and source are interchangeable. Other columns are not looked at. No rows give no rows.
     """
+    ship(docs.sparkSession)
     narrow = docs.select(
         *(F.col(k).alias(f"key{i}") for i, k in enumerate(keys)), F.col(source_col).alias("source"),
         F.xxhash64(text_col).alias("text_hash"), word_count(text_col).alias("size"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm import bpe, exact_dedup, mixing, sharding, simhash
+from peoplelake.llm import bpe, exact_dedup, language, mixing, quality, sharding, simhash, toxicity
 from peoplelake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,28 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def fold(docs: DataFrame, of: int) -> Column:
+    """CRC-32 of the id as text, modulo ``of``; null ids count as the empty text."""
+    return F.crc32(F.coalesce(docs["doc_id"].cast("string"), F.lit("")).cast("binary")) % of
+
+
+def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Texts with their labels: one row per labelled document; of labels that repeat an id, the largest holds."""
+    once = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    return docs.select("doc_id", "text").join(once, "doc_id")
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = fold(docs, 3) == 1
+    labels = table(spark, folder, "labels")
+    learnt = with_labels(docs.filter(~held_out), labels.filter(fold(labels, 3) != 1))
+    model = toxicity.train(learnt.withColumnRenamed("toxic", "label"))
+    scored = toxicity.score(docs.withColumn("held_out", held_out), model)
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
@@ -40,6 +62,21 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
 
 
+@query
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Grades 0 (poor), 1 (well written but toxic), 2 (good) from the two labels; a text is selected if grade 1 is likely."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = fold(docs, 4) == 3
+    labels = table(spark, folder, "labels")
+    learnt = with_labels(docs.filter(~held_out), labels.filter(fold(labels, 4) != 3))
+    model = quality.train(learnt.withColumn("grade", F.col("quality") * (2 - F.col("toxic"))))
+    rated = quality.rate(docs.withColumn("held_out", held_out), model)
+    tail = F.coalesce(F.get("tails", F.lit(0)), F.lit(1.0))
+    return rated.select(
+        "doc_id", "held_out", "expected_grade", tail.alias("p_fair"),
+        F.coalesce(F.get("tails", F.lit(1)), tail).alias("p_good"), (tail >= 0.5).alias("selected"))
+
+
 @query
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
@@ -54,6 +91,15 @@ def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "row")
 
 
+@query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = fold(docs, 4) == 2
+    model = language.train(docs.filter(~held_out))
+    found = language.identify(docs.drop("lang").withColumn("held_out", held_out), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 @query
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from peoplelake.llm.common import positions, staged, total_of
+from peoplelake.llm.common import positions, ship, staged, total_of
 from peoplelake.llm.feistel import permute
 
 SHARDS = 8
@@ -35,6 +35,7 @@ def shard_rows(
     most and slots have no gaps. Neither file layout nor partitioning matters. A null text counts as empty; size is its
     UTF-8 length plus 1. Other columns are not looked at. Equal texts may lie in different shards. No rows give no rows.
     """
+    ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     narrow = docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"))

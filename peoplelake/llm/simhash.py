@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplelake.llm.common import fresh, join_by_key, staged
+from peoplelake.llm.common import fresh, join_by_key, ship, staged
 from peoplelake.llm.components import components
 
 BITS = 64
@@ -47,6 +47,7 @@ def fingerprint(text: str | None, width: int = WIDTH) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
     """(id, print): the fingerprint of each whole text, as a signed long."""
+    ship(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -131,6 +132,7 @@ def ball_links(prints: DataFrame, radius: int = RADIUS, per_prefix: int = PER_PR
     """
     if radius % 2:
         raise ValueError("the radius must be even")
+    ship(prints.sparkSession)
     n = prints.count()
     lead = min(24, max(4, (n // per_prefix).bit_length()))
     prefix = F.shiftrightunsigned("print", BITS - lead)
