@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm import bpe, exact_dedup, language, mixing, quality, sharding, simhash, toxicity
+from peoplelake.llm import bpe, embeddings, exact_dedup, language, mixing, quality, sharding, simhash, toxicity
 from peoplelake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,11 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op7_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, folder, "documents"))
