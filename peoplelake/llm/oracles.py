@@ -3,6 +3,13 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {
+    "op3_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size FROM pages),
+        q AS (SELECT *, CASE WHEN size >= 100 THEN min(page_id) OVER (PARTITION BY html) ELSE page_id END AS stored FROM p)
+        SELECT page_id, size::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+               CASE WHEN stored = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN stored <> page_id THEN stored END AS refers_to
+        FROM q""",
     "op1_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

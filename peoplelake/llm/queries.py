@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm import bpe, embeddings, exact_dedup, language, mixing, quality, sharding, simhash, toxicity
+from peoplelake.llm import bpe, embeddings, exact_dedup, language, mixing, quality, sharding, simhash, toxicity, warc
 from peoplelake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,17 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
 
 
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    read = warc.archive(table(spark, folder, "pages"))
+    stored = F.col("payload").isNotNull()
+    return read.select(
+        "page_id",
+        F.when(stored, F.octet_length("payload").cast("bigint")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(stored, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", "refers_to")
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
