@@ -25,11 +25,11 @@ PER_SLICE = 4096
 _STEP = 1 << 16
 
 
-def fingerprint(text: str | None, width: int = WIDTH) -> int:
-    """SimHash of the word shingles of a text, A-Z in lower case; 0 without words. Bit i is 1 if set in over half."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """Hash of every word shingle of a text, repeats included, A-Z in lower case; fewer words than ``width`` are one."""
     words = (text or "").encode("utf-8").lower().split()  # bytes: ASCII white space and letters only
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     line, size = b" ".join(words), np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(size + 1) - 1
     starts = ends - size
@@ -37,12 +37,22 @@ def fingerprint(text: str | None, width: int = WIDTH) -> int:
         starts, ends = starts[:1], ends[-1:]
     else:
         starts, ends = starts[:len(words) - width + 1], ends[width - 1:]
-    of, total = xxhash.xxh64_intdigest, np.zeros(BITS, np.int64)
-    for at in range(0, len(starts), _STEP):
-        spans = zip(starts[at:at + _STEP].tolist(), ends[at:at + _STEP].tolist(), strict=True)
-        hashes = np.array([of(line[a:b], SEED) for a, b in spans], dtype="<u8")
-        total += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * total > len(starts), bitorder="little").view("<u8")[0])
+    of = xxhash.xxh64_intdigest
+    return np.array([of(line[a:b], SEED) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Bit i of the result is 1 if it is set in over half of the hashes; 0 for none."""
+    total = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), _STEP):
+        bits = np.unpackbits(hashes[at:at + _STEP].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str | None, width: int = WIDTH) -> int:
+    """SimHash of the word shingles of a text; 0 without words."""
+    return majority(shingle_hashes(text, width))
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
@@ -64,14 +74,14 @@ def ball(bits: int, radius: int) -> list[int]:
     return [sum(1 << i for i in ones) for r in range(radius + 1) for ones in combinations(range(bits), r)]
 
 
-def _linked(prefix: int, lead: int, slices: int, cut: int, prints: np.ndarray, radius: int) -> np.ndarray:
-    """Links among ``prints`` that meet in a variant with this prefix of ``lead`` bits, as rows of two prints.
+def _met(prefix: int, lead: int, slices: int, cut: int, prints: np.ndarray, radius: int, bits: int, wide: int) -> np.ndarray:
+    """Pairs among ``prints`` that meet in a variant with this prefix of ``lead`` bits, as rows of two prints.
 
     Variants are made here from the prints in whose half-radius ball the prefix lies. ``cut`` of ``slices`` is the share of
-    the variants that this call looks at. Those made by several prints link them in a row, once checked; what is returned
-    is a spanning forest of these links, so its size does not exceed the number of prints.
+    the variants that this call looks at. The prints that made a variant are paired each with the next ``wide`` and with the
+    first of them; pairs are places in ``prints``, each once and checked.
     """
-    low, half = BITS - lead, radius // 2
+    low, half = bits - lead, radius // 2
     spent = np.bitwise_count((prints >> np.uint64(low)) ^ np.uint64(prefix))
     base, below = np.uint64(prefix << low), np.uint64((1 << low) - 1)
     made, owner = [], []
@@ -98,14 +108,20 @@ def _linked(prefix: int, lead: int, slices: int, cut: int, prints: np.ndarray, r
     at = np.minimum(np.searchsorted(twice, variants), len(twice) - 1)
     hit = np.flatnonzero(twice[at] == variants)
     hit = hit[np.lexsort((owner[hit], variants[hit]))]
-    same = variants[hit][1:] == variants[hit][:-1]
-    pairs = np.unique(np.stack([owner[hit][:-1][same], owner[hit][1:][same]], axis=1), axis=0)
-    pairs = pairs[np.bitwise_count(prints[pairs[:, 0]] ^ prints[pairs[:, 1]]) <= radius]
-    return prints[_forest(pairs)]
+    made, who = variants[hit], owner[hit]
+    first = np.flatnonzero(np.append(True, made[1:] != made[:-1]))
+    pairs = [np.stack([who[np.repeat(first, np.diff(np.append(first, len(made))))], who], axis=1)]
+    for step in range(1, wide + 1):
+        same = made[step:] == made[:-step]
+        pairs.append(np.stack([who[:-step][same], who[step:][same]], axis=1))
+    found = np.unique(np.concatenate(pairs), axis=0)
+    apart = np.bitwise_count(prints[found[:, 0]] ^ prints[found[:, 1]])
+    keep = (found[:, 0] != found[:, 1]) & (apart <= radius)
+    return found[keep][np.argsort(apart[keep], kind="stable")]
 
 
 def _forest(pairs: np.ndarray) -> np.ndarray:
-    """A spanning forest of these links."""
+    """Places of the pairs, taken in order, that make a spanning forest of them."""
     parent: dict[int, int] = {}
     kept = []
 
@@ -114,45 +130,56 @@ def _forest(pairs: np.ndarray) -> np.ndarray:
             parent[x] = x = parent[above]
         return x
 
-    for a, b in pairs.tolist():
+    for at, (a, b) in enumerate(pairs.tolist()):
         ra, rb = root(a), root(b)
         if ra != rb:
             parent[rb] = ra
-            kept.append((a, b))
-    return np.array(kept, dtype=np.int64).reshape(-1, 2)
+            kept.append(at)
+    return np.array(kept, dtype=np.int64)
 
 
-def ball_links(prints: DataFrame, radius: int = RADIUS, per_prefix: int = PER_PREFIX, per_slice: int = PER_SLICE) -> DataFrame:
-    """(a, b): links that connect the same fingerprints as all pairs of ``prints`` (print, distinct) within ``radius`` do.
+def ball_links(
+    prints: DataFrame, radius: int = RADIUS, bits: int = BITS, wide: int = 1, forests: int = 1,
+    per_prefix: int = PER_PREFIX, per_slice: int = PER_SLICE,
+) -> DataFrame:
+    """(tab, a, b): links that connect the same fingerprints as all pairs of ``prints`` (tab, print; distinct) within ``radius``.
 
-    Two fingerprints within the radius have a word within half the radius of both. Each is sent to every prefix of such a
-    word, where all its words with that prefix are made and meet those of others: all variants are made, once each, but
-    only prefixes are shuffled. Prefixes are long enough for ``per_prefix`` prints each on average; one that holds over
-    ``per_slice`` is dealt to several tasks by a hash of the word. The radius must be even.
+    Two fingerprints of a table ``tab`` within the radius have a word within half the radius of both. Each is sent to every
+    prefix of such a word, where all its words with that prefix are made and meet those of others: all variants are made,
+    once each, but only prefixes are shuffled. Prefixes are long enough for ``per_prefix`` prints each on average; one that
+    holds over ``per_slice`` is dealt to several tasks by a hash of the word. All prints that made a word are within the
+    radius of each other, so each need only be linked to the next ``wide``; of all links of a task, nearest first, as many
+    spanning forests are returned as ``forests`` says, so there are never more than that many per print and prefix. The radius
+    must be even.
     """
     if radius % 2:
         raise ValueError("the radius must be even")
     ship(prints.sparkSession)
-    n = prints.count()
-    lead = min(24, max(4, (n // per_prefix).bit_length()))
-    prefix = F.shiftrightunsigned("print", BITS - lead)
-    sizes = prints.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("held"))
+    most = prints.groupBy("tab").count().agg(F.max("count")).first()[0] or 0
+    lead = min(24, bits - 8, max(4, (most // per_prefix).bit_length()))
+    prefix = F.shiftrightunsigned("print", bits - lead)
+    sizes = prints.groupBy("tab", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("held"))
     heavy = sizes.filter(F.col("held") > per_slice).select(
-        "prefix", F.ceil(F.col("held") / F.lit(per_slice)).cast("int").alias("slices"))
-    near = prints.select("print", F.explode(F.array(*[
+        "tab", "prefix", F.ceil(F.col("held") / F.lit(per_slice)).cast("int").alias("slices"))
+    near = prints.select("tab", "print", F.explode(F.array(*[
         F.lit(m) for m in ball(lead, radius // 2)])).alias("flip")).select(
-        "print", prefix.bitwiseXOR(F.col("flip").cast("bigint")).alias("prefix"))
-    dealt = near.join(heavy, "prefix", "left").select(
-        "print", "prefix", F.coalesce("slices", F.lit(1)).alias("slices"))
+        "tab", "print", prefix.bitwiseXOR(F.col("flip").cast("bigint")).alias("prefix"))
+    dealt = near.join(heavy, ["tab", "prefix"], "left").select(
+        "tab", "print", "prefix", F.coalesce("slices", F.lit(1)).alias("slices"))
     dealt = dealt.withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
 
-    def meet(frame: pd.DataFrame) -> pd.DataFrame:
-        first = frame.iloc[0]
-        found = _linked(int(first["prefix"]), lead, int(first["slices"]), int(first["cut"]),
-                        frame["print"].to_numpy().view(np.uint64), radius)
-        return pd.DataFrame({"a": found[:, 0].view(np.int64), "b": found[:, 1].view(np.int64)}, copy=False)
+    def meet(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        held = np.sort(frame["print"].to_numpy().view(np.uint64))
+        pairs = _met(int(key[1]), lead, int(frame["slices"].iloc[0]), int(key[2]), held, radius, bits, wide)
+        taken = []
+        for _ in range(forests):
+            some = _forest(pairs)
+            taken.append(held[pairs[some]])
+            pairs = np.delete(pairs, some, axis=0)
+        found = np.concatenate(taken).reshape(-1, 2).view(np.int64)
+        return pd.DataFrame({"tab": np.full(len(found), key[0], np.int32), "a": found[:, 0], "b": found[:, 1]})
 
-    return dealt.groupBy("prefix", "cut").applyInPandas(meet, "a bigint, b bigint")
+    return dealt.groupBy("tab", "prefix", "cut").applyInPandas(meet, "tab int, a bigint, b bigint")
 
 
 def near_duplicates(
@@ -166,7 +193,7 @@ def near_duplicates(
     """
     rows = staged(fingerprints(docs, id_col, text_col, width), "simhash")
     nodes = staged(rows.groupBy("print").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("held")), "simhash-nodes")
-    found = components(ball_links(nodes.select("print"), radius))
+    found = components(ball_links(nodes.select(F.lit(0).alias("tab"), "print"), radius).select("a", "b"))
     labelled = staged(nodes.join(found, nodes["print"] == found["node"], "left").select(
         "print", "first", "held", F.coalesce("component", "print").alias("component")), "simhash-labels")
     names = labelled.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("prints"))
@@ -175,11 +202,104 @@ def near_duplicates(
     return out.select(F.col("id").alias(id_col), "print", "component_id")
 
 
-def drop_near_copies(
-    docs: DataFrame, width: int = WIDTH, radius: int = RADIUS, id_col: str = "doc_id", text_col: str = "text"
+def signature(hashes: np.ndarray, tables: int, bits: int) -> np.ndarray:
+    """Independent SimHashes of ``bits`` bits from the same shingle hashes, which are mixed anew for each."""
+    found = np.zeros(tables, np.int64)
+    for table in range(tables):
+        mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(2 * (0x4F1BBCDCBFA53E0B + 7919 * table) + 1)
+        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        found[table] = (majority(mixed ^ (mixed >> np.uint64(31))) & ((1 << bits) - 1)) if len(hashes) else 0
+    return found
+
+
+def alike_texts(
+    docs: DataFrame, width: int = 5, similarity: float = 0.8, tables: int = 10, bits: int = 40, radius: int = RADIUS,
+    id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one document of each group, with all its columns."""
-    marked = near_duplicates(docs.select(id_col, text_col), width, radius, id_col, text_col)
-    own = fresh("own_id", docs.columns)
-    kept = marked.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(own)).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept[own]), "left_semi")
+    """(id, text_hash, component_id) per distinct (id, text) of ``docs``: component_id is the smallest id reachable over links.
+
+    Texts link whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity`` or more. At 0.8 one word in
+    seven of a SimHash differs, too many for one ball of 64 bits, so candidates come from ``tables`` shorter fingerprints:
+    a pair at 0.8 is within the radius in about one table in four, nearer pairs in more. Candidates far apart in all bits
+    together are dropped, the others verified on their shingle sets. Links are exact; a pair just over the limit is missed by
+    all tables in about one case of twenty. Null and empty texts are all alike. Null ids come last.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    keyed = docs.select(F.col(id_col).alias("id"), text_hash.alias("text_hash"), F.col(text_col).alias("text"))
+
+    def sign(batches):
+        for batch in batches:
+            found = [signature(shingle_hashes(t.as_py(), width), tables, bits).tolist() for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(found, pa.list_(pa.int64()))], names=["id", "text_hash", "prints"])
+
+    schema = T.StructType([*keyed.schema.fields[:2], T.StructField("prints", T.ArrayType(T.LongType()))])
+    signed = staged(keyed.mapInArrow(sign, schema), "signed")
+    nodes = staged(signed.dropDuplicates(["id", "text_hash"]).withColumn("node", F.monotonically_increasing_id()), "signed-nodes")
+    cells = nodes.select("node", F.posexplode("prints").alias("tab", "print"))
+    heads = staged(cells.groupBy("tab", "print").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("held")), "heads")
+    # nodes of equal print to the first of them, and first nodes of near prints to each other
+    keys = F.concat_ws(":", "tab", "print")
+    equal = join_by_key(
+        staged(cells.select("node", keys.alias("cell")), "cells"), heads.select("head", "held", keys.alias("cell")), "cell", "held")
+    met = staged(ball_links(heads.select("tab", "print"), radius, bits, wide=4, forests=3), "met")
+    near = met.join(heads.select("tab", F.col("print").alias("a"), F.col("head").alias("x")), ["tab", "a"]).join(
+        heads.select("tab", F.col("print").alias("b"), F.col("head").alias("y")), ["tab", "b"])
+    pairs = equal.select(F.col("node").alias("x"), F.col("head").alias("y")).unionByName(near.select("x", "y"))
+    pairs = staged(pairs.filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
+
+    prints = nodes.select("node", "prints")
+    both = pairs.join(prints.withColumnsRenamed({"node": "x", "prints": "px"}), "x").join(
+        prints.withColumnsRenamed({"node": "y", "prints": "py"}), "y")
+    apart = F.aggregate(F.zip_with("px", "py", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
+    cosine = 2 * similarity / (1 + similarity)
+    expected = float(np.arccos(cosine) / np.pi) * tables * bits
+    likely = staged(both.filter(apart <= expected + 4 * expected**0.5).select("x", "y"), "likely")
+
+    wanted = likely.select(F.col("x").alias("node")).unionByName(likely.select(F.col("y").alias("node"))).distinct()
+    wanted = nodes.select("id", "text_hash", "node").join(wanted, "node")
+    own = wanted.withColumnsRenamed({"id": "own_id", "text_hash": "own_hash"})
+    texts = keyed.join(own, keyed["id"].eqNullSafe(own["own_id"]) & (keyed["text_hash"] == own["own_hash"])).select("node", "text")
+
+    def gather(batches):
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), width)).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    sets = staged(texts.mapInArrow(gather, "node bigint, shingles array<bigint>").dropDuplicates(["node"]), "shingle-sets")
+
+    @F.pandas_udf("double")
+    def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
+        def one(x, y):
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            union = len(x) + len(y) - shared
+            return shared / union if union else 1.0
+
+        return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
+
+    checked = likely.join(sets.withColumnsRenamed({"node": "x", "shingles": "sx"}), "x").join(
+        sets.withColumnsRenamed({"node": "y", "shingles": "sy"}), "y")
+    links = checked.filter(jaccard("sx", "sy") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    found = components(links)
+    labelled = staged(nodes.select("id", "text_hash", "node").join(found, "node", "left").select(
+        "id", "text_hash", F.coalesce("component", "node").alias("component")), "alike")
+    names = staged(labelled.groupBy("component").agg(
+        F.min("id").alias("component_id"), F.count(F.lit(1)).alias("held")), "alike-names")
+    out = join_by_key(labelled, names, "component", "held")
+    return out.select(F.col("id").alias(id_col), "text_hash", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose id names their group by :func:`alike_texts`: one document of each, with all its columns.
+
+    Rows that repeat the id that stays are kept only if their text is of that group.
+    """
+    marked = alike_texts(docs.select(id_col, text_col), id_col=id_col, text_col=text_col, **options)
+    own, mark = fresh("own_id", docs.columns), fresh("own_hash", docs.columns)
+    kept = marked.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
+        F.col(id_col).alias(own), F.col("text_hash").alias(mark))
+    same = F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == kept[mark]
+    return docs.join(kept, docs[id_col].eqNullSafe(kept[own]) & same, "left_semi")
