@@ -189,10 +189,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
 def digests(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """Decode the ids: ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` (hex) in place of ``ids_col``.
 
-    The bytes of the decoded text are hashed where they are made. Null ids count as none; an id without a token fails.
+    Columns of these names are replaced. The bytes of the decoded text are hashed where they are made. Null ids count as
+    none; an id without a token fails.
     """
     name = _ship(encoded, ranks_path)
-    kept = [c for c in encoded.columns if c != ids_col]
+    own = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    kept = [c for c in encoded.columns if c != ids_col and c.lower() not in own]
     schema = T.StructType([
         *(encoded.schema[c] for c in kept), T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])

@@ -54,13 +54,13 @@ def permute(x, n, seed: int, tweak=0, forward: bool = True) -> np.ndarray:
 
     A value that falls outside is fed through the rounds again until it is inside, so the map stays one to one.
     """
-    x = np.array(x, dtype=np.int64)
+    x = np.atleast_1d(np.array(x, dtype=np.int64))
     n = np.broadcast_to(np.asarray(n, dtype=np.int64), x.shape)
     tweak = np.broadcast_to(np.asarray(tweak, dtype=np.int64) & LOW, x.shape)
     if ((x < 0) | (x >= n)).any():
         raise ValueError("values must lie in 0 .. n-1")
     bits, keys = half_bits(n), round_keys(seed)
-    out = _rounds(x, bits, keys, tweak, forward) if len(x) else x
+    out = _rounds(x, bits, keys, tweak, forward)
     while (outside := np.flatnonzero(out >= n)).size:
         out[outside] = _rounds(out[outside], bits[outside], keys, tweak[outside], forward)
     return out
