@@ -8,7 +8,7 @@ from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import peoplelake
@@ -56,6 +56,22 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
+def hashed_sample(rows: DataFrame, group: str, text: str, most: int, held: dict) -> DataFrame:
+    """(group, text): at most ``most`` different texts of each group, those with the smallest hashes.
+
+    ``held`` has the rows of each group. Before any shuffle, texts are dropped whose hash is far above that of the last one
+    wanted, and copies are folded where they lie, so a group of any size sends a few times ``most`` rows.
+    """
+    place = F.shiftrightunsigned(F.xxhash64(text), 11)  # 53 bits, exact as a double
+    shares = [F.when(F.col(group) == F.lit(g), F.lit(min(1.0, 3.0 * most / n) * 2.0**53)) for g, n in held.items() if n]
+    if not shares:
+        return rows.select(group, text).limit(0)
+    near = rows.select(group, text, place.alias("place")).filter(F.col("place") < F.coalesce(*shares))
+    once = near.groupBy(group, "place").agg(F.min(text).alias(text))
+    order = Window.partitionBy(group).orderBy("place")
+    return once.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most).select(group, text)
+
+
 def join_by_key(rows: DataFrame, facts: DataFrame, key: str, weight: str, how: str = "inner") -> DataFrame:
     """Equi-join of ``rows`` (any number per key) with ``facts`` (one row per key, ``weight`` = its rows on the left).
 

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplelake.llm.common import fresh, ship
+from peoplelake.llm.common import fresh, hashed_sample, ship
 from peoplelake.llm.textfeatures import letters, ngrams
 
 BITS = 12
@@ -82,8 +82,8 @@ def train(
 ) -> LanguageModel:
     """Learn from the rows of ``docs`` with a language and a text.
 
-    Document frequencies count all rows. Centroids are clustered from at most ``sample`` texts of each language, those
-    with the smallest hashes. The model holds ``centroids`` vectors of 2**BITS numbers per language and comes to the driver;
+    Document frequencies count all rows. Centroids are clustered from at most ``sample`` different texts of each
+    language, those with the smallest hashes. The model holds ``centroids`` vectors of 2**BITS numbers per language and comes to the driver;
     it grows with the languages only. No rows give a model that answers ``und``.
     """
     ship(docs.sparkSession)
@@ -104,8 +104,8 @@ def train(
     rows = summed.get(-1, 0)
     idf = np.log((1 + rows) / (1 + np.array([summed.get(i, 0) for i in range(1 << BITS)]))) + 1
 
-    by_hash = Window.partitionBy("name").orderBy(F.xxhash64("text"), F.length("text"))
-    few = known.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= sample).drop("nth")
+    held = {r["name"]: r["count"] for r in known.groupBy("name").count().collect()}
+    few = hashed_sample(known, "name", "text", sample, held)
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
         vectors = np.array([vector(t, idf) for t in frame["text"] if _has_letter(t)])

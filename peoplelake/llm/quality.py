@@ -7,11 +7,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplelake.llm.common import ship
+from peoplelake.llm.common import hashed_sample, ship
 from peoplelake.llm.textfeatures import ngrams, points
 
 BITS = 12
@@ -81,7 +81,7 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, levels: int, weight: np.ndarra
 def train(graded: DataFrame, text_col: str = "text", grade_col: str = "grade") -> QualityModel:
     """Fit on rows with a text and an integer grade; others are left out.
 
-    At most SAMPLE rows of each grade are used, those with the smallest text hashes, each weighing as many as it stands for.
+    At most SAMPLE different texts of each grade are used, those with the smallest text hashes, each weighing as many as it stands for.
     With one grade only, or none, there are no thresholds and every text is expected to have that grade (0 if none).
     """
     ship(graded.sparkSession)
@@ -91,8 +91,7 @@ def train(graded: DataFrame, text_col: str = "text", grade_col: str = "grade") -
     grades = sorted(total)
     if len(grades) < 2:
         return QualityModel(grades or [0], np.zeros(1 << BITS), np.zeros(0))
-    by_hash = Window.partitionBy("grade").orderBy(F.xxhash64("text"), F.length("text"))
-    few = known.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= SAMPLE)
+    few = hashed_sample(known, "grade", "text", SAMPLE, total)
     rows = sum(total.values())
 
     @F.pandas_udf("array<float>")

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplelake.llm.common import ship, staged
+from peoplelake.llm.common import hashed_sample, ship, staged
 from peoplelake.llm.textfeatures import ngrams, points
 
 BITS = 20
@@ -75,7 +75,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label")
 
     Per n-gram, the rows of either label that hold it are counted over all rows. The ratio is the log of its smoothed share
     in label 1 over that in label 0. The FEATURES best supported (the ratio over its standard error) are
-    weighed, on at most SAMPLE rows of each label, those with the smallest text hashes. Without rows of both labels every
+    weighed, on at most SAMPLE different texts of each label, those with the smallest text hashes. Without rows of both labels every
     score is that of the one label seen, 0 if there is none. The driver gets FEATURES rows.
     """
     ship(labelled.sparkSession)
@@ -106,8 +106,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label")
     chosen = best.select("feature", "ratio").toPandas().sort_values("feature")
     feature, of = chosen["feature"].to_numpy(), chosen["ratio"].to_numpy()
 
-    by_hash = Window.partitionBy("label").orderBy(F.xxhash64("text"), F.length("text"))
-    few = known.withColumn("nth", F.row_number().over(by_hash)).filter(F.col("nth") <= SAMPLE)
+    few = hashed_sample(known, "label", "text", SAMPLE, total)
 
     @F.pandas_udf("array<int>")
     def places(texts: pd.Series) -> pd.Series:
