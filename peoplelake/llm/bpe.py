@@ -40,8 +40,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     rank_of = ranks.get
     ends = list(range(1, n + 1))  # where the part that starts here ends
     before = list(range(-1, n - 1))  # start of the part before
-    pair = [rank_of(piece[i:i + 2]) for i in range(n)]  # rank of this part joined with the next
-    pair[n - 1] = None
+    pair = [rank_of(piece[i:i + 2]) for i in range(n - 1)]  # rank of this part joined with the next
+    pair.append(None)
     buckets: dict[int, list[int]] = {}
     words: dict[int, int] = {}
     top = 0
