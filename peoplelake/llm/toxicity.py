@@ -15,6 +15,8 @@ from peoplelake.llm.common import hashed_sample, ship, staged
 from peoplelake.llm.textfeatures import ngrams, points
 
 BITS = 20
+#: Hashes whose counts travel in one row.
+BLOCK = 1 << 12
 SHORTEST, LONGEST = 3, 6
 #: N-grams that the classifier weighs, those whose ratio is best supported.
 FEATURES = 1 << 12
@@ -91,13 +93,19 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label")
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 seen[label, present(text.as_py())] += 1
-        some = np.flatnonzero(seen.any(axis=0))
-        for part in np.array_split(some, max(1, len(some) >> 16)):
-            yield pa.RecordBatch.from_pydict({
-                "feature": part, "without": seen[0, part].astype(np.int64), "with": seen[1, part].astype(np.int64)})
-
-    counted = known.select("text", "label").mapInArrow(held, "feature bigint, without bigint, with bigint")
-    counted = counted.groupBy("feature").agg(F.sum("without").alias("without"), F.sum("with").alias("with"))
+        # a row per block of hashes rather than per hash: mostly small numbers, which pack well in the shuffle
+        parts = seen.reshape(2, -1, BLOCK)
+        yield pa.RecordBatch.from_pydict({
+            "block": pa.array(np.arange(parts.shape[1]), pa.int32()), "without": pa.array(list(parts[0]), pa.list_(pa.int32())),
+            "with": pa.array(list(parts[1]), pa.list_(pa.int32()))})
+
+    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        sums = [np.sum(np.stack(frame[c].to_list()), axis=0, dtype=np.int64) for c in ("without", "with")]
+        some = np.flatnonzero(sums[0] + sums[1])
+        return pd.DataFrame({"feature": key[0] * BLOCK + some, "without": sums[0][some], "with": sums[1][some]})
+
+    counted = known.select("text", "label").mapInArrow(held, "block int, without array<int>, with array<int>")
+    counted = counted.groupBy("block").applyInPandas(add, "feature bigint, without bigint, with bigint")
     share_1 = (F.col("with") + SMOOTH) / F.lit(positives + 2 * SMOOTH)
     share_0 = (F.col("without") + SMOOTH) / F.lit(negatives + 2 * SMOOTH)
     ratio = F.log(share_1 / share_0)
