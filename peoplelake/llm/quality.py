@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplelake.llm.common import hashed_sample, ship
+from peoplelake.llm.common import hashed_sample, ship, staged
 from peoplelake.llm.textfeatures import ngrams, points
 
 BITS = 12
@@ -78,20 +78,26 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, levels: int, weight: np.ndarra
     return w, np.cumsum(np.append(free[:1], np.exp(free[1:])))
 
 
-def train(graded: DataFrame, text_col: str = "text", grade_col: str = "grade") -> QualityModel:
-    """Fit on rows with a text and an integer grade; others are left out.
+def train(
+    docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade"
+) -> QualityModel:
+    """Fit on the texts of ``docs`` whose id ``ratings`` gives an integer grade; of repeated ratings the highest holds.
 
-    At most SAMPLE different texts of each grade are used, those with the smallest text hashes, each weighing as many as it stands for.
-    With one grade only, or none, there are no thresholds and every text is expected to have that grade (0 if none).
+    At most SAMPLE ids of each grade are used, those with the smallest hashes, each weighing as many as it stands for. They
+    are drawn from the ratings, so texts of others stay where they are. Null ids, texts and grades are left out. With one
+    grade only, or none, there are no thresholds and every text is expected to have that grade (0 if none).
     """
-    ship(graded.sparkSession)
-    known = graded.filter(F.col(text_col).isNotNull() & F.col(grade_col).isNotNull()).select(
-        F.col(text_col).alias("text"), F.col(grade_col).cast("int").alias("grade"))
+    ship(docs.sparkSession)
+    known = ratings.filter(F.col(id_col).isNotNull() & F.col(grade_col).isNotNull())
+    known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(grade_col).cast("int")).alias("grade"))
     total = {r["grade"]: r["count"] for r in known.groupBy("grade").count().collect()}
     grades = sorted(total)
     if len(grades) < 2:
         return QualityModel(grades or [0], np.zeros(1 << BITS), np.zeros(0))
-    few = hashed_sample(known, "grade", "text", SAMPLE, total)
+    few = staged(hashed_sample(known, "grade", "id", SAMPLE, total), "quality-sample")
+    # at most SAMPLE rows per grade are broadcast
+    few = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
+        F.broadcast(few), "id").groupBy("id").agg(F.min("text").alias("text"), F.min("grade").alias("grade"))
     rows = sum(total.values())
 
     @F.pandas_udf("array<float>")

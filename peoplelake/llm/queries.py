@@ -79,8 +79,8 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     held_out = fold(docs, 4) == 3
     labels = table(spark, folder, "labels")
-    learnt = with_labels(docs.filter(~held_out), labels.filter(fold(labels, 4) != 3))
-    model = quality.train(learnt.withColumn("grade", F.col("quality") * (2 - F.col("toxic"))))
+    ratings = labels.filter(fold(labels, 4) != 3).select("doc_id", (F.col("quality") * (2 - F.col("toxic"))).alias("grade"))
+    model = quality.train(docs, ratings)
     rated = quality.rate(docs.withColumn("held_out", held_out), model)
     tail = F.coalesce(F.get("tails", F.lit(0)), F.lit(1.0))
     return rated.select(

@@ -112,14 +112,23 @@ def graded(seed, n=80):
     return out
 
 
+def fitted(spark, rows):
+    """Texts by id, some of them repeated, and ratings by id, some of them of no text."""
+    docs = [(i, t) for i, (t, _) in enumerate(rows)] + [(0, "again"), (None, "no id")]
+    ratings = [(i, g) for i, (_, g) in enumerate(rows)] + [(0, -1), (10**6, 2), (None, 2)] if rows else []
+    return quality.train(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(ratings, "doc_id bigint, grade int"))
+
+
 def test_quality_order_and_odd_rows(spark):
-    model = quality.train(spark.createDataFrame([*graded(1), (None, 2), ("x", None)], "text string, grade int"))
+    model = fitted(spark, [*graded(1), (None, 2), ("x", None)])
     assert model.grades == [0, 1, 2] and (np.diff(model.thresholds) > 0).all()
     rows = [*graded(5), ("", None), (None, None), ("the " * 30_000, None)]
     got = quality.rate(spark.createDataFrame([(t, g, "c") for t, g in rows], "text string, g int, tails string"), model).collect()
     assert len(got) == len(rows) and all(r["tails"][0] >= r["tails"][1] and 0 <= r["expected_grade"] <= 2 for r in got)
     assert np.mean([round(r["expected_grade"]) == r["g"] for r in got if r["g"] is not None]) > 0.9
-    one = quality.train(spark.createDataFrame([("a", 3)], "text string, grade int"))
+    assert fitted(spark, []).grades == [0]
+    one = quality.train(spark.createDataFrame([(1, "a")], "doc_id int, text string"), spark.createDataFrame([(1, 3)], "doc_id int, grade int"))
     assert quality.rate(spark.createDataFrame([("b",)], "text string"), one).first()["expected_grade"] == 3
     assert quality.rate(spark.createDataFrame([], "text string"), model).count() == 0
 
