@@ -41,7 +41,8 @@ def fold(docs: DataFrame, of: int) -> Column:
 def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Texts with their labels: one row per labelled document; of labels that repeat an id, the largest holds."""
     once = labels.groupBy("doc_id").agg(F.max("quality").alias("quality"), F.max("toxic").alias("toxic"))
-    return docs.select("doc_id", "text").join(once, "doc_id")
+    # the same plan at any size: texts are shuffled once, whether or not the labels would fit a broadcast
+    return docs.select("doc_id", "text").join(once.hint("merge"), "doc_id")
 
 
 @query

@@ -22,6 +22,8 @@ SHORTEST, LONGEST = 3, 6
 FEATURES = 1 << 12
 #: Most rows of either label that the weights are fitted on; all labelled rows are counted for the ratios.
 SAMPLE = 3000
+#: Labelled rows that one counting task takes at least, as each sends counts for all hashes.
+COUNT_ROWS = 1 << 13
 SMOOTH = 1.0
 PENALTY = 3.0
 ROUNDS = 400
@@ -104,7 +106,8 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label")
         some = np.flatnonzero(sums[0] + sums[1])
         return pd.DataFrame({"feature": key[0] * BLOCK + some, "without": sums[0][some], "with": sums[1][some]})
 
-    counted = known.select("text", "label").mapInArrow(held, "block int, without array<int>, with array<int>")
+    tasks = -(-(negatives + positives) // COUNT_ROWS)
+    counted = known.select("text", "label").coalesce(tasks).mapInArrow(held, "block int, without array<int>, with array<int>")
     counted = counted.groupBy("block").applyInPandas(add, "feature bigint, without bigint, with bigint")
     share_1 = (F.col("with") + SMOOTH) / F.lit(positives + 2 * SMOOTH)
     share_0 = (F.col("without") + SMOOTH) / F.lit(negatives + 2 * SMOOTH)
