@@ -80,10 +80,14 @@ def whole(c: str) -> Column:
 
 
 def stable_id_sql(*parts: str, **named: str) -> str:
-    """Dot-joined segments, then ``key=value`` segments in key order, spaces as underscores, cut at 512 characters."""
+    """Dot-joined segments, then ``key=value`` segments in key order, spaces as underscores.
+
+    An id of over 512 characters keeps its head and ends in a hash of the whole, so different ids stay different.
+    """
     segments = [quoted(p) for p in parts]
     segments += [f"concat({quoted(k + '=')}, coalesce(CAST({named[k]} AS STRING), 'None'))" for k in sorted(named)]
-    return f"substring(replace(concat_ws('.', {', '.join(segments)}), ' ', '_'), 1, {ID_LENGTH})"
+    whole = f"replace(concat_ws('.', {', '.join(segments)}), ' ', '_')"
+    return f"if(length({whole}) <= {ID_LENGTH}, {whole}, concat(substring({whole}, 1, {ID_LENGTH - 33}), '~', md5({whole})))"
 
 
 def stable_id(*parts: str, **named: str) -> Column:

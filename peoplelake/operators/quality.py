@@ -14,7 +14,7 @@ class QualityGateError(RuntimeError):
 
 @dataclass(frozen=True)
 class Thresholds:
-    """Largest acceptable value of each check, and which checks block."""
+    """Largest acceptable value of each check, and which checks block. Fixed values."""
 
     null_employee_id_pct: float = 0.0
     duplicate_employee_id_ratio: float = 0.0

@@ -1,4 +1,5 @@
-"""DuckDB statements equivalent to the registered queries, written from the definitions and independent of the Spark code.
+"""DuckDB statements equivalent to the registered queries, written from the definitions. Word lists, patterns and mart names are
+the package's own; unit tests with literal inputs pin them.
 
 Rounded quotients are computed in integers (exact half-up), so they do not depend on either engine's floating point.
 """
@@ -340,7 +341,7 @@ oracle(
 relation(
     "staff",
     "SELECT CAST(c_custkey AS VARCHAR) AS employee_id, c_mktsegment AS department, r_name AS location FROM customer "
-    "JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal > 0",
+    "JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
 )
 oracle(
     "gold_attendance", "fct_attendance staff",
@@ -390,6 +391,7 @@ oracle(
     'SELECT employee_id, "offset", ingest_ts, salary FROM (SELECT *, row_number() OVER (PARTITION BY employee_id '
     'ORDER BY ingest_ts DESC, "offset" DESC) AS rn FROM feed) WHERE rn = 1')
 oracle("silver_employees", "silver", "SELECT * FROM silver")
+oracle("silver_incremental", "silver", "SELECT * FROM silver")
 oracle("silver_write_roundtrip", "silver", "SELECT * EXCLUDE (skills) FROM silver")
 oracle("silver_attendance", "fct_attendance", "SELECT * FROM fct_attendance")
 oracle("silver_performance", "fct_performance", "SELECT * FROM fct_performance")
@@ -460,7 +462,7 @@ oracle(
 oracle(
     "bronze_parse_recruitment", "applications",
     'SELECT sequence AS "offset", application_id, source, stage, department, offer_amount, event_ts, '
-    "CAST(event_ts AS DATE) AS ingest_date FROM applications WHERE department IS NOT NULL")
+    "CAST(event_ts AS DATE) AS ingest_date FROM applications")
 
 
 def json_field(name: str, sql: str, text: bool) -> str:
@@ -615,13 +617,23 @@ oracle(
 def ends(table: str, label: str, metric: str, which=("top", "bottom")) -> str:
     parts = []
     for end in which:
-        order = f"{metric} {'DESC' if end == 'top' else 'ASC'}, {label}"
+        order = f"{metric} {'DESC NULLS LAST' if end == 'top' else 'ASC NULLS FIRST'}, {label} NULLS FIRST"
         parts.append(f"SELECT '{end}' AS \"end\", CAST(row_number() OVER (ORDER BY {order}) AS INT) AS place, {label}, "
-                     f"{metric} FROM {table} WHERE {label} IS NOT NULL QUALIFY place <= 3")
+                     f"{metric} FROM {table} QUALIFY place <= 3")
     return " UNION ALL ".join(f"({p})" for p in parts)
 
 
 oracle("hotspots_attrition", "m_attrition_by_country", ends("m_attrition_by_country", "country", "attrition_rate"))
+_PAID, _STAFFED = "m_salary_by_department", "m_workforce_by_department"
+oracle(
+    "gold_append_twice", f"{_PAID} m_salary_top_paying_depts {_STAFFED}",
+    " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, DATE '{day}' AS snapshot_date, count(*) AS rows, {leader} AS leader FROM {table}"
+        for day in (AS_OF, "2002-01-02")
+        for mart, table, leader in (
+            ("salary/by_department", _PAID, "arg_max(department, {'a': avg_salary, 'd': department})"),
+            ("salary/top_paying_depts", "m_salary_top_paying_depts", "arg_max(department, {'a': avg_salary, 'd': department})"),
+            ("workforce/by_department", _STAFFED, "max(department)"))))
 oracle("hotspots_salary", "m_salary_by_department", ends("m_salary_by_department", "department", "avg_salary"))
 oracle(
     "hotspots_talent", "m_performance_by_department",
@@ -778,7 +790,7 @@ oracle(
 ORACLES["resolve_table_refs"] = ORACLES["resolve_table_refs"].replace(")\n, refs AS", "),\nrefs AS", 1)
 relation(
     "turns",
-    """SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer_summary FROM conversations u JOIN conversations a
+    """SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer_summary FROM conversations u LEFT JOIN conversations a
     ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant' WHERE u.role = 'user'""",
 )
 relation(
@@ -794,7 +806,7 @@ def side(c: str) -> str:
 oracle(
     "conversation_context", "recent",
     f"""SELECT conv_id, CAST(count(*) AS INT) AS turns, 'Recent conversation:' || chr(10) || string_agg('  User: ' || {side('question')}
-    || chr(10) || '  Assistant: ' || {side('answer_summary')}, chr(10) ORDER BY turn) AS context
+    || chr(10) || '  Assistant: ' || coalesce({side('answer_summary')}, ''), chr(10) ORDER BY turn) AS context
     FROM recent WHERE recency <= 3 GROUP BY 1""")
 
 # -- retrieval ------------------------------------------------------------------------------------------------------------

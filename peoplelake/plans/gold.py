@@ -15,6 +15,7 @@ from peoplelake.functions.cleaning import as_of_date
 from peoplelake.functions.metrics import EXACT, bucket, position_of, ratio, total_where
 from peoplelake.operators import marts as op
 from peoplelake.plans.silver import STAGES
+from peoplelake.session import discard, scratch_path
 from peoplelake.sources.lake import Lake, read_table, write_table
 
 AsOf = dt.date | str | None
@@ -194,6 +195,7 @@ def _worst_first(by: str):
     return lambda: [F.desc("attrition_rate"), F.col(by)]
 
 
+# Names, columns and order of the registered marts.
 _RATE = ("headcount", "attrition_rate")
 _SPLIT = ("headcount", "attrited", "active")
 MARTS: tuple[Mart, ...] = (
@@ -283,25 +285,44 @@ def build_all(
     """
     spark = silver.sparkSession
     chosen = select_marts(names, registry)
-    counted = None
-    if any(m.cell_set for m in chosen):
-        counted = write_cells(silver, f"{lake.root}/work/cells", as_of)
+    scratch = scratch_path(spark, "gold-build")
+    base: dict[str, DataFrame] = {}
 
-    def build_one(mart: Mart) -> DataFrame:
+    def shared_cells() -> DataFrame | Exception:
+        try:
+            return write_cells(silver, f"{scratch}/cells", as_of)
+        except Exception as error:  # reported by each mart that needs the cells
+            return error
+
+    counted = shared_cells() if any(m.cell_set for m in chosen) else None
+    with_base = PAY_BASE in {m.name for m in chosen}
+
+    def frame_of(mart: Mart) -> DataFrame:
         if mart.cell_set:
-            df = mart.build_from_cells(counted, as_of)
-        elif mart.name == LEADERBOARD and PAY_BASE in {m.name for m in chosen}:
-            df = top_paying_of(read_table(spark, lake.gold(PAY_BASE)))
-        else:
-            df = mart.fn(silver, as_of, accuracy=accuracy) if mart.fn in _PAY else mart.fn(silver, as_of)
-        write_table(df.coalesce(max(1, files)), lake.gold(mart.name), mode=mode)
-        return validation_row(mart.name, read_table(spark, lake.gold(mart.name)), mart.required)
+            if isinstance(counted, Exception):
+                raise counted
+            return mart.build_from_cells(counted, as_of)
+        if mart.name == LEADERBOARD and with_base:
+            if PAY_BASE not in base:
+                raise RuntimeError(f"{PAY_BASE} failed")
+            return top_paying_of(base[PAY_BASE])
+        return mart.fn(silver, as_of, accuracy=accuracy) if mart.fn in _PAY else mart.fn(silver, as_of)
+
+    def build_one(mart: Mart) -> DataFrame:
+        # this run's rows are written once aside, then published: an appended table also holds earlier snapshots, which
+        # are neither ranked nor validated again
+        write_table(frame_of(mart).coalesce(max(1, files)), f"{scratch}/{mart.name}")
+        own = read_table(spark, f"{scratch}/{mart.name}")
+        write_table(own.coalesce(max(1, files)), lake.gold(mart.name), mode=mode)
+        base[mart.name] = own
+        row = validation_row(mart.name, own, mart.required).first()
+        return spark.createDataFrame([tuple(row)], VALIDATION_DDL)
 
     def attempt(mart: Mart) -> DataFrame:
         try:
             return build_one(mart).withColumn("status", F.lit("written"))
         except Exception as error:  # isolation: a failing mart is a status row, not the end of the job
-            row = (mart.name, None, None, False, f"{type(error).__name__}: {str(error)[:200]}")
+            row = (mart.name, None, None, False, f"{type(error).__name__}: {error}")
             return spark.createDataFrame([row], VALIDATION_DDL).withColumn("status", F.lit("failed"))
 
     # Marts are independent small jobs: submitting a few at a time keeps the cluster busy between their tiny stages.
@@ -309,6 +330,7 @@ def build_all(
         first = list(pool.map(attempt, [m for m in chosen if m.name != LEADERBOARD]))
     rows = first + [attempt(m) for m in chosen if m.name == LEADERBOARD]
     status = reduce(DataFrame.unionByName, rows)
+    discard(spark, scratch)
     if strict:
         bad = [r["mart"] for r in status.filter(~F.col("passed")).select("mart").collect()]
         if bad:

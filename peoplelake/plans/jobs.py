@@ -8,24 +8,47 @@ import logging
 import sys
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.operators.latest import mark_current, upsert
+from peoplelake.operators.latest import latest_per_key, mark_current, upsert
 from peoplelake.operators.quality import QualityGateError, Thresholds, enforce, quality_report
 from peoplelake.operators.retrieval import Encoder, embed
 from peoplelake.plans import gold, insights, silver
 from peoplelake.plans.catalog import load_marts
 from peoplelake.schemas import STREAMS
-from peoplelake.session import build_session, scratch_path
+from peoplelake.session import build_session, discard, scratch_path
 from peoplelake.sources.lake import SILVER_PARTITIONS, Lake, read_table, write_table
 from peoplelake.sources.log import read_since
-from peoplelake.streaming.ingest import ingest_topic, progress_report
+from peoplelake.streaming.ingest import ingest_topic, watch
 
 LOG = logging.getLogger(__name__)
 AsOf = dt.date | str | None
 
 
+def existing_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame | None:
+    """A written table in the shape of ``like``, or None when it is not there yet."""
+    try:
+        return read_table(spark, path, like=like)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def merged(existing: DataFrame | None, new: DataFrame, keys: Sequence[str], newest_by: str) -> DataFrame:
+    """Latest-wins over both tables: the newest row per key stays, the new batch on a tie, and every other row as well.
+
+    The whole table is written again: a row may leave its partition (an employee changes department), so replacing the
+    touched partitions alone would leave the old row behind.
+    """
+    if existing is None:
+        return new
+    both = existing.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)))
+    return latest_per_key(both, keys, [newest_by, "_batch"]).drop("_batch")
+
+
 def clean_employees(
     raw: DataFrame,
     lake: Lake,
@@ -39,10 +62,15 @@ def clean_employees(
 
     The cleaned rows are written once to the shared folder, so neither the audit nor the publication repeats the
     cleaning and the deduplication, and a failed gate leaves the published table as it was. The audit reads only the
-    five columns it needs.
+    five columns it needs. ``mode="merge"`` keeps the published rows of other employees and the newer row of each
+    employee, so an incremental load gives what a full rebuild gives; the audit is then of the merged table.
     """
+    _check_mode(mode)
     spark = raw.sparkSession
+    target = lake.silver("dim_employee")
     cleaned = silver.silver_employees(raw, as_of)
+    if mode == "merge":
+        cleaned = merged(existing_table(spark, target, cleaned), cleaned, ["employee_id"], "ingest_ts")
     staged_path = scratch_path(spark, "staged-employees")
     write_table(cleaned, staged_path)
     staged = read_table(spark, staged_path)
@@ -51,24 +79,41 @@ def clean_employees(
     report = spark.read.parquet(report_path)
     if fail_on_quality:
         enforce(report)
-    target = lake.silver("dim_employee")
-    write_table(staged, target, SILVER_PARTITIONS["dim_employee"], mode=mode)
+    write_table(staged, target, SILVER_PARTITIONS["dim_employee"])
+    discard(spark, staged_path)
     return read_table(spark, target, like=cleaned), report
 
 
+MODES = ("overwrite", "merge")
+
+
+def _check_mode(mode: str) -> None:
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}; appending would repeat keys")
+
+
 _FACTS = {
-    "attendance": ("fct_attendance", silver.silver_attendance),
-    "performance": ("fct_performance", silver.silver_performance),
-    "recruitment": ("fct_recruitment", silver.silver_recruitment),
+    "attendance": ("fct_attendance", silver.silver_attendance, ["attendance_id"]),
+    "performance": ("fct_performance", silver.silver_performance, ["review_id"]),
+    "recruitment": ("fct_recruitment", silver.silver_recruitment, ["application_id", "stage"]),
 }
 
 
-def clean_fact(raw: DataFrame, lake: Lake, stream: str) -> DataFrame:
-    """Clean one fact stream and write its partitioned table."""
-    table, plan = _FACTS[stream]
-    cleaned = plan(raw)
-    write_table(cleaned, lake.silver(table), SILVER_PARTITIONS[table])
-    return read_table(raw.sparkSession, lake.silver(table), like=cleaned)
+def clean_fact(raw: DataFrame, lake: Lake, stream: str, mode: str = "overwrite") -> DataFrame:
+    """Clean one fact stream and write its partitioned table; ``merge`` keeps the newest event of every key."""
+    _check_mode(mode)
+    spark = raw.sparkSession
+    table, plan, keys = _FACTS[stream]
+    cleaned, target = plan(raw), lake.silver(table)
+    if mode == "merge":
+        cleaned = merged(existing_table(spark, target, cleaned), cleaned, keys, "event_ts")
+        staged_path = scratch_path(spark, f"staged-{table}")
+        write_table(cleaned, staged_path)
+        write_table(read_table(spark, staged_path), target, SILVER_PARTITIONS[table])
+        discard(spark, staged_path)
+    else:
+        write_table(cleaned, target, SILVER_PARTITIONS[table])
+    return read_table(spark, target, like=cleaned)
 
 
 def current_staff(versions: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -115,6 +160,7 @@ def refresh_chunks(
     staged = scratch_path(spark, "chunks")
     write_table(fresh, staged)
     write_table(read_table(spark, staged), target)
+    discard(spark, staged)
     return read_table(spark, target)
 
 
@@ -139,7 +185,7 @@ def _parser() -> argparse.ArgumentParser:
     clean = jobs.add_parser("silver", help="raw tables to cleaned tables")
     clean.add_argument("--stream", default="employee_csv", choices=["employee_csv", *_FACTS])
     clean.add_argument("--since", default=None)
-    clean.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
+    clean.add_argument("--mode", choices=MODES, default=None, help="default: merge with --since, else overwrite")
     clean.add_argument("--fail-on-dq", action="store_true")
     marts = jobs.add_parser("gold", help="cleaned employees to marts")
     marts.add_argument("--marts", nargs="*", default=None)
@@ -158,13 +204,15 @@ def _run_ingest(spark: SparkSession, lake: Lake, args) -> int:
     if args.starting_offsets:
         source["starting_offsets"] = args.starting_offsets
     query = ingest_topic(spark, args.servers, args.topic, args.stream, lake, once=args.once, **source)
-    query.awaitTermination()
-    for row in progress_report(spark, query).tail(1):
-        LOG.info("batch %s read %s rows", row["batch_id"], row["input_rows"])
+    batches = watch(query)
+    LOG.info("%s batches read %s rows", len(batches), sum(p.numInputRows for p in batches.values()))
     return EXIT_OK
 
 
 def _run_silver(spark: SparkSession, lake: Lake, args) -> int:
+    if args.since and args.mode == "overwrite":
+        LOG.error("--since with --mode overwrite would drop all older rows")
+        return EXIT_BUILD
     try:
         raw = read_since(spark, lake.bronze(args.stream), args.since)
     except Exception:
@@ -173,11 +221,12 @@ def _run_silver(spark: SparkSession, lake: Lake, args) -> int:
     if raw.isEmpty():
         LOG.warning("raw table %s is empty", args.stream)
         return EXIT_OK
+    mode = args.mode or ("merge" if args.since else "overwrite")
     try:
         if args.stream in _FACTS:
-            clean_fact(raw, lake, args.stream)
+            clean_fact(raw, lake, args.stream, mode)
         else:
-            clean_employees(raw, lake, args.as_of, mode=args.mode, fail_on_quality=args.fail_on_dq)
+            clean_employees(raw, lake, args.as_of, mode=mode, fail_on_quality=args.fail_on_dq)
     except QualityGateError:
         LOG.exception("quality gate closed")
         return EXIT_QUALITY

@@ -17,12 +17,10 @@ from peoplelake.session import scratch_path
 from peoplelake.sources import lake as lk
 from peoplelake.sources import log
 from peoplelake.sources.lake import Lake
-from peoplelake.streaming.ingest import progress_report, start_ingest
+from peoplelake.streaming.ingest import progress_report, start_ingest, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-# Sketch accuracy at which percentiles are exact on the driver tables; production keeps the default.
-EXACT_ACCURACY = 1_000_000
 
 
 def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -31,22 +29,23 @@ def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 
 
 def mart(t: Tables, name: str) -> DataFrame:
-    m = gold.BY_NAME[name]
-    options = {} if m.cell_set else {"accuracy": EXACT_ACCURACY}
-    return m.build(b.employees(t), AS_OF, **options)
+    return gold.BY_NAME[name].build(b.employees(t), AS_OF)
 
 
-_GOLD: dict[tuple[str, str], tuple[Lake, dict[str, DataFrame]]] = {}
+_GOLD: dict[tuple, Lake] = {}
 
 
 def built_gold(t: Tables) -> tuple[Lake, dict[str, DataFrame]]:
-    """The written Gold marts of a folder, built once per application by the regular build job."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
+    """The Gold marts of a folder, written by the regular build job; built again when an input file has changed."""
+    files = []
+    for name in ("orders", "customer", "nation"):
+        meta = t(name).select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").distinct()
+        files += sorted(tuple(r) for r in meta.collect())
+    key = (t.spark.sparkContext.applicationId, t.folder, *files)
     if key not in _GOLD:
-        lake = Lake(scratch_path(t.spark, "gold"))
-        gold.build_all(b.employees(t), lake, AS_OF, accuracy=EXACT_ACCURACY).collect()
-        _GOLD[key] = lake, catalog.load_marts(t.spark, lake)
-    return _GOLD[key]
+        _GOLD[key] = Lake(scratch_path(t.spark, "gold"))
+        gold.build_all(b.employees(t), _GOLD[key], AS_OF).collect()
+    return _GOLD[key], catalog.load_marts(t.spark, _GOLD[key])
 
 
 def gold_marts(t: Tables) -> dict[str, DataFrame]:
@@ -64,9 +63,9 @@ def stream_bronze_ingest(t: Tables) -> DataFrame:
     lake = Lake(scratch_path(t.spark, "ingest"))
     events = log.file_stream(t.spark, f"{t.folder}/events*.parquet", EVENTS_DDL)
     run = start_ingest(b.attendance_messages(events), "attendance", lake, ingest_ts=F.col("timestamp"))
-    run.awaitTermination()
+    batches = watch(run, every=0.2)
     landed = t.spark.read.parquet(lake.bronze("attendance"))
-    seen = progress_report(t.spark, run).agg(F.sum("input_rows"))
+    seen = progress_report(t.spark, batches).agg(F.sum("input_rows"))
     per_day = landed.groupBy("ingest_date").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("attendance_id").alias("parsed_rows"),
@@ -173,7 +172,25 @@ def silver_write_roundtrip(t: Tables) -> DataFrame:
 @query
 def gold_build_all(t: Tables) -> DataFrame:
     lake = Lake(scratch_path(t.spark, "gold"))
-    return gold.build_all(b.employees(t), lake, AS_OF, accuracy=EXACT_ACCURACY)
+    return gold.build_all(b.employees(t), lake, AS_OF)
+
+
+@query
+def gold_append_twice(t: Tables) -> DataFrame:
+    """Two snapshots appended: rows per mart and day, and the leaders of each day."""
+    lake = Lake(scratch_path(t.spark, "gold"))
+    employees = b.employees(t)
+    names = ["salary/by_department", "salary/top_paying_depts", "workforce/by_department"]
+    for day in (AS_OF, "2002-01-02"):
+        gold.build_all(employees, lake, day, names=names, mode="append").collect()
+    parts = []
+    for name in names:
+        written = lk.read_table(t.spark, lake.gold(name))
+        paid = F.struct("avg_salary", "department") if "avg_salary" in written.columns else F.struct("department")
+        best = F.max(F.when(F.col("department").isNotNull(), paid))
+        parts.append(written.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("rows"), best["department"].alias("leader"))
+                     .withColumn("mart", F.lit(name)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query
@@ -263,6 +280,16 @@ def silver_employees(t: Tables) -> DataFrame:
         *_SILVER_SHOWN, F.array_join("skills", "|").alias("skills"))
 
 
+@query
+def silver_incremental(t: Tables) -> DataFrame:
+    """First deliveries as a full load, then the corrections merged in: the table that one load of all rows gives."""
+    lake = Lake(scratch_path(t.spark, "incremental"))
+    feed = b.feed(t)
+    jobs.clean_employees(feed.filter(F.col("offset") % 2 == 1), lake, AS_OF)
+    table, _ = jobs.clean_employees(feed.filter(F.col("offset") % 2 == 0), lake, AS_OF, mode="merge")
+    return table.select(*_SILVER_SHOWN, F.array_join("skills", "|").alias("skills"))
+
+
 @query
 def silver_attendance(t: Tables) -> DataFrame:
     return silver.silver_attendance(b.attendance(t("events")))
@@ -396,13 +423,12 @@ def hotspots_attrition(t: Tables) -> DataFrame:
 
 @query
 def hotspots_salary(t: Tables) -> DataFrame:
-    return reports.extremes(mart(t, "salary/by_department").filter("department is not null"), "department", "avg_salary")
+    return reports.extremes(mart(t, "salary/by_department"), "department", "avg_salary")
 
 
 @query
 def hotspots_talent(t: Tables) -> DataFrame:
-    rated = mart(t, "performance/by_department").filter("department is not null")
-    return reports.extremes(rated, "department", "high_performer_pct", ends={"top": True})
+    return reports.extremes(mart(t, "performance/by_department"), "department", "high_performer_pct", ends={"top": True})
 
 
 @query

@@ -41,6 +41,12 @@ def shared_root(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, wherever the shared folder lies."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below :func:`shared_root`; never reused, never deleted here."""
+    """A fresh path below :func:`shared_root`; never reused. Jobs :func:`discard` what they have published."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"

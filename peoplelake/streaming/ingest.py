@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from peoplelake.schemas import stream_schema
 from peoplelake.sources.lake import Lake
@@ -48,10 +51,29 @@ def ingest_topic(
     return start_ingest(kafka_stream(spark, servers, topic, **source), stream, lake, once=once)
 
 
-def progress_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recorded micro-batch: batch id, input rows and source descriptions."""
+def watch(query: StreamingQuery, every: float = 1.0) -> dict[int, StreamingQueryProgress]:
+    """Wait for the query to end and keep the progress of every batch by its id.
+
+    The query itself remembers only its last hundred batches, so they are gathered while it runs. A gap in the batch ids
+    would mean that more than these ended between two looks, and fails.
+    """
+    seen: dict[int, StreamingQueryProgress] = {}
+    ended = False
+    while not ended:
+        ended = bool(query.awaitTermination(every))
+        # an idle trigger repeats the id of the batch before with no rows
+        for p in query.recentProgress:
+            if p.batchId not in seen or p.numInputRows:
+                seen[p.batchId] = p
+    if seen and len(seen) != max(seen) - min(seen) + 1:
+        raise RuntimeError(f"progress of {max(seen) - min(seen) + 1 - len(seen)} batches was not seen; look more often")
+    return seen
+
+
+def progress_report(spark: SparkSession, batches: Mapping[int, StreamingQueryProgress]) -> DataFrame:
+    """One row per micro-batch of :func:`watch`: batch id, input rows and source descriptions."""
     rows = [
         (p.name, int(p.batchId), int(p.numInputRows), [s.description for s in p.sources])
-        for p in query.recentProgress
+        for _, p in sorted(batches.items())
     ]
     return spark.createDataFrame(rows, "name string, batch_id bigint, input_rows bigint, sources array<string>")

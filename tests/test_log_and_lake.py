@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from peoplelake.schemas import STREAMS, stream_schema
 from peoplelake.sources import lake as lk
 from peoplelake.sources import log
-from peoplelake.streaming.ingest import progress_report, start_ingest
+from peoplelake.streaming.ingest import progress_report, start_ingest, watch
 
 TS = dt.datetime(2026, 5, 1, 10, 30)
 
@@ -72,8 +72,7 @@ def test_stream_restart_neither_loses_nor_repeats(spark, lake, tmp_path):
     def run():
         stream = log.file_stream(spark, source, log.MESSAGE_DDL, max_files_per_trigger=1)
         query = start_ingest(stream, "attendance", lake, ingest_ts=F.col("timestamp"))
-        query.awaitTermination()
-        return query
+        return watch(query)
 
     report = progress_report(spark, run())
     assert report.agg(F.sum("input_rows")).first()[0] == 20
