@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from peoplelake.llm.common import ship
 
-#: Entries of the pieces a worker remembers; beyond that it forgets all and starts again. Results don't depend on it.
+#: Entries of a generation of the pieces a worker remembers. Results don't depend on it.
 CACHE = 1 << 19
 #: White space as the pattern's ``\s`` has it; the standard ``re`` counts four control characters more.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -45,18 +45,20 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     buckets: dict[int, list[int]] = {}
     words: dict[int, int] = {}
     top = 0
-    new = [(rank, at) for at, rank in enumerate(pair) if rank is not None]
-    while True:
-        for rank, at in new:
-            if rank in buckets:
-                heappush(buckets[rank], at)
+    for at, rank in enumerate(pair):
+        if rank is None:
+            continue
+        if rank in buckets:
+            buckets[rank].append(at)  # positions rise, so this is a heap
+        else:
+            buckets[rank] = [at]
+            word = rank >> 8
+            if word in words:
+                words[word] |= 1 << (rank & 255)
             else:
-                buckets[rank] = [at]
-                word = rank >> 8
-                words[word] = words.get(word, 0) | 1 << (rank & 255)
+                words[word] = 1 << (rank & 255)
                 top |= 1 << word
-        if not top:
-            break
+    while top:
         word = (top & -top).bit_length() - 1
         bits = words[word]
         bit = bits & -bits
@@ -65,10 +67,11 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         at = heappop(bucket)
         if not bucket:
             del buckets[rank]
-            words[word] = bits ^ bit
             if bits == bit:
+                del words[word]
                 top ^= 1 << word
-        new = []
+            else:
+                words[word] = bits ^ bit
         if pair[at] != rank:
             continue  # the pair that was queued is no more
         gone = ends[at]
@@ -76,14 +79,20 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         pair[gone] = pair[at] = None
         if end < n:
             before[end] = at
-            joined = pair[at] = rank_of(piece[at:ends[end]])
-            if joined is not None:
-                new.append((joined, at))
-        left = before[at]
-        if left >= 0:
-            joined = pair[left] = rank_of(piece[left:end])
-            if joined is not None:
-                new.append((joined, left))
+        for start in (at, before[at]):  # the pairs that the joined part now makes with the next and with the one before
+            stop = ends[start] if start >= 0 else n
+            if stop == n:
+                continue
+            rank = pair[start] = rank_of(piece[start:ends[stop]])
+            if rank is None:
+                continue
+            if rank in buckets:
+                heappush(buckets[rank], start)
+            else:
+                buckets[rank] = [start]
+                word = rank >> 8
+                words[word] = words.get(word, 0) | 1 << (rank & 255)
+                top |= 1 << word
     ids, at = [], 0
     while at < n:
         ids.append(ranks[piece[at:ends[at]]])
@@ -111,14 +120,20 @@ class Encoder:
 
 
 class _Remembered(dict):
+    """Results by piece, in two generations: when the young one is full it becomes the old one, and what is used again
+    moves back."""
+
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.old = make, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
         if len(key) <= 64:
             if len(self) >= CACHE:
+                self.old = dict(self)
                 self.clear()
             self[key] = value
         return value
