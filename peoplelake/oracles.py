@@ -583,7 +583,7 @@ relation(
     "years", "SELECT hire_year, CAST(sum(hires) AS BIGINT) AS hires FROM m_workforce_hiring_trends GROUP BY 1",
     "m_workforce_hiring_trends")
 oracle("hires_by_year", "years", "SELECT * FROM years")
-oracle("governed_sql", "years", "SELECT * FROM years")
+oracle("governed_sql", "years", "SELECT *, false AS truncated FROM years")
 _nth = "(SELECT {} FROM years ORDER BY hire_year DESC LIMIT 1 OFFSET {})"
 relation(
     "pulse",
@@ -708,7 +708,7 @@ oracle(
     "FROM m_attrition_by_country")
 oracle(
     "governed_query", "m_attrition_by_country",
-    "SELECT country, headcount, attrited, attrition_rate FROM m_attrition_by_country WHERE attrited > 0")
+    "SELECT country, headcount, attrited, attrition_rate, false AS truncated FROM m_attrition_by_country WHERE attrited > 0")
 oracle(
     "result_summary", "m_attrition_by_department",
     "SELECT row_count, '[SQL] department=' || department || ', headcount=' || headcount || ', attrited=' || attrited || "

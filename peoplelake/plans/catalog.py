@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from peoplelake.functions.text import squash_whitespace_ends
@@ -71,23 +72,72 @@ def catalog_document(marts: Mapping[str, DataFrame]) -> str:
 
 
 class GovernedViews:
-    """Read access limited to registered marts, with a default row limit and a hard cap."""
+    """Read access limited to registered marts, with a default row limit and a hard cap that a result always reports.
+
+    ``sql`` runs in a session of its own that has the mart views and no other, and where files can't be named as tables.
+    """
 
     def __init__(self, marts: Mapping[str, DataFrame], default_limit: int = DEFAULT_LIMIT, hard_cap: int = HARD_CAP):
         self._views = {view_name(name): df for name, df in marts.items()}
         self._default, self._cap = default_limit, hard_cap
+        self._session: SparkSession | None = None
 
     @property
     def names(self) -> list[str]:
         return sorted(self._views)
 
+    def _limited(self, df: DataFrame, limit: int | None) -> DataFrame:
+        """At most ``limit`` rows, the first in the order of all columns, with ``truncated``: whether there were more.
+
+        The rank is planned as a top-N before the shuffle, so one task sees ``limit`` + 1 rows of each other.
+        """
+        if limit is not None and limit <= 0:
+            raise ValueError("the limit must be positive")
+        most = min(limit or self._default, self._cap)
+        order = [F.col(f"`{c}`") for c in df.columns]
+        first = df.orderBy(*order).limit(most + 1)
+        everyone = Window.partitionBy()
+        ranked = first.withColumns({
+            "_place": F.row_number().over(Window.orderBy(*order)), "truncated": F.count(F.lit(1)).over(everyone) > most})
+        return ranked.filter(F.col("_place") <= most).drop("_place")
+
     def query(
         self, view: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df, limit: int | None = None
     ) -> DataFrame:
-        """Apply a DataFrame transform to one registered view; the result is limited whatever the transform does."""
+        """Apply a DataFrame transform to one registered view; what it returns must read that view's files and no others."""
         if view not in self._views:
             raise PermissionError(f"unknown view {view!r}; allowed: {self.names}")
-        return transform(self._views[view]).limit(min(limit or self._default, self._cap))
+        result, allowed = transform(self._views[view]), set(self._views[view].inputFiles())
+        read = set(result.inputFiles())
+        if not read or not read <= allowed:
+            raise PermissionError(f"the result does not come from {view!r} alone")
+        return self._limited(result, limit)
+
+    def sql(self, text: str, limit: int | None = None) -> DataFrame:
+        """Run one SELECT over the mart views. What :func:`audit_query_log` flags is refused."""
+        if reasons := refusals(text):
+            raise PermissionError("; ".join(reasons))
+        if self._session is None:
+            frames = list(self._views.items())
+            session = frames[0][1].sparkSession.newSession() if frames else SparkSession.active().newSession()
+            for name, df in frames:
+                session.read.schema(df.schema).parquet(*df.inputFiles()).createOrReplaceTempView(name)
+            session.conf.set("spark.sql.runSQLOnFiles", "false")
+            self._session = session
+        return self._limited(self._session.sql(text.strip().rstrip(";")), limit)
+
+
+def refusals(text: str | None, blocked: Sequence[str] = BLOCKED_WORDS, max_chars: int = MAX_SQL_CHARS) -> list[str]:
+    """Why a read-only policy refuses one statement, by the rules of :func:`audit_query_log`; empty if it may run."""
+    given = text or ""
+    trimmed = re.sub(r";\s*$", "", given.strip())
+    upper = trimmed.upper()
+    found = sorted(set(re.findall(r"(?<![A-Z_])(" + "|".join(blocked) + r")(?![A-Z_])", upper)))
+    checks = {
+        "empty": not trimmed, f"longer than {max_chars} characters": len(given) > max_chars,
+        "not a SELECT": bool(trimmed) and not re.match(r"\s*(SELECT|WITH)\b", upper), "several statements": ";" in trimmed,
+        f"blocked words {', '.join(found)}": bool(found)}
+    return [reason for reason, hit in checks.items() if hit]
 
 
 def audit_query_log(

@@ -33,6 +33,7 @@ def mart(t: Tables, name: str) -> DataFrame:
 
 
 _GOLD: dict[tuple, Lake] = {}
+_VIEWS: dict[str, catalog.GovernedViews] = {}
 
 
 def built_gold(t: Tables) -> tuple[Lake, dict[str, DataFrame]]:
@@ -479,10 +480,10 @@ def governed_query(t: Tables) -> DataFrame:
 
 @query
 def governed_sql(t: Tables) -> DataFrame:
-    catalog.register_views(gold_marts(t))
-    return t.spark.sql(
-        "SELECT hire_year, SUM(hires) AS hires FROM workforce_hiring_trends GROUP BY hire_year ORDER BY hire_year "
-        f"LIMIT {catalog.DEFAULT_LIMIT}")
+    lake, marts = built_gold(t)
+    if lake.root not in _VIEWS:
+        _VIEWS[lake.root] = catalog.GovernedViews(marts)
+    return _VIEWS[lake.root].sql("SELECT hire_year, SUM(hires) AS hires FROM workforce_hiring_trends GROUP BY hire_year;")
 
 
 @query
