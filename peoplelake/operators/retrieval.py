@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peoplelake.functions.text import fixed_point
+from peoplelake.session import scratch_path
 
 # Default result size, similarity floor, prompt budget, encoder batch size and vector width.
 TOP_K = 5
@@ -46,13 +47,8 @@ def _unit_rows(rows: Sequence[Sequence[float]]) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _query_slices(queries: DataFrame, qid: str, vector: str, slice_rows: int) -> Iterator[pd.DataFrame]:
-    """The query side in slices small enough to ship: one when it fits, else hash slices of at most twice the size."""
-    rows = queries.select(qid, vector).filter(F.col(vector).isNotNull())
-    head = rows.limit(slice_rows + 1).toPandas()
-    if len(head) <= slice_rows:
-        yield head
-        return
+def _query_slices(rows: DataFrame, qid: str, slice_rows: int) -> Iterator[pd.DataFrame]:
+    """A query side that doesn't fit one slice in hash slices of at most twice the size, one at a time."""
     parts = -(-rows.count() // slice_rows)
     for part in range(parts):
         piece = rows.filter(F.pmod(F.xxhash64(qid), F.lit(parts)) == part)
@@ -84,9 +80,10 @@ def cosine_top_k(
     """Exact ``k`` nearest corpus rows per query: ``query_id, id, similarity, rank``.
 
     The metadata filter runs first. Each corpus batch is scored against the query matrix with one matrix product and
-    only its own best ``k`` per query leave the task, so pairs are never materialised and what is shuffled is
-    (tasks x queries x k) rows, whatever the corpus size. Ties go to the smaller id. Query sets larger than one slice
-    are answered slice by slice with one corpus scan each; no query and no corpus row is left out.
+    only the best ``k`` per query of a task leave it, so pairs are never materialised and what is shuffled is
+    (tasks x queries x k) rows, whatever the corpus size. Ties go to the smaller id. Of a query set larger than one slice,
+    the driver holds one slice at a time, whose answers are written to the shared folder before the next is fetched, with
+    one corpus scan each; no query and no corpus row is left out.
     Similarity is ``max(0, cosine)``; rows under ``min_similarity`` are dropped after the top-k, as in the filter order
     of a vector store.
     """
@@ -98,24 +95,40 @@ def cosine_top_k(
         ids, matrix = piece[query_id].to_numpy(), _unit_rows(piece[query_vector])
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held = None
             for batch in batches:
                 if len(batch):
                     best = _best_of_batch(batch[id_col].to_numpy(), _unit_rows(batch[vector_col]), ids, matrix, k)
-                    yield best.rename(columns={"q": query_id, "i": id_col})
-
-        return rows.mapInPandas(score, ddl)
-
-    pieces = [scored(piece) for piece in _query_slices(queries, query_id, query_vector, slice_rows) if len(piece)]
-    if not pieces:
-        return queries.sparkSession.createDataFrame([], ddl + ", rank int")
-    best = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(id_col))
-    return (
-        reduce(DataFrame.unionByName, pieces)
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .withColumn("similarity", F.greatest(F.lit(0.0), F.col("similarity")))
-        .filter(F.col("similarity") >= min_similarity)
-    )
+                    held = best if held is None else _best_of_both(held, best, k)
+            if held is not None:
+                yield held.rename(columns={"q": query_id, "i": id_col})
+
+        best = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(id_col))
+        return (
+            rows.mapInPandas(score, ddl)
+            .withColumn("rank", F.row_number().over(best))
+            .filter(F.col("rank") <= k)
+            .withColumn("similarity", F.greatest(F.lit(0.0), F.col("similarity")))
+            .filter(F.col("similarity") >= min_similarity)
+        )
+
+    spark = queries.sparkSession
+    asked = queries.select(query_id, query_vector).filter(F.col(query_vector).isNotNull())
+    head = asked.limit(slice_rows + 1).toPandas()
+    if not len(head):
+        return spark.createDataFrame([], ddl + ", rank int")
+    if len(head) <= slice_rows:
+        return scored(head)
+    answers = scratch_path(spark, "top-k")
+    for piece in _query_slices(asked, query_id, slice_rows):
+        scored(piece).write.mode("append").parquet(answers)
+    return spark.read.parquet(answers)
+
+
+def _best_of_both(one: pd.DataFrame, other: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The best ``k`` per query of two such results, equal scores in id order."""
+    both = pd.concat([one, other]).sort_values(["q", "similarity", "i"], ascending=[True, False, True], kind="stable")
+    return both.groupby("q", sort=False).head(k)
 
 
 def _best_of_batch(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
