@@ -669,8 +669,8 @@ oracle(
     "profile_columns_approx", "feed",
     " UNION ALL ".join(
         f"SELECT '{c}' AS name, '{kind}' AS dtype, '{_class_of(c, kind)}' AS class, count(*) AS rows, "
-        f"count(*) - count(\"{c}\") AS nulls, min({_profiled(c, kind)}) AS min_value, max({_profiled(c, kind)}) AS max_value "
-        "FROM feed" for c, kind in _feed_types.items()))
+        f"count(*) - count(\"{c}\") AS nulls, min({_profiled(c, kind)}) AS min_value, max({_profiled(c, kind)}) AS max_value, "
+        "true AS distinct_is_close FROM feed" for c, kind in _feed_types.items()))
 _dataset = [("rows", "count(*)"), ("unique_employee_id", "count(DISTINCT employee_id)"),
             ("duplicate_rows", "count(*) - count(DISTINCT employee_id)"),
             *[(f"nulls_{c}", f"count(*) - count({c})") for c in _fields],
