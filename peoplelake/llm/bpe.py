@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from peoplelake.llm.common import ship
 
 #: Entries of a generation of the pieces a worker remembers. Results don't depend on it.
-CACHE = 1 << 19
+CACHE = 1 << 17
 #: White space as the pattern's ``\s`` has it; the standard ``re`` counts four control characters more.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Stretches that the split pattern can never match across: a word with the blank before it, or white space.
