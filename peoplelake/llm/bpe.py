@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from peoplelake.llm.common import ship
 
 #: Entries of a generation of the pieces a worker remembers. Results don't depend on it.
-CACHE = 1 << 17
+CACHE = 1 << 18
 #: White space as the pattern's ``\s`` has it; the standard ``re`` counts four control characters more.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Stretches that the split pattern can never match across: a word with the blank before it, or white space.
@@ -186,19 +186,48 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     kept = [c for c in docs.columns if c != text_col and c.lower() != out.lower()]
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(out, T.ArrayType(T.IntegerType(), False), False)])
 
-    def run(batches):
-        encoder = _encoder(name, pattern)
-        for batch in batches:
-            texts = batch.column(len(kept))
-            ids = [encoder.encode(t.as_py() or "") if t.is_valid else b"" for t in texts]
-            ends = np.cumsum([0] + [len(x) // 4 for x in ids])
-            if ends[-1] >= 1 << 31:
-                raise ValueError("over 2**31 tokens in one batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-            values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], lists], names=[*kept, out])
+    return docs.select(*kept, text_col).mapInArrow(lambda batches: _encoded(batches, name, pattern, out), schema)
+
+
+def _encoded(batches, name: str, pattern: str, out: str):
+    """Batches with the last column, a text, replaced by its ids."""
+    encoder = _encoder(name, pattern)
+    for batch in batches:
+        ids = [encoder.encode(t.as_py() or "") if t.is_valid else b"" for t in batch.column(batch.num_columns - 1)]
+        ends = np.cumsum([0] + [len(x) // 4 for x in ids])
+        if ends[-1] >= 1 << 31:
+            raise ValueError("over 2**31 tokens in one batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+        values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
+        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*batch.schema.names[:-1], out])
+
+
+_DIGESTS = (("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()))
+
+
+def _digested(batches, name: str):
+    """Batches with the last column, a list of ids, replaced by its digests."""
+    table = _table(name)
+    for batch in batches:
+        counts, of_ids, of_text = [], [], []
+        for ids in batch.column(batch.num_columns - 1):
+            held = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else np.zeros(0, np.int32)
+            counts.append(len(held))
+            of_ids.append(hashlib.sha256(held.astype("<u4").tobytes()).hexdigest())
+            of_text.append(hashlib.sha256(b"".join(map(table.__getitem__, held.tolist()))).hexdigest())
+        own = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], *own], names=[*batch.schema.names[:-1], *(n for n, _ in _DIGESTS)])
 
-    return docs.select(*kept, text_col).mapInArrow(run, schema)
+
+def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """:func:`encode` and then :func:`digests` in one pass, so a task needs one Python worker and ids stay there."""
+    name = _ship(docs, ranks_path)
+    own = [n for n, _ in _DIGESTS]
+    kept = [c for c in docs.columns if c != text_col and c.lower() not in own]
+    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(n, k) for n, k in _DIGESTS)])
+    return docs.select(*kept, text_col).mapInArrow(
+        lambda batches: _digested(_encoded(batches, name, pattern, "ids"), name), schema)
 
 
 def digests(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -208,25 +237,10 @@ def digests(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFr
     none; an id without a token fails.
     """
     name = _ship(encoded, ranks_path)
-    own = ["n_tokens", "ids_sha256", "decoded_sha256"]
+    own = [n for n, _ in _DIGESTS]
     kept = [c for c in encoded.columns if c != ids_col and c.lower() not in own]
-    schema = T.StructType([
-        *(encoded.schema[c] for c in kept), T.StructField("n_tokens", T.LongType()),
-        T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
-
-    def run(batches):
-        table = _table(name)
-        for batch in batches:
-            counts, of_ids, of_text = [], [], []
-            for ids in batch.column(len(kept)):
-                held = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else np.zeros(0, np.int32)
-                counts.append(len(held))
-                of_ids.append(hashlib.sha256(held.astype("<u4").tobytes()).hexdigest())
-                of_text.append(hashlib.sha256(b"".join(map(table.__getitem__, held.tolist()))).hexdigest())
-            own = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *own], names=[f.name for f in schema])
-
-    return encoded.select(*kept, ids_col).mapInArrow(run, schema)
+    schema = T.StructType([*(encoded.schema[c] for c in kept), *(T.StructField(n, k) for n, k in _DIGESTS)])
+    return encoded.select(*kept, ids_col).mapInArrow(lambda batches: _digested(batches, name), schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out: str = "text") -> DataFrame:

@@ -71,7 +71,7 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path(RANKS)
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return bpe.encode_digests(docs, ranks, public_tokenizers.PATTERN)
 
 
 @query

@@ -77,4 +77,5 @@ def test_frames_round_trip(spark, public):
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r["decoded_sha256"] == hashlib.sha256((ODD[r["doc_id"]] or "").encode()).hexdigest()
+    assert sorted(bpe.encode_digests(docs.drop("ids"), PATH, PATTERN).collect()) == sorted(digests.collect())
     assert bpe.digests(bpe.encode(docs.limit(0), PATH, PATTERN), PATH).count() == 0
