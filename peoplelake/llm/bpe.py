@@ -144,7 +144,7 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines.splitlines() if x.strip())}
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_RANKS: dict[str, dict[bytes, int]] = {}
 _TABLES: dict[str, list[bytes]] = {}
 
 
@@ -153,10 +153,10 @@ def _ranks_of(name: str) -> dict[bytes, int]:
         return read_ranks(file.read())
 
 
-def _encoder(name: str, pattern: str) -> Encoder:
-    if (name, pattern) not in _ENCODERS:
-        _ENCODERS[name, pattern] = Encoder(_ranks_of(name), pattern)
-    return _ENCODERS[name, pattern]
+def _ranks(name: str) -> dict[bytes, int]:
+    if name not in _RANKS:
+        _RANKS[name] = _ranks_of(name)
+    return _RANKS[name]
 
 
 def _table(name: str) -> list[bytes]:
@@ -190,8 +190,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
 
 
 def _encoded(batches, name: str, pattern: str, out: str):
-    """Batches with the last column, a text, replaced by its ids."""
-    encoder = _encoder(name, pattern)
+    """Batches with the last column, a text, replaced by its ids. What the encoder remembers goes with the task, as idle
+    workers keep their memory."""
+    encoder = Encoder(_ranks(name), pattern)
     for batch in batches:
         ids = [encoder.encode(t.as_py() or "") if t.is_valid else b"" for t in batch.column(batch.num_columns - 1)]
         ends = np.cumsum([0] + [len(x) // 4 for x in ids])
