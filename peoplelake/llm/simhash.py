@@ -22,6 +22,9 @@ SEED = 42
 #: Fingerprints per prefix for which the prefix length is chosen, and for which one task makes the variants.
 PER_PREFIX = 1024
 PER_SLICE = 4096
+#: Bands in whose cells texts are first compared with one of the cell, and members of sets counted in one product.
+FIRST_BANDS = 8
+BLOCK_MEMBERS = 4096
 _STEP = 1 << 16
 
 
@@ -202,27 +205,63 @@ def near_duplicates(
     return out.select(F.col("id").alias(id_col), "print", "component_id")
 
 
-def signature(hashes: np.ndarray, tables: int, bits: int) -> np.ndarray:
-    """Independent SimHashes of ``bits`` bits from the same shingle hashes, which are mixed anew for each."""
-    found = np.zeros(tables, np.int64)
-    for table in range(tables):
-        mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(2 * (0x4F1BBCDCBFA53E0B + 7919 * table) + 1)
-        mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-        found[table] = (majority(mixed ^ (mixed >> np.uint64(31))) & ((1 << bits) - 1)) if len(hashes) else 0
-    return found
+def band_keys(hashes: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One key per band of a shingle set, repeats aside: two sets share each key with their Jaccard similarity to the ``rows``."""
+    keys = np.zeros(bands, np.uint64)
+    for band in range(bands):
+        key = np.uint64(2 * band + 1)
+        for row in range(band * rows, (band + 1) * rows):
+            mixed = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(2 * (0x4F1BBCDCBFA53E0B + 7919 * row) + 1)
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+            least = mixed.min() if len(mixed) else np.uint64(0)
+            key = np.bitwise_xor(key, np.bitwise_xor(least, least >> np.uint64(31))).reshape(1) * np.uint64(0x9E3779B97F4A7C15)
+            key = (key ^ (key >> np.uint64(32)))[0]
+        keys[band] = key
+    return keys.view(np.int64)
+
+
+def set_links(nodes: np.ndarray, groups: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Pairs of nodes of different groups whose sets are alike, all compared, as a spanning forest of them.
+
+    With two sides, only pairs across them are compared. Shared members are counted by products of 0/1 blocks.
+    """
+    size = np.array([len(s) for s in sets])
+    members = np.concatenate([*sets, np.zeros(0, np.int64)])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, member, times = np.unique(members, return_inverse=True, return_counts=True)
+    place = np.cumsum(times > 1) - 1
+    several = times[member] > 1
+    member, owner = place[member[several]], owner[several]
+    order = np.argsort(member, kind="stable")
+    member, owner = member[order], owner[order]
+    a = np.flatnonzero(sides == sides.min())
+    b = np.flatnonzero(sides == sides.max())
+    shared = np.zeros((len(a), len(b)), np.int64)
+    for low in range(0, int(member[-1]) + 1 if len(member) else 0, BLOCK_MEMBERS):
+        start, stop = np.searchsorted(member, [low, low + BLOCK_MEMBERS])
+        held = np.zeros((len(sets), BLOCK_MEMBERS), np.float32)
+        held[owner[start:stop], member[start:stop] - low] = 1
+        shared += (held[a] @ held[b].T).astype(np.int64)
+    union = size[a][:, None] + size[b][None, :] - shared
+    alike = np.where(union > 0, shared / np.maximum(union, 1), 1.0) >= similarity
+    found = np.argwhere(alike & (groups[a][:, None] != groups[b][None, :]))
+    ends = np.stack([a[found[:, 0]], b[found[:, 1]]], axis=1)
+    ends = ends[ends[:, 0] != ends[:, 1]]
+    return nodes[ends[_forest(ends)]].reshape(-1, 2)
 
 
 def alike_texts(
-    docs: DataFrame, width: int = 5, similarity: float = 0.8, tables: int = 10, bits: int = 40, radius: int = RADIUS,
+    docs: DataFrame, width: int = 5, similarity: float = 0.8, bands: int = 24, rows: int = 5, few: int = 32, block: int = 256,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """(id, text_hash, component_id) per distinct (id, text) of ``docs``: component_id is the smallest id reachable over links.
 
-    Texts link whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity`` or more. At 0.8 one word in
-    seven of a SimHash differs, too many for one ball of 64 bits, so candidates come from ``tables`` shorter fingerprints:
-    a pair at 0.8 is within the radius in about one table in four, nearer pairs in more. Candidates far apart in all bits
-    together are dropped, the others verified on their shingle sets. Links are exact; a pair just over the limit is missed by
-    all tables in about one case of twenty. Null and empty texts are all alike. Null ids come last.
+    Texts link whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity`` or more. At 0.8 one bit in
+    seven of a SimHash differs, too many for a ball that can be listed, so texts meet in cells of equal band keys of minima
+    of their sets: a pair at 0.8 has no cell in common in 1 case of 14 000, nearer pairs more seldom. First each text is
+    compared with one of each of its first cells, which joins most copies. Then every pair of a cell that these links have
+    not joined is compared on its sets: by pairs in cells of up to ``few`` texts, in larger ones by two blocks of ``block``
+    texts a task. Only links that passed leave pairs out. Null and empty texts are all alike. Null ids come last.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -231,36 +270,22 @@ def alike_texts(
 
     def sign(batches):
         for batch in batches:
-            found = [signature(shingle_hashes(t.as_py(), width), tables, bits).tolist() for t in batch.column(2)]
+            found = [band_keys(shingle_hashes(t.as_py(), width), bands, rows).tolist() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(found, pa.list_(pa.int64()))], names=["id", "text_hash", "prints"])
+                [*batch.columns[:2], pa.array(found, pa.list_(pa.int64()))], names=["id", "text_hash", "keys"])
 
-    schema = T.StructType([*keyed.schema.fields[:2], T.StructField("prints", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*keyed.schema.fields[:2], T.StructField("keys", T.ArrayType(T.LongType()))])
     signed = staged(keyed.mapInArrow(sign, schema), "signed")
     nodes = staged(signed.dropDuplicates(["id", "text_hash"]).withColumn("node", F.monotonically_increasing_id()), "signed-nodes")
-    cells = nodes.select("node", F.posexplode("prints").alias("tab", "print"))
-    heads = staged(cells.groupBy("tab", "print").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("held")), "heads")
-    # nodes of equal print to the first of them, and first nodes of near prints to each other
-    keys = F.concat_ws(":", "tab", "print")
-    equal = join_by_key(
-        staged(cells.select("node", keys.alias("cell")), "cells"), heads.select("head", "held", keys.alias("cell")), "cell", "held")
-    met = staged(ball_links(heads.select("tab", "print"), radius, bits, wide=4, forests=3), "met")
-    near = met.join(heads.select("tab", F.col("print").alias("a"), F.col("head").alias("x")), ["tab", "a"]).join(
-        heads.select("tab", F.col("print").alias("b"), F.col("head").alias("y")), ["tab", "b"])
-    pairs = equal.select(F.col("node").alias("x"), F.col("head").alias("y")).unionByName(near.select("x", "y"))
-    pairs = staged(pairs.filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
-
-    prints = nodes.select("node", "prints")
-    both = pairs.join(prints.withColumnsRenamed({"node": "x", "prints": "px"}), "x").join(
-        prints.withColumnsRenamed({"node": "y", "prints": "py"}), "y")
-    apart = F.aggregate(F.zip_with("px", "py", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, n: s + n)
-    cosine = 2 * similarity / (1 + similarity)
-    expected = float(np.arccos(cosine) / np.pi) * tables * bits
-    likely = staged(both.filter(apart <= expected + 4 * expected**0.5).select("x", "y"), "likely")
-
-    wanted = likely.select(F.col("x").alias("node")).unionByName(likely.select(F.col("y").alias("node"))).distinct()
-    wanted = nodes.select("id", "text_hash", "node").join(wanted, "node")
-    own = wanted.withColumnsRenamed({"id": "own_id", "text_hash": "own_hash"})
+    cells = nodes.select("node", F.posexplode("keys").alias("band", "cell"))
+    # of each cell a node that differs from band to band; cells of one node are left out
+    heads = staged(cells.groupBy("cell").agg(
+        F.min(F.struct(F.xxhash64("node", "cell").alias("lot"), "node"))["node"].alias("head"), F.count(F.lit(1)).alias("held")
+    ).filter("held > 1"), "heads")
+    cells = staged(join_by_key(cells, heads, "cell", "held"), "cells")
+
+    wanted = cells.select("node").distinct()
+    own = nodes.select(F.col("id").alias("own_id"), F.col("text_hash").alias("own_hash"), "node").join(wanted, "node")
     texts = keyed.join(own, keyed["id"].eqNullSafe(own["own_id"]) & (keyed["text_hash"] == own["own_hash"])).select("node", "text")
 
     def gather(batches):
@@ -280,10 +305,45 @@ def alike_texts(
 
         return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
-    checked = likely.join(sets.withColumnsRenamed({"node": "x", "shingles": "sx"}), "x").join(
-        sets.withColumnsRenamed({"node": "y", "shingles": "sy"}), "y")
-    links = checked.filter(jaccard("sx", "sy") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    found = components(links)
+    def checked(pairs: DataFrame) -> DataFrame:
+        pairs = staged(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "pairs")
+        both = pairs.join(sets.withColumnsRenamed({"node": "x", "shingles": "sx"}), "x").join(
+            sets.withColumnsRenamed({"node": "y", "shingles": "sy"}), "y")
+        return both.filter(jaccard("sx", "sy") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    first = cells.filter((F.col("band") < FIRST_BANDS) & (F.col("node") != F.col("head")))
+    links = staged(checked(first.select(F.col("node").alias("x"), F.col("head").alias("y"))), "first-links")
+    joined = staged(components(links), "joined")
+    grouped = staged(cells.join(joined, "node", "left").select(
+        "cell", "node", F.coalesce("component", "node").alias("group")), "grouped")
+    shares = grouped.groupBy("cell", "group").agg(F.count(F.lit(1)).alias("rows"))
+    mixed = staged(shares.groupBy("cell").agg(
+        F.sum("rows").alias("held"), F.max(F.struct("rows", "group")).alias("most"), F.count(F.lit(1)).alias("groups")
+    ).filter("groups > 1").select("cell", "held", F.col("most.rows").alias("major"), F.col("most.group").alias("lead")), "mixed")
+
+    small = grouped.join(mixed.filter(F.col("held") <= few).select("cell"), "cell")
+    pairs = small.alias("p").join(small.alias("q"), "cell").filter("p.node < q.node and p.group <> q.group").select(
+        F.col("p.node").alias("x"), F.col("q.node").alias("y"))
+    # larger cells: blocks of the nodes outside the largest group come first, and each meets every block
+    large = mixed.filter(F.col("held") > few)
+    dealt = join_by_key(grouped, large, "cell", "held")
+    lone = F.col("held") <= block
+    minor = F.when(lone, 1).otherwise(F.ceil((F.col("held") - F.col("major")) / F.lit(block)).cast("int"))
+    major = F.when(lone, 0).otherwise(F.ceil(F.col("major") / F.lit(block)).cast("int"))
+    lot = F.xxhash64("node", "cell")
+    dealt = dealt.withColumns({"minor": minor, "all": minor + major}).withColumn("at", F.when(
+        ~lone & (F.col("group") == F.col("lead")), F.col("minor") + F.pmod(lot, F.col("all") - F.col("minor"))).otherwise(
+        F.pmod(lot, F.col("minor"))).cast("int"))
+    others = F.sequence(F.lit(0), F.when(F.col("at") < F.col("minor"), F.col("all") - 1).otherwise(F.col("minor") - 1))
+    dealt = dealt.withColumn("other", F.explode(others)).select(
+        "cell", F.least("at", "other").alias("p"), F.greatest("at", "other").alias("q"), "at", "node", "group")
+
+    def meet(frame: pd.DataFrame) -> pd.DataFrame:
+        found = set_links(frame["node"].to_numpy(), frame["group"].to_numpy(), frame["at"].to_numpy(), list(frame["shingles"]), similarity)
+        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+
+    met = dealt.join(sets, "node").groupBy("cell", "p", "q").applyInPandas(meet, "a bigint, b bigint")
+    found = components(links.unionByName(checked(pairs)).unionByName(met))
     labelled = staged(nodes.select("id", "text_hash", "node").join(found, "node", "left").select(
         "id", "text_hash", F.coalesce("component", "node").alias("component")), "alike")
     names = staged(labelled.groupBy("component").agg(

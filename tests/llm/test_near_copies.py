@@ -101,6 +101,28 @@ def test_alike_texts_are_exact_and_nearly_complete(spark):
     assert sum(got[a] == got[b] for a, b in links) >= 0.95 * len(links) and len(links) > 20
 
 
+@pytest.mark.parametrize("options", [{}, {"few": 8, "block": 16}])
+def test_alike_texts_among_many_of_one_template(spark, options):
+    """Texts at 0.74 of each other and 60 pairs at 0.84: every pair is to be found, and no other."""
+    rng = random.Random(11)
+    shared, rows = [f"s{i}" for i in range(174)], []
+
+    def own(n):
+        return [f"u{rng.randrange(10**9)}" for _ in range(n)]
+
+    for n in range(300):
+        tail = own(30)
+        rows.append((2 * n, " ".join(shared + tail)))
+        rows.append((2 * n + 1, " ".join(shared + (tail[:13] + own(17) if n < 60 else own(30)))))
+    sets = {i: {tuple(w) for w in zip(*(t.split()[k:] for k in range(5)), strict=False)} for i, t in rows}
+    links = [(a, b) for a, _ in rows for b, _ in rows if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    assert links == [(2 * n, 2 * n + 1) for n in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.alike_texts(frame, **options).collect()}
+    missed = [(a, b) for a, b in links if got[a] != got[b]]
+    assert missed == [] and got == least_reachable([i for i, _ in rows], links)
+
+
 def test_near_copies_are_dropped(spark):
     docs = spark.createDataFrame([(i, t, "c") for i, t in ODD], "doc_id bigint, text string, component_id string")
     kept = simhash.drop_near_copies(docs)
