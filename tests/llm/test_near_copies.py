@@ -123,6 +123,28 @@ def test_alike_texts_among_many_of_one_template(spark, options):
     assert missed == [] and got == least_reachable([i for i, _ in rows], links)
 
 
+def test_alike_texts_look_at_sets_not_at_repeats():
+    """A line that one text repeats leaves the sets at 0.95, so nearly half of the keys, of repeats at 1 to 40, are shared."""
+    rng = random.Random(5)
+    for times in (5, 10, 40):
+        for _ in range(10):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+            line = [f"l{rng.randrange(10**9)}" for _ in range(12)]
+            a, b = (simhash.band_keys(simhash.shingle_hashes(" ".join(t), 5), 24, 5) for t in (words, words + line * times))
+            again = simhash.band_keys(np.unique(simhash.shingle_hashes(" ".join(words + line * times), 5)), 24, 5)
+            assert (a == b).sum() >= 8 and (b == again).all()
+
+
+def test_alike_texts_with_a_repeated_line(spark):
+    rng = random.Random(6)
+    rows = []
+    for n in range(20):
+        words = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, " ".join(words + [f"l{n}x{i}" for i in range(12)] * 20))]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.alike_texts(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
 def test_near_copies_are_dropped(spark):
     docs = spark.createDataFrame([(i, t, "c") for i, t in ODD], "doc_id bigint, text string, component_id string")
     kept = simhash.drop_near_copies(docs)
