@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peoplelake.llm.common import fresh, hashed_sample, ship
+from peoplelake.llm.common import fresh, hashed_sample, ship, staged
 from peoplelake.llm.textfeatures import letters, ngrams
 
 BITS = 12
@@ -19,9 +19,11 @@ LONGEST = 3
 CENTROIDS = 4
 #: Most texts of a language that its centroids are clustered from.
 SAMPLE = 2000
-#: A text is rejected under this share of the similarity that nearly all sampled texts of its language reach.
-SLACK = 0.3
-QUANTILE = 0.01
+#: Quantile of the similarities of a language's own texts, and of those of another language's texts, that a floor lies
+#: midway between if it can.
+OWN, OTHER = 0.005, 0.95
+#: Different n-grams with which a text meets the whole floor; with fewer, a cosine is smaller as the root of their number.
+RICH = 64
 NONE = "und"
 
 
@@ -36,9 +38,14 @@ def vector(text: str, idf: np.ndarray) -> np.ndarray:
     return found / (np.linalg.norm(found) or 1.0)
 
 
+def evidence(vectors: np.ndarray) -> np.ndarray:
+    """Share of a floor that each text has to meet, 1 for texts of RICH different n-grams or more."""
+    return np.sqrt(np.clip(np.count_nonzero(vectors, axis=-1), 1, RICH) / RICH)
+
+
 @dataclass
 class LanguageModel:
-    """``centroids``: unit rows; ``names``: the language of each; ``floors``: the similarity under which it rejects."""
+    """``centroids``: unit rows; ``names``: the language of each; ``floors``: the similarity under which it rejects a rich text."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -52,7 +59,7 @@ class LanguageModel:
         found = vector(text, self.idf)
         near = self.centroids @ found
         best = int(np.argmax(near))
-        return self.names[best], float(min(1.0, max(0.0, near[best]))), bool(near[best] >= self.floors[best])
+        return self.names[best], float(min(1.0, max(0.0, near[best]))), bool(near[best] >= self.floors[best] * evidence(found))
 
 
 def _has_letter(text: str) -> bool:
@@ -83,7 +90,10 @@ def train(
     """Learn from the rows of ``docs`` with a language and a text.
 
     Document frequencies count all rows. Centroids are clustered from at most ``sample`` different texts of each
-    language, those with the smallest hashes. The model holds ``centroids`` vectors of 2**BITS numbers per language and comes to the driver;
+    language, those with the smallest hashes. The floor of a language lies midway between what nearly all of its own
+    sampled texts reach, each on centroids of the other half of them, and what nearly all of the texts of the nearest other
+    language reach on its centroids, both over :func:`evidence`; it is the former if that is lower or there is no other
+    language. A language of one text has the latter. The model holds ``centroids`` vectors of 2**BITS numbers per language and comes to the driver;
     it grows with the languages only. No rows give a model that answers ``und``.
     """
     ship(docs.sparkSession)
@@ -105,28 +115,53 @@ def train(
     idf = np.log((1 + rows) / (1 + np.array([summed.get(i, 0) for i in range(1 << BITS)]))) + 1
 
     held = {r["name"]: r["count"] for r in known.groupBy("name").count().collect()}
-    few = hashed_sample(known, "name", "text", sample, held)
+    few = staged(hashed_sample(known, "name", "text", sample, held), "language-sample")
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        vectors = np.array([vector(t, idf) for t in frame["text"] if _has_letter(t)])
+        vectors = np.array([vector(t, idf) for t in sorted(frame["text"]) if _has_letter(t)])
         if not len(vectors):
-            return pd.DataFrame({"name": [], "centroid": [], "floor": []})
+            return pd.DataFrame({"name": [], "centroid": [], "own": []})
         found = cluster(vectors, centroids)
-        near = (vectors @ found.T).max(axis=1)
-        floor = SLACK * float(np.quantile(near, QUANTILE))
-        return pd.DataFrame({"name": frame["name"].iloc[0], "centroid": list(found), "floor": floor})
+        return pd.DataFrame({"name": frame["name"].iloc[0], "centroid": list(found), "own": _own(vectors, centroids)})
 
-    model = few.groupBy("name").applyInPandas(fit, "name string, centroid array<double>, floor double").collect()
+    model = few.groupBy("name").applyInPandas(fit, "name string, centroid array<double>, own double").collect()
     model.sort(key=lambda r: (r["name"], r["centroid"]))
-    return LanguageModel(
-        idf, np.array([r["centroid"] for r in model]), [r["name"] for r in model], np.array([r["floor"] for r in model]))
+    names, found = [r["name"] for r in model], np.array([r["centroid"] for r in model])
+    starts = [i for i, name in enumerate(names) if not i or name != names[i - 1]]
+    shipped = docs.sparkSession.sparkContext.broadcast((idf, found, starts))
+
+    def reach(frame: pd.DataFrame) -> pd.DataFrame:
+        idf, found, starts = shipped.value
+        vectors = np.array([vector(t, idf) for t in frame["text"] if _has_letter(t)]).reshape(-1, 1 << BITS)
+        near = np.maximum.reduceat(vectors @ found.T, starts, axis=1) / evidence(vectors)[:, None]
+        reached = [np.quantile(near, OTHER, axis=0)] if len(near) else []
+        return pd.DataFrame({"name": frame["name"].iloc[0], "reached": reached})
+
+    floors = {names[i]: model[i]["own"] for i in starts}
+    if len(starts) > 1:
+        per_name = few.groupBy("name").applyInPandas(reach, "name string, reached array<double>").collect()
+        for at, i in enumerate(starts):
+            other = max(r["reached"][at] for r in per_name if r["name"] != names[i])
+            own = floors[names[i]]
+            floors[names[i]] = other if own is None else min(own, (own + other) / 2)
+    return LanguageModel(idf, found, names, np.array([floors[name] or 0.0 for name in names]))
+
+
+def _own(vectors: np.ndarray, centroids: int) -> float | None:
+    """What nearly all texts reach on centroids of the other half of them; None for one text."""
+    if len(vectors) < 2:
+        return None
+    order = np.random.default_rng(0).permutation(len(vectors))
+    halves = vectors[order[::2]], vectors[order[1::2]]
+    near = [(a @ cluster(b, centroids).T).max(axis=1) / evidence(a) for a, b in (halves, halves[::-1])]
+    return float(np.quantile(np.concatenate(near), OWN, method="lower"))
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``accepted``; columns of these names are replaced, the text is dropped.
 
     The language is that of the centroid with the largest cosine (the first in order of name on a tie), and the score that
-    cosine. A text is rejected if it is under the centroid's floor. Null texts and texts without a letter are ``und`` with
+    cosine. A text is rejected if it is under the centroid's floor times its :func:`evidence`. Null texts and texts without a letter are ``und`` with
     score 0 and rejected. Only the text is looked at.
     """
     own = ["lang_pred", "score", "accepted"]

@@ -1,5 +1,7 @@
 """Language, toxicity and quality: held-out accuracy, stated results for odd rows, and the fitting itself."""
 
+import base64
+
 import numpy as np
 import pytest
 
@@ -48,6 +50,37 @@ def test_language_odd_rows(spark, model):
     assert language.identify(rows, empty).select("lang_pred").distinct().collect() == [("und",)]
 
 
+LETTERS = {  # invented words of three letter habits, as in the driver's documents
+    "xx": ["th", "er", "ing", "and", "ou", "wh", "ly", "ck"], "yy": ["ein", "sch", "ung", "ch", "ie", "zu", "tz", "ver"],
+    "zz": ["ción", "ar", "os", "que", "ll", "ñe", "ía", "do"]}
+
+
+def invented(name, n, seed):
+    rng = np.random.default_rng(seed)
+    return [" ".join("".join(rng.choice(LETTERS[name], rng.integers(1, 4))) for _ in range(rng.integers(20, 60))) for _ in range(n)]
+
+
+def test_other_letters_are_rejected(spark):
+    rng = np.random.default_rng(8)
+    noise = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz "), 300)) for _ in range(50)]
+    noise += [base64.b64encode(rng.bytes(300)).decode() for _ in range(50)]
+    for left_out in LETTERS:
+        rows = [(t, name) for name in LETTERS if name != left_out for t in invented(name, 150, 1)]
+        found = language.train(spark.createDataFrame(rows, "text string, lang string"))
+        clean = [found.predict(t) for name in LETTERS if name != left_out for t in invented(name, 150, 2)]
+        assert sum(taken for _, _, taken in clean) >= 0.99 * len(clean)
+        assert not any(found.predict(t)[2] for t in noise)
+        assert sum(found.predict(t)[2] for t in invented(left_out, 150, 3)) <= 3
+
+
+def test_floor_with_one_text_or_one_language(spark):
+    one = language.train(spark.createDataFrame([(t, "xx") for t in invented("xx", 40, 1)], "text string, lang string"))
+    assert one.predict(invented("xx", 1, 5)[0])[2] and not one.predict("zzqj xvkq pfgb")[2]
+    rows = [(t, "xx") for t in invented("xx", 40, 1)] + [(invented("yy", 1, 1)[0], "yy")]
+    two = language.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert all(two.predict(t)[0::2] == ("yy", True) for t in invented("yy", 20, 2))
+
+
 def test_training_does_not_depend_on_partitioning(spark, model):
     rows = [(t, name) for name in WORDS for t in texts(name, 60, 1)] + [(None, "aa"), ("no language", None), ("", "bb"), ("...", "cc")]
     again = language.train(spark.createDataFrame(rows[::-1], "text string, lang string").repartition(7))
