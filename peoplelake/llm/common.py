@@ -57,13 +57,18 @@ def fresh(name: str, taken: list[str]) -> str:
 
 
 def hashed_sample(rows: DataFrame, group: str, text: str, most: int, held: dict) -> DataFrame:
-    """(group, text): at most ``most`` different texts of each group, those with the smallest hashes.
+    """(group, text): ``most`` different texts of each group or all if fewer, those with the smallest hashes.
 
-    ``held`` has the rows of each group. Before any shuffle, texts are dropped whose hash is far above that of the last one
-    wanted, and copies are folded where they lie, so a group of any size sends a few times ``most`` rows.
+    ``held`` has the rows of each group; of groups with many, the different hashes are counted first. Before texts are
+    shuffled, those are dropped whose hash is far above that of the last one wanted, and copies are folded where they lie,
+    so a group of any size sends a few times ``most`` texts per task at the most.
     """
     place = F.shiftrightunsigned(F.xxhash64(text), 11)  # 53 bits, exact as a double
-    shares = [F.when(F.col(group) == F.lit(g), F.lit(min(1.0, 3.0 * most / n) * 2.0**53)) for g, n in held.items() if n]
+    wanted = 3.0 * most + 30  # on average; fewer than ``most`` come in less than one case of 10**12
+    many = [g for g, n in held.items() if n > wanted]
+    different = rows.filter(F.col(group).isin(many)).select(group, place.alias("place")).distinct()
+    counted = {r[group]: r["count"] for r in different.groupBy(group).count().collect()} if many else {}
+    shares = [F.when(F.col(group) == F.lit(g), F.lit(min(1.0, wanted / counted.get(g, n)) * 2.0**53)) for g, n in held.items() if n]
     if not shares:
         return rows.select(group, text).limit(0)
     near = rows.select(group, text, place.alias("place")).filter(F.col("place") < F.coalesce(*shares))

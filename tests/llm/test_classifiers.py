@@ -192,6 +192,15 @@ def test_hashed_sample_is_bounded_and_folds_copies(spark):
     assert sorted(got) == sorted(hashed_sample(df, "g", "text", 20, {"a": 500, "b": 301}).collect())
 
 
+def test_hashed_sample_has_every_text_of_a_group_of_copies(spark):
+    rows = [("a", f"copied {i % 50}") for i in range(60_000)] + [("b", "one")] * 20_000 + [("c", f"t{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, text string")
+    got = [(r["g"], r["text"]) for r in hashed_sample(df, "g", "text", 20, {"a": 60_000, "b": 20_000, "c": 3000}).collect()]
+    assert len(set(got)) == len(got) and [sum(g == x for g, _ in got) for x in "abc"] == [20, 1, 20]
+    got = hashed_sample(df, "g", "text", 100, {"a": 60_000, "b": 20_000, "c": 3000}).collect()
+    assert [sum(r["g"] == x for r in got) for x in "abc"] == [50, 1, 100]
+
+
 def test_features():
     assert "".join(map(chr, letters("Ab, cD9é"))) == " ab cd é "
     assert len(ngrams(points("abc"), 1, 5, 10)) == 6 and len(ngrams(points(""), 1, 3, 10)) == 0
