@@ -206,8 +206,8 @@ def _encoded(batches, name: str, pattern: str, out: str):
 _DIGESTS = (("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()))
 
 
-def _digested(batches, name: str):
-    """Batches with the last column, a list of ids, replaced by its digests."""
+def _digested(batches, name: str, keep: int = 0):
+    """Batches with the last column, a list of ids, replaced by its digests; ``keep=1`` leaves the ids before them."""
     table = _table(name)
     for batch in batches:
         counts, of_ids, of_text = [], [], []
@@ -218,17 +218,24 @@ def _digested(batches, name: str):
             of_text.append(hashlib.sha256(b"".join(map(table.__getitem__, held.tolist()))).hexdigest())
         own = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:-1], *own], names=[*batch.schema.names[:-1], *(n for n, _ in _DIGESTS)])
+            [*batch.columns[:batch.num_columns - 1 + keep], *own],
+            names=[*batch.schema.names[:batch.num_columns - 1 + keep], *(n for n, _ in _DIGESTS)])
 
 
-def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """:func:`encode` and then :func:`digests` in one pass, so a task needs one Python worker and ids stay there."""
+def encode_digests(
+    docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str | None = None
+) -> DataFrame:
+    """:func:`encode` and then :func:`digests` in one pass, so a task needs one Python worker.
+
+    The ids stay there, or with a name in ``ids_col`` come as that column (array of int) before the digests.
+    """
     name = _ship(docs, ranks_path)
-    own = [n for n, _ in _DIGESTS]
+    ids = [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)] if ids_col else []
+    own = [n for n, _ in _DIGESTS] + [f.name.lower() for f in ids]
     kept = [c for c in docs.columns if c != text_col and c.lower() not in own]
-    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(n, k) for n, k in _DIGESTS)])
+    schema = T.StructType([*(docs.schema[c] for c in kept), *ids, *(T.StructField(n, k) for n, k in _DIGESTS)])
     return docs.select(*kept, text_col).mapInArrow(
-        lambda batches: _digested(_encoded(batches, name, pattern, "ids"), name), schema)
+        lambda batches: _digested(_encoded(batches, name, pattern, ids_col or "ids"), name, len(ids)), schema)
 
 
 def digests(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:

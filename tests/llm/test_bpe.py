@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+import corpus_pipeline
 from peoplelake.llm import bpe
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -79,3 +80,13 @@ def test_frames_round_trip(spark, public):
         assert r["decoded_sha256"] == hashlib.sha256((ODD[r["doc_id"]] or "").encode()).hexdigest()
     assert sorted(bpe.encode_digests(docs.drop("ids"), PATH, PATTERN).collect()) == sorted(digests.collect())
     assert bpe.digests(bpe.encode(docs.limit(0), PATH, PATTERN), PATH).count() == 0
+
+
+def test_pipeline_writes_the_ids(spark, public):
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(ODD)], "doc_id bigint, text string, IDS string")
+    out = corpus_pipeline.encoding_stage(spark, docs, "")
+    assert out.columns == ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    for r in out.collect():
+        assert r["ids"] == public[1].encode_ordinary(ODD[r["doc_id"]] or "") and r["n_tokens"] == len(r["ids"])
+        assert r["ids_sha256"] == hashlib.sha256(np.array(r["ids"], "<u4").tobytes()).hexdigest()
+    assert "ids" not in bpe.encode_digests(docs.drop("IDS"), PATH, PATTERN).columns
