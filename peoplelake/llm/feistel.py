@@ -1,6 +1,6 @@
 """A keyed permutation of 0 .. n-1 that any row computes for itself: Feistel rounds with cycle walking.
 
-Numpy for Spark tasks, and the same arithmetic as DuckDB SQL for the oracles. All products stay below 2**62.
+Numpy for Spark tasks. All products stay below 2**62.
 """
 
 from __future__ import annotations
@@ -64,18 +64,3 @@ def permute(x, n, seed: int, tweak=0, forward: bool = True) -> np.ndarray:
     while (outside := np.flatnonzero(out >= n)).size:
         out[outside] = _rounds(out[outside], bits[outside], keys, tweak[outside], forward)
     return out
-
-
-def bits_sql(n: str) -> str:
-    """DuckDB: the half width for a domain of ``n``."""
-    return f"greatest(1, len(list_filter(range(0, 31), b -> ({n}) > (1::BIGINT << (2 * b)::INTEGER))))::INTEGER"
-
-
-def rounds_sql(source: str, seed: int, carry: str, tweak: str = "0") -> str:
-    """DuckDB: select ``carry`` columns and ``v`` after all rounds from ``source``, which has v, bits and ``tweak``."""
-    step = f"SELECT {carry}, bits, {tweak} AS tw, v >> bits AS l, v & ((1::BIGINT << bits) - 1) AS r FROM {source}"
-    for key in round_keys(seed):
-        h = f"SELECT *, ((r + {key} + (tw::BIGINT & {LOW}) * {TWEAK}) & {LOW}) * {FIRST} AS h1 FROM ({step})"
-        h = f"SELECT *, (xor(h1, h1 >> 15) & {LOW}) * {SECOND} + {key} AS h2 FROM ({h})"
-        step = (f"SELECT {carry}, bits, tw, r AS l, xor(l, xor(h2, h2 >> 13) & ((1::BIGINT << bits) - 1)) AS r FROM ({h})")
-    return f"SELECT {carry}, (l << bits) | r AS v FROM ({step})"
