@@ -8,12 +8,27 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm import bpe, embeddings, exact_dedup, language, mixing, quality, sharding, simhash, toxicity, warc
+from peoplelake.llm import (
+    bpe,
+    embeddings,
+    exact_dedup,
+    language,
+    mixing,
+    negatives,
+    pieces,
+    quality,
+    sharding,
+    simhash,
+    toxicity,
+    warc,
+    whitening,
+)
 from peoplelake.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def query(fn: Query) -> Query:
@@ -124,3 +139,23 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     per_source = mixed.sources.select("source_rank", "source_size", "target")
     return rows.join(per_source, "source_rank").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+
+
+@query
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode_digests(docs, public_tokenizers.path(PIECES), agrees_col="library_agrees")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Where vec_id is divisible by 7 the label is first moved on by one; anchors are the ids divisible by 50."""
+    vectors = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -32,8 +33,8 @@ def documents(spark):
     return {r["doc_id"]: r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
 
 
-def test_all_ten_and_the_pipeline_are_registered():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in REGISTRY} == set(range(1, 11))
+def test_all_operators_and_the_pipeline_are_registered():
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in REGISTRY} == set(range(1, 14))
     assert set(REGISTRY) | {"pipeline"} == set(entry.LLM_QUERIES) and set(ORACLES) <= set(REGISTRY)
 
 
@@ -125,3 +126,24 @@ def test_pipeline_stage_by_stage(spark, documents):
         assert r["doc_id"] in stay and r["n_chars"] == len(r["text"])
         assert r["text"] == whole or all(part in whole for part in r["text"].split("\n"))
     assert len(kept["byte_bpe"]) == len(kept["mixing"]) and all(r["n_tokens"] > 0 for r in kept["byte_bpe"])
+
+
+def test_pieces_agree_with_the_library_on_every_document(spark, documents):
+    got = REGISTRY["op11_sentencepiece"](spark, FOLDER).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(documents) and all(r["library_agrees"] for r in got)
+
+
+def test_whitened_rows_of_the_table(spark):
+    got = REGISTRY["op13_whitening"](spark, FOLDER).collect()
+    vectors = {r["vec_id"]: r["embedding"] for r in spark.read.parquet(f"{FOLDER}/embeddings.parquet").collect()}
+    x = {i: np.floor(256 * np.array(v, np.float64)).astype(np.int64) for i, v in vectors.items()}
+    fitted = np.unique(np.array(list(x.values())), axis=0)
+    values, axes = np.linalg.eigh(np.cov(fitted.T, bias=True))
+    assert len(got) == 4 * len(x) and got[0]["identity_error"] <= 1e-4
+    for k in range(1, 5):
+        of_k = {r["vec_id"]: r for r in got if r["component"] == k}
+        want = {i: (v - fitted.mean(axis=0)) @ axes[:, -k] / values[-k] ** 0.5 for i, v in x.items()}
+        sign = np.sign(sum(want[i] * of_k[i]["whitened"] for i in x))
+        assert all(abs(want[i] * sign - of_k[i]["whitened"]) < 1e-7 for i in x)
+        assert all(abs(r["explained"] * values.sum() / values[-k] - 1) < 1e-9 for r in of_k.values())
+        assert all(r["deviation"] == int(((len(fitted) * x[i] - fitted.sum(axis=0)) ** 2).sum()) for i, r in of_k.items())
