@@ -1,11 +1,15 @@
-"""Operator 4, byte-level BPE: merges picked from a hierarchical-bitmap queue of ranks."""
+"""Operator 4, byte-level BPE: merges picked from a hierarchical-bitmap queue of ranks.
+
+:func:`merge` is the queue for one pre-token. Tasks use the same queue for all new pre-tokens of a batch at once
+(``merging.merge_all``): its buckets hold the positions of all of them, and the positions of a rank are joined together.
+"""
 
 from __future__ import annotations
 
 import base64
 import hashlib
 import re
-import struct
+from collections.abc import Iterator, Sequence
 from heapq import heappop, heappush
 
 import numpy as np
@@ -16,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from peoplelake.llm.common import ship
+from peoplelake.llm.merging import BitmapOfRanks, Remembered, Strings, merge_all, packed, pair_table, slices
 
-#: Entries of a generation of the pieces a worker remembers. Results don't depend on it.
+#: Chunks and pieces that a worker remembers in each generation. Results don't depend on it.
 CACHE = 1 << 18
 #: White space as the pattern's ``\s`` has it; the standard ``re`` counts four control characters more.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -105,38 +110,36 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern)
-        self.chunks = _Remembered(self._chunk)
-        self.pieces = _Remembered(self._piece)
-
-    def _chunk(self, chunk: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.split.findall(chunk)))
-
-    def _piece(self, piece: str) -> bytes:
-        ids = merge(piece.encode("utf-8"), self.ranks)
-        return struct.pack(f"<{len(ids)}I", *ids)
+        self._unit = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self._pairs = pair_table(ranks, ranks.get)
+        self._rank = np.arange(max(ranks.values()) + 1, dtype=np.int32)
+        self.forget()
+
+    def forget(self) -> None:
+        self.chunks = Remembered(lambda chunks: self.pieces.joined([self.split.findall(c) for c in chunks]), CACHE)
+        self.pieces = Remembered(self._merged, CACHE)
+
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece: the whole piece if it is a token, else what the merges leave."""
+        raw = [p.encode("utf-8") for p in pieces]
+        whole = [self.ranks.get(r) for r in raw]
+        others = [r for r, rank in zip(raw, whole) if rank is None]
+        sizes = np.array([len(r) for r in others], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        units = self._unit[np.frombuffer(b"".join(others), np.uint8)]
+        symbols, starts, doubtful = merge_all(units, starts, self._pairs, self._rank, BitmapOfRanks)
+        found = packed(symbols, starts)
+        for i in doubtful.tolist():
+            found[i] = np.array(merge(others[i], self.ranks), "<u4").tobytes()
+        ready = iter(found)
+        return [next(ready) if rank is None else rank.to_bytes(4, "little") for rank in whole]
+
+    def encode_all(self, texts: Sequence[str]) -> Iterator[bytes]:
+        for part in slices(texts):
+            yield from self.chunks.joined([CHUNK.findall(t) for t in part])
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.chunks.__getitem__, CHUNK.findall(text)))
-
-
-class _Remembered(dict):
-    """Results by piece, in two generations: when the young one is full it becomes the old one, and what is used again
-    moves back."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) <= 64:
-            if len(self) >= CACHE:
-                self.old = dict(self)
-                self.clear()
-            self[key] = value
-        return value
+        return next(self.encode_all([text]))
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -144,8 +147,8 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in (x.split() for x in lines.splitlines() if x.strip())}
 
 
-_RANKS: dict[str, dict[bytes, int]] = {}
-_TABLES: dict[str, list[bytes]] = {}
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
+_TABLES: dict[str, Strings] = {}
 
 
 def _ranks_of(name: str) -> dict[bytes, int]:
@@ -153,18 +156,20 @@ def _ranks_of(name: str) -> dict[bytes, int]:
         return read_ranks(file.read())
 
 
-def _ranks(name: str) -> dict[bytes, int]:
-    if name not in _RANKS:
-        _RANKS[name] = _ranks_of(name)
-    return _RANKS[name]
+def _encoder(name: str, pattern: str) -> Encoder:
+    if (name, pattern) not in _ENCODERS:
+        _ENCODERS[name, pattern] = Encoder(_ranks_of(name), pattern)
+    return _ENCODERS[name, pattern]
 
 
-def _table(name: str) -> list[bytes]:
+def _table(name: str) -> Strings:
+    """The bytes of each id."""
     if name not in _TABLES:
         ranks = _ranks_of(name)
-        _TABLES[name] = [b""] * (max(ranks.values(), default=-1) + 1)
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
-            _TABLES[name][rank] = token
+            tokens[rank] = token
+        _TABLES[name] = Strings(tokens)
     return _TABLES[name]
 
 
@@ -189,37 +194,39 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     return docs.select(*kept, text_col).mapInArrow(lambda batches: _encoded(batches, name, pattern, out), schema)
 
 
+def _encoded_texts(batches, name: str, pattern: str):
+    """(batch, ids of its last column, a text). What the encoder remembers goes with the task, as idle workers keep their
+    memory."""
+    encoder = _encoder(name, pattern)
+    try:
+        for batch in batches:
+            yield batch, list(encoder.encode_all([t.as_py() or "" for t in batch.column(batch.num_columns - 1)]))
+    finally:
+        encoder.forget()
+
+
+def _lists(ids: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) // 4 for x in ids])
+    if ends[-1] >= 1 << 31:
+        raise ValueError("over 2**31 tokens in one batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
+
+
 def _encoded(batches, name: str, pattern: str, out: str):
-    """Batches with the last column, a text, replaced by its ids. What the encoder remembers goes with the task, as idle
-    workers keep their memory."""
-    encoder = Encoder(_ranks(name), pattern)
-    for batch in batches:
-        ids = [encoder.encode(t.as_py() or "") if t.is_valid else b"" for t in batch.column(batch.num_columns - 1)]
-        ends = np.cumsum([0] + [len(x) // 4 for x in ids])
-        if ends[-1] >= 1 << 31:
-            raise ValueError("over 2**31 tokens in one batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-        values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-        lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=[*batch.schema.names[:-1], out])
+    for batch, ids in _encoded_texts(batches, name, pattern):
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists(ids)], names=[*batch.schema.names[:-1], out])
 
 
 _DIGESTS = (("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType()))
 
 
-def _digested(batches, name: str, keep: int = 0):
-    """Batches with the last column, a list of ids, replaced by its digests; ``keep=1`` leaves the ids before them."""
-    table = _table(name)
-    for batch in batches:
-        counts, of_ids, of_text = [], [], []
-        for ids in batch.column(batch.num_columns - 1):
-            held = ids.values.to_numpy(zero_copy_only=False) if ids.is_valid else np.zeros(0, np.int32)
-            counts.append(len(held))
-            of_ids.append(hashlib.sha256(held.astype("<u4").tobytes()).hexdigest())
-            of_text.append(hashlib.sha256(b"".join(map(table.__getitem__, held.tolist()))).hexdigest())
-        own = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:batch.num_columns - 1 + keep], *own],
-            names=[*batch.schema.names[:batch.num_columns - 1 + keep], *(n for n, _ in _DIGESTS)])
+def _digests_of(ids: list[bytes], table: Strings) -> list[pa.Array]:
+    counts, of_ids, of_text = [], [], []
+    for raw in ids:
+        counts.append(len(raw) // 4)
+        of_ids.append(hashlib.sha256(raw).hexdigest())
+        of_text.append(hashlib.sha256(table.joined(np.frombuffer(raw, "<u4"))).hexdigest())
+    return [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
 
 
 def encode_digests(
@@ -234,8 +241,14 @@ def encode_digests(
     own = [n for n, _ in _DIGESTS] + [f.name.lower() for f in ids]
     kept = [c for c in docs.columns if c != text_col and c.lower() not in own]
     schema = T.StructType([*(docs.schema[c] for c in kept), *ids, *(T.StructField(n, k) for n, k in _DIGESTS)])
-    return docs.select(*kept, text_col).mapInArrow(
-        lambda batches: _digested(_encoded(batches, name, pattern, ids_col or "ids"), name, len(ids)), schema)
+
+    def run(batches):
+        for batch, found in _encoded_texts(batches, name, pattern):
+            lists = [_lists(found)] if ids_col else []
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], *lists, *_digests_of(found, _table(name))], names=schema.names)
+
+    return docs.select(*kept, text_col).mapInArrow(run, schema)
 
 
 def digests(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -248,7 +261,13 @@ def digests(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFr
     own = [n for n, _ in _DIGESTS]
     kept = [c for c in encoded.columns if c != ids_col and c.lower() not in own]
     schema = T.StructType([*(encoded.schema[c] for c in kept), *(T.StructField(n, k) for n, k in _DIGESTS)])
-    return encoded.select(*kept, ids_col).mapInArrow(lambda batches: _digested(batches, name), schema)
+
+    def run(batches):
+        for batch in batches:
+            found = [np.array(ids.as_py() or (), "<u4").tobytes() for ids in batch.column(len(kept))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *_digests_of(found, _table(name))], names=schema.names)
+
+    return encoded.select(*kept, ids_col).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
@@ -260,7 +279,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", out: str =
     def run(batches):
         table = _table(name)
         for batch in batches:
-            texts = [b"".join(table[i] for i in ids.as_py() or ()) for ids in batch.column(len(kept))]
+            texts = [table.joined(np.array(ids.as_py() or (), np.int64)) for ids in batch.column(len(kept))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(kept)], pa.array(texts, pa.binary())], names=[*kept, out])
 
