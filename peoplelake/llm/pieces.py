@@ -8,6 +8,7 @@ import struct
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -133,8 +134,9 @@ def merge(chunk: str, rank: dict[str, int]) -> list[str]:
 class Codec:
     """Text to ids and back. New chunks are merged together, by one agenda; those that come often are remembered."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, library: sentencepiece.SentencePieceProcessor | None = None):
         self.vocabulary = known = vocabulary
+        self.library, self.doubted = library, set()
         size = len(known.texts)
         self._decimals = Strings([f"{i} ".encode() for i in range(size)])
         self._kinds = np.array(known.kinds)
@@ -153,6 +155,24 @@ class Codec:
 
     def forget(self) -> None:
         self._chunks.forget()
+        self.doubted.clear()
+
+    def _check(self, chunks: list[str], found: list[bytes]) -> None:
+        """Put those chunks among the doubted for which the library has other ids, or which it does not get back from them.
+
+        It puts a blank in front by itself, so a chunk goes without its first; one that is only this can't be asked for.
+        """
+        asked = [(c, f) for c, f in zip(chunks, found) if len(c) > 1]
+        rest = [c[1:] for c, _ in asked]
+        theirs = self.library.encode(rest, num_threads=1)
+        texts = self.library.decode(theirs, num_threads=1)
+        sizes = [len(ids) * 4 for ids in theirs]
+        flat = np.fromiter(chain.from_iterable(theirs), "<u4").tobytes()
+        end = 0
+        for (chunk, own), r, text, size in zip(asked, rest, texts, sizes):
+            end += size
+            if own != flat[end - size:end] or (text != r and text != r.replace(BLANK, " ")):
+                self.doubted.add(chunk)
 
     def _merged(self, chunks: list[str]) -> list[bytes]:
         texts = [c.replace(" ", BLANK) for c in chunks]
@@ -168,6 +188,8 @@ class Codec:
         for i in doubtful.tolist():
             found = merge(texts[i], self.vocabulary.rank)
             out[i] = self._with_bytes([self.vocabulary.ids.get(p, size + ord(p[0])) for p in found])
+        if self.library:
+            self._check(chunks, out)
         return out
 
     def _with_bytes(self, symbols: list[int]) -> bytes:
@@ -180,9 +202,23 @@ class Codec:
     def encode_all(self, texts: Sequence[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, the end id last."""
         end = struct.pack("<I", self.vocabulary.end_id)
+        for ids, _ in self._encoded(texts):
+            yield ids + end
+
+    def _encoded(self, texts: Sequence[str]) -> Iterator[tuple[bytes, bool]]:
+        """(ids without the end id, whether a chunk of the text is doubted) of each text."""
         for part in slices(texts):
-            for ids in self._chunks.joined([CHUNK.findall(" " + t) if t else [] for t in part]):
-                yield ids + end
+            chunks = [CHUNK.findall(" " + t) if t else [] for t in part]
+            for ids, own in zip(self._chunks.joined(chunks), chunks):
+                yield ids, bool(self.doubted) and not self.doubted.isdisjoint(own)
+
+    def encode_checked(self, texts: Sequence[str]) -> Iterator[tuple[np.ndarray, bytes, bool]]:
+        """(ids, the bytes they decode to, whether the library agrees) of each text; without a library none is doubted."""
+        end = struct.pack("<I", self.vocabulary.end_id)
+        for text, (raw, doubted) in zip(texts, self._encoded(texts)):
+            ids = np.frombuffer(raw + end, "<u4")
+            decoded = self.decode(ids)
+            yield ids, decoded, not doubted and decoded == text.replace(BLANK, " ").encode()
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(next(self.encode_all([text])), "<u4").tolist()
@@ -299,28 +335,25 @@ def encode_digests(docs: DataFrame, model_path: str, text_col: str = "text", agr
     """:func:`encode` and :func:`decode` in one worker: ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by one blank)
     and ``decoded_sha256`` (of the decoded text in UTF-8) in place of ``text_col``.
 
-    With a name in ``agrees_col``, that column tells whether the public library gives these very ids and this text; it is
-    asked per Arrow batch and takes no part in the results. Null and empty texts, clashing names: see :func:`encode`.
+    With a name in ``agrees_col``, that column tells whether the public library gives the same: in each Arrow batch it is asked
+    to encode and to decode every chunk that is new to the worker. As no piece has a blank after another character, which
+    :func:`read_model` makes sure of, chunks that agree make texts that agree. It takes no part in the results. Null and empty texts, clashing names: see :func:`encode`.
     """
     name = _shipped(docs, model_path)
 
     def work(codec):
-        library = sentencepiece.SentencePieceProcessor(model_file=SparkFiles.get(name)) if agrees_col else None
+        if agrees_col and codec.library is None:
+            codec.library = sentencepiece.SentencePieceProcessor(model_file=SparkFiles.get(name))
 
         def made(column):
-            texts = [t.as_py() or "" for t in column]
             counts, of_ids, of_text, same = [], [], [], []
-            for text, raw in zip(texts, codec.encode_all(texts)):
-                ids = np.frombuffer(raw, "<u4")
-                decoded = codec.decode(ids)
+            for ids, decoded, agrees in codec.encode_checked([t.as_py() or "" for t in column]):
                 counts.append(len(ids))
                 of_ids.append(hashlib.sha256(codec.decimals(ids)).hexdigest())
                 of_text.append(hashlib.sha256(decoded).hexdigest())
-                if library:
-                    theirs = library.encode(text, add_eos=True)
-                    same.append(theirs == ids.tolist() and library.decode(theirs).encode() == decoded)
+                same.append(agrees)
             arrays = [pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
-            return arrays + ([pa.array(same, pa.bool_())] if library else [])
+            return arrays + ([pa.array(same, pa.bool_())] if agrees_col else [])
 
         return made
 

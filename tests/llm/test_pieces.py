@@ -87,6 +87,25 @@ def test_a_full_cache_changes_nothing(model, codec):
     assert len(small._chunks) < 2
 
 
+def test_the_library_is_asked_about_every_chunk(model, library):
+    codec = pieces.Codec(model, library)
+    texts = [t or "" for t in ODD] + made_texts(300)
+    for text, (ids, decoded, agrees) in zip(texts, codec.encode_checked(texts)):
+        assert agrees and ids.tolist() == library.encode(text, add_eos=True) and decoded.decode() == library.decode(ids.tolist())
+    assert len(codec._chunks.young) > 300 and not codec.doubted
+
+    class Other:
+        def encode(self, texts, num_threads):
+            return [[0] if t == "such" else ids for t, ids in zip(texts, library.encode(texts, num_threads=num_threads))]
+
+        def decode(self, lists, num_threads):
+            return ["?" if t == "word" else t for t in library.decode(lists, num_threads=num_threads)]
+
+    wrong = pieces.Codec(model, Other())
+    for _ in range(2):
+        assert [a for _, _, a in wrong.encode_checked(["no such thing", "nothing", "a word", ""])] == [False, True, False, True]
+
+
 def field(number: int, value) -> bytes:
     if isinstance(value, int):
         return bytes([number << 3, value])

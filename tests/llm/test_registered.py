@@ -1,5 +1,6 @@
 """The registered queries on the smallest driver tables: oracles, contracts in plain Python, plans; and the pipeline."""
 
+import hashlib
 import os
 import re
 import zlib
@@ -7,7 +8,9 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -130,7 +133,12 @@ def test_pipeline_stage_by_stage(spark, documents):
 
 def test_pieces_agree_with_the_library_on_every_document(spark, documents):
     got = REGISTRY["op11_sentencepiece"](spark, FOLDER).collect()
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     assert sorted(r["doc_id"] for r in got) == sorted(documents) and all(r["library_agrees"] for r in got)
+    for r in got:
+        ids = library.encode(documents[r["doc_id"]]["text"] or "", add_eos=True)
+        assert r["n_tokens"] == len(ids) and r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
 
 
 def test_whitened_rows_of_the_table(spark):
