@@ -14,14 +14,11 @@ from pyspark.sql import functions as F
 
 from peoplelake.functions.cleaning import as_of_date
 from peoplelake.functions.metrics import exact_mean, exact_sum, ratio, total_where
+from peoplelake.operators.ranks import exact_quantiles
 
 WEIGHT = "n"
 # Sample points of the salary distributions. Fixed values.
 PERCENTILES = {"median": 0.5, "p25": 0.25, "p75": 0.75, "p90": 0.90, "p95": 0.95, "p99": 0.99}
-# Values a percentile sketch holds; below that percentiles are exact, above their rank is off by some 0.00002.
-DEFAULT_ACCURACY = 65_535
-# Sketches of the map tasks are merged in this many parts per group before the parts are merged.
-SKETCH_PARTS = 64
 
 
 def snapshot(df: DataFrame, as_of: dt.date | str | None) -> DataFrame:
@@ -66,13 +63,12 @@ def distribution(
     spread: bool = True,
     total: str | None = "total_payroll",
     count_name: str = "employees_with_salary",
-    accuracy: int = DEFAULT_ACCURACY,
+    counts_path: str | None = None,
 ) -> DataFrame:
     """Count, mean, percentiles, standard deviation, extremes and total of a measure, per group or overall.
 
-    All percentiles come from one sketch per group. Every map task makes one; they are merged in two steps, by parts of the
-    map tasks and then the parts, so no task merges more than its share however many map tasks there are. The small
-    aggregates are a second scan of the same two columns.
+    Percentiles are exact at any size: :func:`exact_quantiles`, whose counted values are written to ``counts_path``. The
+    small aggregates are a second scan of the same two columns.
     """
     valid = df.filter(F.col(measure).isNotNull()).select(*by, measure)
     m = F.col(measure)
@@ -83,8 +79,8 @@ def distribution(
     if total:
         aggs.append(exact_sum(m).alias(total))
     grouped = valid.groupBy(*by).agg(*aggs)
-    sketches = _quantiles(valid, measure, by, [PERCENTILES[p] for p in points], accuracy)
-    both = grouped.unionByName(sketches, allowMissingColumns=True)
+    ranked = exact_quantiles(valid, measure, [PERCENTILES[p] for p in points], by, path=counts_path)
+    both = grouped.unionByName(ranked.withColumnRenamed("q", "_q"), allowMissingColumns=True)
     grouped = both.groupBy(*by).agg(*[F.max(c).alias(c) for c in both.columns if c not in by])
     quantiles = {f"{p}_{measure}": F.round(F.col("_q")[i], 2) for i, p in enumerate(points)}
     lead = [*by, count_name, f"avg_{measure}"]
@@ -93,16 +89,6 @@ def distribution(
     )
 
 
-def _quantiles(valid: DataFrame, measure: str, by: Sequence[str], points: Sequence[float], size: int) -> DataFrame:
-    """``_q``: the values at these ranks per group."""
-    parted = valid.select(*by, F.col(measure).cast("double").alias("_v"), (F.spark_partition_id() % SKETCH_PARTS).alias("_part"))
-    parts = parted.groupBy(*by, "_part").agg(F.expr(f"kll_sketch_agg_double(_v, {size})").alias("_sketch"))
-    whole = parts.groupBy(*by).agg(F.expr(f"kll_merge_agg_double(_sketch, {size})").alias("_sketch"))
-    at = ", ".join(f"{p}D" for p in points)
-    return whole.select(*by, F.when(
-        F.expr("kll_sketch_get_n_double(_sketch) > 0"), F.expr(f"kll_sketch_get_quantile_double(_sketch, array({at}))")).alias("_q"))
-
-
 def leaderboard(df: DataFrame, metric: str, top_n: int, *, eligible: Column | None = None) -> DataFrame:
     """Dense rank on the (rounded) metric, best first; ties share a rank, so more than ``top_n`` rows may remain.
 

@@ -1054,3 +1054,8 @@ oracle(
         f"SELECT '{m.name}' AS artefact, true AS present, count(*) AS row_count, DATE '{AS_OF}' AS newest, true AS ready "
         f"FROM m_{m.view}" for m in MARTS)
     + f" UNION ALL SELECT 'insight_chunks', true, count(*), DATE '{AS_OF}', true FROM ({' UNION ALL '.join(_ROWS)})")
+_POINTS = (("median", 0.5), ("p25", 0.25), ("p75", 0.75), ("p90", 0.9), ("p95", 0.95), ("p99", 0.99))
+oracle("line_item_quantiles", "", " UNION ALL ".join(
+    f"SELECT '{m}' AS measure, l_returnflag, l_linestatus, "
+    + ", ".join(f"quantile_disc({m}, {p})::DOUBLE AS {name}" for name, p in _POINTS) + " FROM lineitem GROUP BY 2, 3"
+    for m in ("l_extendedprice", "l_quantity")))

@@ -127,15 +127,15 @@ def _top_teams(frame: DataFrame, as_of: AsOf, *, min_team_size: int = MIN_TEAM_S
 
 
 # -- pay marts: functions of the employee rows -------------------------------------------------------------------------
-def salary_by_department(silver: DataFrame, as_of: AsOf = None, accuracy: int = op.DEFAULT_ACCURACY) -> DataFrame:
-    stats = op.distribution(silver, "salary", ["department"], accuracy=accuracy)
+def salary_by_department(silver: DataFrame, as_of: AsOf = None, counts_path: str | None = None) -> DataFrame:
+    stats = op.distribution(silver, "salary", ["department"], counts_path=counts_path)
     return op.snapshot(stats, as_of).orderBy(F.desc("avg_salary"), "department")
 
 
 def salary_top_paying(
-    silver: DataFrame, as_of: AsOf = None, accuracy: int = op.DEFAULT_ACCURACY, top_n: int = TOP_N
+    silver: DataFrame, as_of: AsOf = None, counts_path: str | None = None, top_n: int = TOP_N
 ) -> DataFrame:
-    return top_paying_of(salary_by_department(silver, as_of, accuracy), top_n)
+    return top_paying_of(salary_by_department(silver, as_of, counts_path), top_n)
 
 
 def top_paying_of(by_department: DataFrame, top_n: int = TOP_N) -> DataFrame:
@@ -145,11 +145,11 @@ def top_paying_of(by_department: DataFrame, top_n: int = TOP_N) -> DataFrame:
     ).orderBy("rank", "department")
 
 
-def salary_distribution(silver: DataFrame, as_of: AsOf = None, accuracy: int = op.DEFAULT_ACCURACY) -> DataFrame:
-    return op.snapshot(op.distribution(silver, "salary", points=tuple(op.PERCENTILES), accuracy=accuracy), as_of)
+def salary_distribution(silver: DataFrame, as_of: AsOf = None, counts_path: str | None = None) -> DataFrame:
+    return op.snapshot(op.distribution(silver, "salary", points=tuple(op.PERCENTILES), counts_path=counts_path), as_of)
 
 
-def pay_by_rating(silver: DataFrame, as_of: AsOf = None, accuracy: int = op.DEFAULT_ACCURACY) -> DataFrame:
+def pay_by_rating(silver: DataFrame, as_of: AsOf = None, counts_path: str | None = None) -> DataFrame:
     stats = op.distribution(
         silver.filter(F.col("performance_rating").isNotNull()),
         "salary",
@@ -158,7 +158,7 @@ def pay_by_rating(silver: DataFrame, as_of: AsOf = None, accuracy: int = op.DEFA
         spread=False,
         total=None,
         count_name="employees",
-        accuracy=accuracy,
+        counts_path=counts_path,
     )
     return op.snapshot(stats, as_of).orderBy("performance_rating")
 
@@ -274,7 +274,6 @@ def build_all(
     mode: str = "overwrite",
     files: int = 1,
     strict: bool = False,
-    accuracy: int = op.DEFAULT_ACCURACY,
     concurrent_marts: int = 8,
 ) -> DataFrame:
     """Build, write and validate the selected marts; returns one status row per mart.
@@ -306,7 +305,7 @@ def build_all(
             if PAY_BASE not in base:
                 raise RuntimeError(f"{PAY_BASE} failed")
             return top_paying_of(base[PAY_BASE])
-        return mart.fn(silver, as_of, accuracy=accuracy) if mart.fn in _PAY else mart.fn(silver, as_of)
+        return mart.fn(silver, as_of, counts_path=f"{scratch}/counts/{mart.name}") if mart.fn in _PAY else mart.fn(silver, as_of)
 
     def build_one(mart: Mart) -> DataFrame:
         # this run's rows are written once aside, then published: an appended table also holds earlier snapshots, which

@@ -11,6 +11,7 @@ from peoplelake import bindings as b
 from peoplelake.bindings import AS_OF, Tables
 from peoplelake.functions import text as tx
 from peoplelake.operators import latest, marts as op, quality, reports, retrieval, routing
+from peoplelake.operators.ranks import exact_quantiles
 from peoplelake.plans import catalog, gold, insights, jobs, silver
 from peoplelake.schemas import stream_schema
 from peoplelake.session import scratch_path
@@ -583,6 +584,19 @@ def chunk_delete_where(t: Tables) -> DataFrame:
     return retrieval.delete_where(docs, {"lang": "en", "source": "src1"})
 
 
+@query
+def line_item_quantiles(t: Tables) -> DataFrame:
+    """Exact discrete quantiles of prices and of a heavily tied quantity, by return flag and line status."""
+    items, by = t("lineitem"), ["l_returnflag", "l_linestatus"]
+    points = tuple(op.PERCENTILES.values())
+    parts = [
+        exact_quantiles(items, measure, points, by).select(
+            F.lit(measure).alias("measure"), *by,
+            *[F.get("q", F.lit(i)).cast("double").alias(name) for i, name in enumerate(op.PERCENTILES)])
+        for measure in ("l_extendedprice", "l_quantity")]
+    return parts[0].unionByName(parts[1])
+
+
 # -- routing --------------------------------------------------------------------------------------------------------------
 @query
 def classify_intents(t: Tables) -> DataFrame:
