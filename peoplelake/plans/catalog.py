@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from peoplelake.functions.text import squash_whitespace_ends
 from peoplelake.plans.gold import MARTS, Mart, load_mart
+from peoplelake.plans.governance import inspected, is_query, objections, restrict_functions, sources
 from peoplelake.sources.lake import Lake
 
 # Access limits and the words a read-only query may not contain.
@@ -74,13 +75,16 @@ def catalog_document(marts: Mapping[str, DataFrame]) -> str:
 class GovernedViews:
     """Read access limited to registered marts, with a default row limit and a hard cap that a result always reports.
 
-    ``sql`` runs in a session of its own that has the mart views and no other, and where files can't be named as tables.
+    ``sql`` runs in a session of its own that has the mart views and the allowed functions and no others, and where files can't
+    be named as tables. Either way the analysed plan is judged before anything runs, see :mod:`peoplelake.plans.governance`.
     """
 
     def __init__(self, marts: Mapping[str, DataFrame], default_limit: int = DEFAULT_LIMIT, hard_cap: int = HARD_CAP):
         self._views = {view_name(name): df for name, df in marts.items()}
         self._default, self._cap = default_limit, hard_cap
         self._session: SparkSession | None = None
+        self._readable: set[str] = set()
+        self._sources: dict[str, set[str]] = {}
 
     @property
     def names(self) -> list[str]:
@@ -104,27 +108,43 @@ class GovernedViews:
     def query(
         self, view: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df, limit: int | None = None
     ) -> DataFrame:
-        """Apply a DataFrame transform to one registered view; what it returns must read that view's files and no others."""
+        """Apply a DataFrame transform to one registered view; the result must read that view alone, by allowed operators and
+        functions, so a transform can't bring in code of its own."""
         if view not in self._views:
             raise PermissionError(f"unknown view {view!r}; allowed: {self.names}")
-        result, allowed = transform(self._views[view]), set(self._views[view].inputFiles())
-        read = set(result.inputFiles())
-        if not read or not read <= allowed:
-            raise PermissionError(f"the result does not come from {view!r} alone")
+        if view not in self._sources:
+            self._sources[view] = sources(self._views[view])
+        result = transform(self._views[view])
+        strange, read = inspected(result)
+        if strange or not read or not read <= self._sources[view]:
+            raise PermissionError("; ".join(sorted(strange)) or f"the result does not come from {view!r} alone")
         return self._limited(result, limit)
 
     def sql(self, text: str, limit: int | None = None) -> DataFrame:
-        """Run one SELECT over the mart views. What :func:`audit_query_log` flags is refused."""
+        """Run one SELECT over the mart views. What :func:`audit_query_log` flags and what the plan's check objects to is
+        refused; a function or table that is not there fails the analysis."""
         if reasons := refusals(text):
             raise PermissionError("; ".join(reasons))
         if self._session is None:
-            frames = list(self._views.items())
-            session = frames[0][1].sparkSession.newSession() if frames else SparkSession.active().newSession()
-            for name, df in frames:
-                session.read.schema(df.schema).parquet(*df.inputFiles()).createOrReplaceTempView(name)
-            session.conf.set("spark.sql.runSQLOnFiles", "false")
-            self._session = session
-        return self._limited(self._session.sql(text.strip().rstrip(";")), limit)
+            self._session = self._restricted()
+        statement = text.strip().rstrip(";")
+        if not is_query(self._session, statement):
+            raise PermissionError("not a query")
+        result = self._session.sql(statement)
+        if found := objections(result, self._readable):
+            raise PermissionError("; ".join(found))
+        return self._limited(result, limit)
+
+    def _restricted(self) -> SparkSession:
+        frames = list(self._views.items())
+        session = frames[0][1].sparkSession.newSession() if frames else SparkSession.active().newSession()
+        for name, df in frames:
+            own = session.read.schema(df.schema).parquet(*df.inputFiles())
+            own.createOrReplaceTempView(name)
+            self._readable |= sources(own)
+        session.conf.set("spark.sql.runSQLOnFiles", "false")
+        restrict_functions(session)
+        return session
 
 
 def refusals(text: str | None, blocked: Sequence[str] = BLOCKED_WORDS, max_chars: int = MAX_SQL_CHARS) -> list[str]:

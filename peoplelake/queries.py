@@ -33,21 +33,26 @@ def mart(t: Tables, name: str) -> DataFrame:
     return gold.BY_NAME[name].build(b.employees(t), AS_OF)
 
 
-_GOLD: dict[tuple, Lake] = {}
+_GOLD: dict[tuple, tuple[Lake, dict[str, DataFrame]]] = {}
 _VIEWS: dict[str, catalog.GovernedViews] = {}
 
 
 def built_gold(t: Tables) -> tuple[Lake, dict[str, DataFrame]]:
     """The Gold marts of a folder, written by the regular build job; built again when an input file has changed."""
-    files = []
-    for name in ("orders", "customer", "nation"):
-        meta = t(name).select("_metadata.file_path", "_metadata.file_modification_time", "_metadata.file_size").distinct()
-        files += sorted(tuple(r) for r in meta.collect())
-    key = (t.spark.sparkContext.applicationId, t.folder, *files)
+    states = tuple(lk.file_states(t.spark, t(name).inputFiles()) for name in ("orders", "customer", "nation"))
+    key = (t.spark.sparkContext.applicationId, t.folder, states)
     if key not in _GOLD:
-        _GOLD[key] = Lake(scratch_path(t.spark, "gold"))
-        gold.build_all(b.employees(t), _GOLD[key], AS_OF).collect()
-    return _GOLD[key], catalog.load_marts(t.spark, _GOLD[key])
+        lake = Lake(scratch_path(t.spark, "gold"))
+        gold.build_all(b.employees(t), lake, AS_OF).collect()
+        _GOLD[key] = lake, catalog.load_marts(t.spark, lake)
+    return _GOLD[key]
+
+
+def governed(t: Tables) -> catalog.GovernedViews:
+    lake, marts = built_gold(t)
+    if lake.root not in _VIEWS:
+        _VIEWS[lake.root] = catalog.GovernedViews(marts)
+    return _VIEWS[lake.root]
 
 
 def gold_marts(t: Tables) -> dict[str, DataFrame]:
@@ -478,18 +483,14 @@ def fmt_pct(t: Tables) -> DataFrame:
 # -- governance -----------------------------------------------------------------------------------------------------------
 @query
 def governed_query(t: Tables) -> DataFrame:
-    views = catalog.GovernedViews(gold_marts(t))
-    return views.query(
+    return governed(t).query(
         "attrition_by_country",
         lambda df: df.filter("attrited > 0").select("country", "headcount", "attrited", "attrition_rate"))
 
 
 @query
 def governed_sql(t: Tables) -> DataFrame:
-    lake, marts = built_gold(t)
-    if lake.root not in _VIEWS:
-        _VIEWS[lake.root] = catalog.GovernedViews(marts)
-    return _VIEWS[lake.root].sql("SELECT hire_year, SUM(hires) AS hires FROM workforce_hiring_trends GROUP BY hire_year;")
+    return governed(t).sql("SELECT hire_year, SUM(hires) AS hires FROM workforce_hiring_trends GROUP BY hire_year;")
 
 
 @query

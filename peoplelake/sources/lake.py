@@ -89,3 +89,11 @@ def read_format(spark: SparkSession, path: str, file_format: str, schema, list_f
             df = df.withColumn(list_field, F.split(list_field, r"\|"))
         return df
     return spark.read.schema(schema).format(file_format).load(path)
+
+
+def file_states(spark: SparkSession, files: list[str]) -> tuple[tuple[str, int, int], ...]:
+    """(name, length, time of change) of files in any store, from its directory: no file is opened."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = [path(f).getFileSystem(conf).getFileStatus(path(f)) for f in sorted(files)]
+    return tuple((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in found)
