@@ -40,15 +40,16 @@ STATUS_OF_EVENT = {"view": "Present", "click": "present", "signup": "absent", "p
 STAGE_OF_EVENT = {
     "view": "applied", "click": "screen", "signup": "interview", "purchase": "offer", "error": "hired",
 }
+# One or more for each kind of intent rule, in spellings that hit it, miss it or hit several.
 QUESTIONS = (
-    "Which office lost the largest share of its people?",
-    "List the 7 best paid teams in {dept}.",
-    "How many people were hired since 2021?",
-    "Give an overview of {dept} staffing.",
-    "Why do so many people leave {dept}?",
-    "What explains the turnover among well paid staff?",
-    "Compare average ratings of {dept} with the others.",
-    "What is the total headcount by country?",
+    "bottom 3 offices by tenure",
+    "count of open contracts for {dept}",
+    "Break-down of overtime, {dept} against Legal",
+    "sort {dept} by median pay",
+    "tell me about {dept}",
+    "some background on the {dept} people, in general",
+    "What's causing departures at {dept}?",
+    "Root cause of the drop in {dept}, and the takeaways",
     "  hello!  ",
     "What is the weather in {dept}?",
     "Explain the rating of {dept} by country",
