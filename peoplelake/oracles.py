@@ -392,6 +392,7 @@ oracle(
     'ORDER BY ingest_ts DESC, "offset" DESC) AS rn FROM feed) WHERE rn = 1')
 oracle("silver_employees", "silver", "SELECT * FROM silver")
 oracle("silver_incremental", "silver", "SELECT * FROM silver")
+oracle("stream_silver_upsert", "silver", "SELECT * FROM silver")
 oracle("silver_write_roundtrip", "silver", "SELECT * EXCLUDE (skills) FROM silver")
 oracle("silver_attendance", "fct_attendance", "SELECT * FROM fct_attendance")
 oracle("silver_performance", "fct_performance", "SELECT * FROM fct_performance")

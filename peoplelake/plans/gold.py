@@ -16,6 +16,7 @@ from peoplelake.functions.metrics import EXACT, bucket, position_of, ratio, tota
 from peoplelake.operators import marts as op
 from peoplelake.plans.silver import STAGES
 from peoplelake.session import discard, scratch_path
+from peoplelake.sources import versions
 from peoplelake.sources.lake import Lake, read_table, write_table
 
 AsOf = dt.date | str | None
@@ -312,7 +313,7 @@ def build_all(
         # are neither ranked nor validated again
         write_table(frame_of(mart).coalesce(max(1, files)), f"{scratch}/{mart.name}")
         own = read_table(spark, f"{scratch}/{mart.name}")
-        write_table(own.coalesce(max(1, files)), lake.gold(mart.name), mode=mode)
+        versions.publish(own.coalesce(max(1, files)), lake.gold(mart.name), mode=mode)
         base[mart.name] = own
         row = validation_row(mart.name, own, mart.required).first()
         return spark.createDataFrame([tuple(row)], VALIDATION_DDL)

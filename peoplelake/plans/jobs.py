@@ -19,6 +19,7 @@ from peoplelake.plans import gold, insights, silver
 from peoplelake.plans.catalog import load_marts
 from peoplelake.schemas import STREAMS
 from peoplelake.session import build_session, discard, scratch_path
+from peoplelake.sources import versions as published
 from peoplelake.sources.lake import SILVER_PARTITIONS, Lake, read_table, write_table
 from peoplelake.sources.log import read_since
 from peoplelake.streaming.ingest import ingest_topic, watch
@@ -60,27 +61,30 @@ def clean_employees(
 ) -> tuple[DataFrame, DataFrame]:
     """Write, audit, publish: returns the published employee table and its quality report.
 
-    The cleaned rows are written once to the shared folder, so neither the audit nor the publication repeats the
-    cleaning and the deduplication, and a failed gate leaves the published table as it was. The audit reads only the
-    five columns it needs. ``mode="merge"`` keeps the published rows of other employees and the newer row of each
-    employee, so an incremental load gives what a full rebuild gives; the audit is then of the merged table.
+    The cleaned rows are written once, to a version that nobody reads yet; the audit reads the five columns it needs of it,
+    and one small commit then makes it the table. A closed gate or a crash leaves the table as it was. ``mode="merge"``
+    keeps the published rows of other employees and the newer row of each employee, so an incremental load gives what a
+    full rebuild gives; the audit is then of the merged table.
     """
     _check_mode(mode)
     spark = raw.sparkSession
     target = lake.silver("dim_employee")
     cleaned = silver.silver_employees(raw, as_of)
+    before = published.current(spark, target)
     if mode == "merge":
         cleaned = merged(existing_table(spark, target, cleaned), cleaned, ["employee_id"], "ingest_ts")
-    staged_path = scratch_path(spark, "staged-employees")
-    write_table(cleaned, staged_path)
-    staged = read_table(spark, staged_path)
+    folder = published.write_version(cleaned, target, SILVER_PARTITIONS["dim_employee"])
     report_path = scratch_path(spark, "quality")
-    quality_report(staged, thresholds).coalesce(1).write.parquet(report_path)
+    quality_report(spark.read.parquet(f"{target}/{folder}"), thresholds).coalesce(1).write.parquet(report_path)
     report = spark.read.parquet(report_path)
-    if fail_on_quality:
-        enforce(report)
-    write_table(staged, target, SILVER_PARTITIONS["dim_employee"])
-    discard(spark, staged_path)
+    try:
+        if fail_on_quality:
+            enforce(report)
+    except QualityGateError:
+        discard(spark, f"{target}/{folder}")
+        raise
+    published.commit(spark, target, published.Commit(before.number + 1 if before else 0, (folder,)))
+    published.expire(spark, target)
     return read_table(spark, target, like=cleaned), report
 
 
@@ -107,12 +111,7 @@ def clean_fact(raw: DataFrame, lake: Lake, stream: str, mode: str = "overwrite")
     cleaned, target = plan(raw), lake.silver(table)
     if mode == "merge":
         cleaned = merged(existing_table(spark, target, cleaned), cleaned, keys, "event_ts")
-        staged_path = scratch_path(spark, f"staged-{table}")
-        write_table(cleaned, staged_path)
-        write_table(read_table(spark, staged_path), target, SILVER_PARTITIONS[table])
-        discard(spark, staged_path)
-    else:
-        write_table(cleaned, target, SILVER_PARTITIONS[table])
+    published.publish(cleaned, target, SILVER_PARTITIONS[table])
     return read_table(spark, target, like=cleaned)
 
 
@@ -137,7 +136,7 @@ def build_detail_marts(spark: SparkSession, lake: Lake, versions: DataFrame, as_
             read_table(spark, lake.silver("fct_recruitment")), as_of),
     }
     for name, build in marts.items():
-        write_table(build().coalesce(1), lake.gold(name))
+        published.publish(build().coalesce(1), lake.gold(name))
     return list(marts)
 
 
@@ -146,8 +145,7 @@ def refresh_chunks(
 ) -> DataFrame:
     """Narrate the written marts, embed the texts and upsert them into the chunk collection by chunk id.
 
-    The new state is written to a fresh folder before it replaces the old one, because a table cannot be overwritten
-    while it is read.
+    The new state is a version of its own, published when it is whole.
     """
     fresh = embed(insights.insight_chunks(load_marts(spark, lake)), "text", encoder)
     target = f"{lake.root}/vectors/insights"
@@ -157,10 +155,7 @@ def refresh_chunks(
         except Exception as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-    staged = scratch_path(spark, "chunks")
-    write_table(fresh, staged)
-    write_table(read_table(spark, staged), target)
-    discard(spark, staged)
+    published.publish(fresh, target)
     return read_table(spark, target)
 
 

@@ -16,9 +16,10 @@ from peoplelake.plans import catalog, gold, insights, jobs, silver
 from peoplelake.schemas import stream_schema
 from peoplelake.session import scratch_path
 from peoplelake.sources import lake as lk
-from peoplelake.sources import log
+from peoplelake.sources import log, versions
 from peoplelake.sources.lake import Lake
 from peoplelake.streaming.ingest import progress_report, start_ingest, watch
+from peoplelake.streaming.upsert import batch_writer, start_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -297,6 +298,24 @@ def silver_incremental(t: Tables) -> DataFrame:
     return table.select(*_SILVER_SHOWN, F.array_join("skills", "|").alias("skills"))
 
 
+@query
+def stream_silver_upsert(t: Tables) -> DataFrame:
+    """The feed as a stream of micro-batches upserted into the cleaned table, the last batch delivered twice."""
+    lake, landed = Lake(scratch_path(t.spark, "upsert")), scratch_path(t.spark, "landed")
+    feed = b.feed(t)
+    feed.write.parquet(landed)
+    stream = t.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 4).parquet(landed)
+    table = lake.silver("dim_employee")
+
+    def clean(rows: DataFrame) -> DataFrame:
+        return silver.silver_employees(rows, AS_OF)
+
+    start_upsert(stream, lake, "dim_employee", clean, ["employee_id"], "ingest_ts", "department").awaitTermination()
+    last = versions.current(t.spark, table).batches["silver_dim_employee"]
+    batch_writer(table, "silver_dim_employee", clean, ["employee_id"], "ingest_ts", "department")(feed, last)
+    return lk.read_table(t.spark, table, like=clean(feed)).select(*_SILVER_SHOWN, F.array_join("skills", "|").alias("skills"))
+
+
 @query
 def silver_attendance(t: Tables) -> DataFrame:
     return silver.silver_attendance(b.attendance(t("events")))

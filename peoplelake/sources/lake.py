@@ -52,8 +52,13 @@ def write_table(
 
 
 def read_table(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:
-    """Parquet scan. Partition columns come back last and with inferred types; ``like`` restores order and types."""
-    df = spark.read.parquet(path)
+    """Parquet scan, of the version that holds if the table is published by version. Partition columns come back last and
+    with inferred types; ``like`` restores order and types."""
+    from peoplelake.sources.versions import read_current  # which writes through this module
+
+    df = read_current(spark, path)
+    if df is None:
+        df = spark.read.parquet(path)
     if like is None:
         return df
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])

@@ -4,7 +4,7 @@ import pytest
 
 from peoplelake.operators.quality import QualityGateError, Thresholds
 from peoplelake.plans import jobs
-from peoplelake.sources.lake import write_table
+from peoplelake.sources.lake import read_table, write_table
 from peoplelake.sources.log import parse_messages
 from tests.test_cleaning import FEED, feed_row
 from tests.test_log_and_lake import messages
@@ -20,7 +20,7 @@ def test_write_audit_publish(spark, lake):
     strict = Thresholds(blocking=("invalid_salary_pct",))
     with pytest.raises(QualityGateError):
         jobs.clean_employees(bad, lake, AS_OF, thresholds=strict, fail_on_quality=True)
-    assert spark.read.parquet(lake.silver("dim_employee")).count() == 20
+    assert read_table(spark, lake.silver("dim_employee")).count() == 20
 
 
 def test_command_line_from_raw_to_insights(spark, lake):
@@ -36,12 +36,12 @@ def test_command_line_from_raw_to_insights(spark, lake):
     assert run("silver", "--stream", "attendance") == jobs.EXIT_READ
     assert run("silver", "--since", "2999-01-01") == jobs.EXIT_OK
     assert run("silver", "--fail-on-dq") == jobs.EXIT_OK
-    assert spark.read.parquet(lake.silver("dim_employee")).count() == 60
+    assert read_table(spark, lake.silver("dim_employee")).count() == 60
     assert run("gold", "--marts", "no/mart") == jobs.EXIT_UNKNOWN_MART
     assert run("gold", "--fail-on-validation") == jobs.EXIT_OK
-    assert spark.read.parquet(lake.gold("attrition/by_department")).count() == 3
+    assert read_table(spark, lake.gold("attrition/by_department")).count() == 3
     assert run("insights") == jobs.EXIT_OK
-    assert spark.read.parquet(f"{lake.root}/vectors/insights").count() > 30
+    assert read_table(spark, f"{lake.root}/vectors/insights").count() > 30
 
 
 def test_fact_jobs_and_detail_marts(spark, lake):
@@ -61,8 +61,8 @@ def test_fact_jobs_and_detail_marts(spark, lake):
     for stream, raw in (("attendance", attendance), ("performance", reviews), ("recruitment", applications)):
         assert jobs.clean_fact(raw, lake, stream).count() == 1
     assert len(jobs.build_detail_marts(spark, lake, versions, AS_OF)) == 4
-    row = spark.read.parquet(lake.gold("gold_headcount")).first()
+    row = read_table(spark, lake.gold("gold_headcount")).first()
     assert (row["headcount"], row["attrition_count"], row["avg_salary"], row["avg_tenure_years"]) == (1, 1, 120.0, 2.0)
-    assert spark.read.parquet(lake.gold("gold_attendance_compliance")).first()["present_days"] == 1
-    assert spark.read.parquet(lake.gold("gold_performance")).first()["total_bonus"] == 10.0
-    assert spark.read.parquet(lake.gold("gold_recruitment_funnel")).first()["offer"] == 1
+    assert read_table(spark, lake.gold("gold_attendance_compliance")).first()["present_days"] == 1
+    assert read_table(spark, lake.gold("gold_performance")).first()["total_bonus"] == 10.0
+    assert read_table(spark, lake.gold("gold_recruitment_funnel")).first()["offer"] == 1

@@ -4,6 +4,7 @@ import statistics
 
 import pytest
 
+from peoplelake.sources.lake import read_table
 from peoplelake.operators import marts as op
 from peoplelake.plans import gold
 from peoplelake.plans.catalog import lake_health
@@ -100,7 +101,7 @@ def test_build_all_writes_validates_and_isolates(spark, people, lake):
     assert status["partial/mart"]["detail"] == "missing_columns=['absent']"
     good = [r for n, r in status.items() if n not in ("broken/mart", "partial/mart")]
     assert all(r["passed"] and r["status"] == "written" and r["rows"] > 0 for r in good)
-    board = spark.read.parquet(lake.gold("salary/top_paying_depts"))
+    board = read_table(spark, lake.gold("salary/top_paying_depts"))
     direct = gold.BY_NAME["salary/top_paying_depts"].build(people, AS_OF)
     assert sorted(map(tuple, board.collect())) == sorted(map(tuple, direct.select(board.columns).collect()))
     health = by(lake_health(spark, lake).collect(), "artefact")
