@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from peoplelake.functions.text import fixed_point
-from peoplelake.session import scratch_path
 
 # Default result size, similarity floor, prompt budget, encoder batch size and vector width.
 TOP_K = 5
@@ -23,7 +22,7 @@ BATCH_SIZE = 32
 DIMENSIONS = 384
 # Similarities are compared at nine decimals so that equal vectors tie exactly, whatever order a BLAS kernel used.
 SIMILARITY_DIGITS = 9
-# Largest query slice shipped to every task: 4096 vectors of 384 doubles are 12 MB.
+# Queries of a block, or of a set that travels with the tasks: 4096 vectors of 384 doubles are 12 MB.
 MAX_QUERY_SLICE = 4096
 # Scores held at once by a task: 4M doubles are 32 MB.
 SCORE_CELLS = 4_000_000
@@ -47,23 +46,6 @@ def _unit_rows(rows: Sequence[Sequence[float]]) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _query_slices(rows: DataFrame, qid: str, slice_rows: int) -> Iterator[pd.DataFrame]:
-    """A query side that doesn't fit one slice in hash slices of at most twice the size, one at a time."""
-    parts = -(-rows.count() // slice_rows)
-    for part in range(parts):
-        piece = rows.filter(F.pmod(F.xxhash64(qid), F.lit(parts)) == part)
-        yield from _bounded(piece, 2 * slice_rows)
-
-
-def _bounded(piece: DataFrame, limit: int) -> Iterator[pd.DataFrame]:
-    size = piece.count()
-    if size > limit:
-        for half in piece.randomSplit([0.5, 0.5], seed=17):
-            yield from _bounded(half, limit)
-    elif size:
-        yield piece.toPandas()
-
-
 def cosine_top_k(
     corpus: DataFrame,
     queries: DataFrame,
@@ -81,9 +63,9 @@ def cosine_top_k(
 
     The metadata filter runs first. Each corpus batch is scored against the query matrix with one matrix product and
     only the best ``k`` per query of a task leave it, so pairs are never materialised and what is shuffled is
-    (tasks x queries x k) rows, whatever the corpus size. Ties go to the smaller id. Of a query set larger than one slice,
-    the driver holds one slice at a time, whose answers are written to the shared folder before the next is fetched, with
-    one corpus scan each; no query and no corpus row is left out.
+    (tasks x queries x k) rows, whatever the corpus size. Ties go to the smaller id. A query set of one slice travels with the
+    tasks; a larger one is dealt into blocks that meet the corpus in a shuffle, see :func:`_grid_top_k`. Either way it is one
+    lazy plan with one corpus scan, and no query and no corpus row is left out. Query ids are taken to be unique.
     Similarity is ``max(0, cosine)``; rows under ``min_similarity`` are dropped after the top-k, as in the filter order
     of a vector store.
     """
@@ -91,8 +73,13 @@ def cosine_top_k(
     fields = queries.schema[query_id].dataType.simpleString(), corpus.schema[id_col].dataType.simpleString()
     ddl = f"{query_id} {fields[0]}, {id_col} {fields[1]}, similarity double"
 
-    def scored(piece: pd.DataFrame) -> DataFrame:
-        ids, matrix = piece[query_id].to_numpy(), _unit_rows(piece[query_vector])
+    spark = queries.sparkSession
+    asked = queries.select(query_id, query_vector).filter(F.col(query_vector).isNotNull())
+    head = asked.limit(slice_rows + 1).toPandas()
+    if not len(head):
+        return spark.createDataFrame([], ddl + ", rank int")
+    if len(head) <= slice_rows:
+        ids, matrix = head[query_id].to_numpy(), _unit_rows(head[query_vector])
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held = None
@@ -103,26 +90,59 @@ def cosine_top_k(
             if held is not None:
                 yield held.rename(columns={"q": query_id, "i": id_col})
 
-        best = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(id_col))
-        return (
-            rows.mapInPandas(score, ddl)
-            .withColumn("rank", F.row_number().over(best))
-            .filter(F.col("rank") <= k)
-            .withColumn("similarity", F.greatest(F.lit(0.0), F.col("similarity")))
-            .filter(F.col("similarity") >= min_similarity)
-        )
+        found = rows.mapInPandas(score, ddl)
+    else:
+        found = _grid_top_k(rows, asked, id_col, vector_col, query_id, query_vector, k, slice_rows, ddl)
+    best = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(id_col))
+    return (
+        found.withColumn("rank", F.row_number().over(best))
+        .filter(F.col("rank") <= k)
+        .withColumn("similarity", F.greatest(F.lit(0.0), F.col("similarity")))
+        .filter(F.col("similarity") >= min_similarity)
+    )
 
-    spark = queries.sparkSession
-    asked = queries.select(query_id, query_vector).filter(F.col(query_vector).isNotNull())
-    head = asked.limit(slice_rows + 1).toPandas()
-    if not len(head):
-        return spark.createDataFrame([], ddl + ", rank int")
-    if len(head) <= slice_rows:
-        return scored(head)
-    answers = scratch_path(spark, "top-k")
-    for piece in _query_slices(asked, query_id, slice_rows):
-        scored(piece).write.mode("append").parquet(answers)
-    return spark.read.parquet(answers)
+
+def _grid_top_k(
+    rows: DataFrame, asked: DataFrame, id_col: str, vector_col: str, query_id: str, query_vector: str, k: int, slice_rows: int, ddl: str
+) -> DataFrame:
+    """The best ``k`` corpus rows per query and task, for query sets of any size.
+
+    Queries are dealt into blocks of about ``slice_rows``, each of them one row; every corpus row is sent once to every block.
+    A cell of the grid is a query block with the corpus rows of one slot; slots only spread a block's corpus over tasks, and a
+    block goes once to each. Within a task the block of a cell comes first and the corpus streams past it, so a task holds
+    one block, one Arrow batch and ``k`` rows per query.
+    """
+    blocks = -(-asked.count() // slice_rows)
+    slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = F.struct(F.col(query_id).alias("q"), F.col(query_vector).cast("array<double>").alias("v"))
+    dealt = asked.groupBy(F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(one).alias("asked"))
+    dealt = dealt.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+    sent = rows.select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64(id_col), F.lit(slots)).cast("int").alias("slot"),
+        F.col(id_col).alias("i"), F.col(vector_col).cast("array<double>").alias("v"))
+    both = dealt.withColumn("kind", F.lit(0)).unionByName(sent.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+    cells = both.repartition("block", "slot").sortWithinPartitions("block", "slot", "kind")
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, ids, matrix, held = None, None, None, None
+        for batch in batches:
+            for key, part in batch.groupby(["block", "slot"], sort=False):
+                if key != cell:
+                    if held is not None:
+                        yield held.rename(columns={"q": query_id, "i": id_col})
+                    cell, ids, matrix, held = key, None, None, None
+                heads = part[part["kind"] == 0]
+                if len(heads):
+                    listed = heads["asked"].iloc[0]
+                    ids, matrix = pd.Series([x["q"] for x in listed]).to_numpy(), _unit_rows([x["v"] for x in listed])
+                tail = part[part["kind"] == 1]
+                if len(tail) and ids is not None:
+                    best = _best_of_batch(tail["i"].to_numpy(), _unit_rows(tail["v"]), ids, matrix, k)
+                    held = best if held is None else _best_of_both(held, best, k)
+        if held is not None:
+            yield held.rename(columns={"q": query_id, "i": id_col})
+
+    return cells.select("block", "slot", "kind", "asked", "i", "v").mapInPandas(score, ddl)
 
 
 def _best_of_both(one: pd.DataFrame, other: pd.DataFrame, k: int) -> pd.DataFrame:

@@ -337,7 +337,9 @@ oracle(
         / CAST(count(*) AS DOUBLE) / 365.0, 2) AS avg_tenure_years
     FROM versions WHERE is_current GROUP BY 1, 2)""")
 oracle(
-    "scd_current_flag", "versions", "SELECT employee_id, grade, base_salary, event_ts, is_current FROM versions")
+    "scd_current_flag", "versions",
+    """SELECT employee_id, grade, base_salary, event_ts, event_ts AS valid_from,
+    lead(event_ts) OVER (PARTITION BY employee_id ORDER BY event_ts) AS valid_to, is_current FROM versions""")
 relation(
     "staff",
     "SELECT CAST(c_custkey AS VARCHAR) AS employee_id, c_mktsegment AS department, r_name AS location FROM customer "
@@ -444,6 +446,12 @@ oracle(
 oracle(
     "bronze_incremental_since", "landed",
     'SELECT "offset", attendance_id, hours_worked, ingest_date FROM landed WHERE ingest_date >= DATE \'2024-01-16\'')
+oracle(
+    "bronze_offset_gaps", "landed",
+    """SELECT topic, partition, "offset" + 1 AS gap_from, following - 1 AS gap_to, following - "offset" - 1 AS missing FROM (
+    SELECT topic, partition, "offset", lead("offset") OVER (PARTITION BY topic, partition ORDER BY "offset") AS following
+    FROM (SELECT DISTINCT topic, partition, "offset" FROM landed JOIN events ON event_id = "offset" WHERE event_type <> 'error'))
+    WHERE following > "offset" + 1""")
 oracle(
     "bronze_replay", "landed",
     'SELECT partition, "offset", kafka_key, attendance_id, hours_worked, status, ingest_date FROM landed '
@@ -827,6 +835,9 @@ def top_k(k: int, where: str = "true", floor: float = 0.0) -> str:
       FROM embeddings, queries WHERE {where})) WHERE rank <= {k} AND greatest(0.0, raw) >= {floor}"""
 
 
+oracle("vector_topk_blocks", "", f"""WITH queries AS (
+    SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS query_vector FROM embeddings WHERE vec_id % 50 = 0)
+    SELECT * REPLACE (round(similarity, 6) AS similarity) FROM ({top_k(5)})""")
 oracle("vector_topk", "queries", f"SELECT * REPLACE (round(similarity, 6) AS similarity) FROM ({top_k(5)})")
 oracle(
     "vector_topk_filtered", "queries",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peoplelake import bindings as b
 from peoplelake.bindings import AS_OF, Tables
 from peoplelake.functions import text as tx
-from peoplelake.operators import latest, marts as op, quality, reports, retrieval, routing
+from peoplelake.operators import latest, marts as op, quality, reports, retrieval, routing, sequences
 from peoplelake.operators.ranks import exact_quantiles
 from peoplelake.plans import catalog, gold, insights, jobs, silver
 from peoplelake.schemas import stream_schema
@@ -316,6 +316,22 @@ def stream_silver_upsert(t: Tables) -> DataFrame:
     return lk.read_table(t.spark, table, like=clean(feed)).select(*_SILVER_SHOWN, F.array_join("skills", "|").alias("skills"))
 
 
+@query
+def bronze_offset_gaps(t: Tables) -> DataFrame:
+    """Where the attendance log has holes if the error events never came."""
+    landed = log.parse_messages(b.attendance_messages(t("events").filter("event_type <> 'error'")), "attendance", F.col("timestamp"))
+    return sequences.offset_gaps(landed)
+
+
+@query
+def vector_topk_blocks(t: Tables) -> DataFrame:
+    """Every fiftieth vector against all, the queries in blocks that meet the corpus in a grid."""
+    asked = t("embeddings").filter("vec_id % 50 = 0").select(
+        F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("query_vector"))
+    hits = retrieval.cosine_top_k(t("embeddings"), asked, id_col="vec_id", vector_col="embedding", slice_rows=8)
+    return hits.withColumn("similarity", F.round("similarity", 6))
+
+
 @query
 def silver_attendance(t: Tables) -> DataFrame:
     return silver.silver_attendance(b.attendance(t("events")))
@@ -333,8 +349,8 @@ def silver_recruitment(t: Tables) -> DataFrame:
 
 @query
 def scd_current_flag(t: Tables) -> DataFrame:
-    return latest.mark_current(b.hris_versions(t), "employee_id").select(
-        "employee_id", "grade", "base_salary", "event_ts", "is_current")
+    return sequences.version_intervals(b.hris_versions(t), "employee_id").select(
+        "employee_id", "grade", "base_salary", "event_ts", "valid_from", "valid_to", "is_current")
 
 
 @query

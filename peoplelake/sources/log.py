@@ -26,16 +26,21 @@ def kafka_stream(
     *,
     starting_offsets: str = "latest",
     max_per_trigger: int = MAX_OFFSETS_PER_TRIGGER,
+    fail_on_data_loss: bool = True,
     **options: str,
 ) -> DataFrame:
-    """Message frame from a broker. Needs the public ``spark-sql-kafka`` connector on the classpath."""
+    """Message frame from a broker. Needs the public ``spark-sql-kafka`` connector on the classpath.
+
+    Offsets that the broker has dropped end the query; with ``fail_on_data_loss`` off it goes on, and
+    ``sequences.offset_gaps`` tells what is missing.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
         .option("maxOffsetsPerTrigger", max_per_trigger)
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
         .options(**options)
         .load()
     )

@@ -131,3 +131,22 @@ def test_scoring_travels_with_the_task():
 
     done = subprocess.run([sys.executable, "-c", code], input=shipped, capture_output=True, timeout=60, cwd="/")
     assert done.stdout.decode().strip() == "_best_of_batch", done.stderr.decode()[-500:]
+
+
+def test_twenty_thousand_queries_are_one_lazy_plan(spark):
+    rng = np.random.default_rng(8)
+    corpus, asked = np.round(rng.normal(size=(700, 6)), 1), np.round(rng.normal(size=(20_000, 6)), 1)
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], "id bigint, v array<double>").repartition(5)
+    q = spark.createDataFrame([(f"q{i}", v.tolist()) for i, v in enumerate(asked)], "query_id string, query_vector array<double>")
+    unit = [m / np.linalg.norm(m, axis=1, keepdims=True) for m in (asked, corpus)]
+    scores = np.round(unit[0] @ unit[1].T, rt.SIMILARITY_DIGITS)
+    want = np.argsort(-scores, axis=1, kind="stable")[:, :3]
+    for slice_rows in (900, 7000):
+        hits = rt.cosine_top_k(c, q, id_col="id", vector_col="v", k=3, min_similarity=-1.0, slice_rows=slice_rows)
+        plan = hits._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan and "parquet" not in plan.lower()
+        got = {}
+        for r in hits.collect():
+            got.setdefault(r["query_id"], {})[r["rank"]] = r["id"]
+        assert len(got) == 20_000
+        assert all([got[f"q{i}"][rank] for rank in (1, 2, 3)] == row.tolist() for i, row in enumerate(want))
