@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,6 +22,8 @@ class Thresholds:
     invalid_salary_pct: float = 0.10
     invalid_joining_date_pct: float = 0.10
     unknown_department_pct: float = 0.05
+    raw_null_employee_id_pct: float = 0.01
+    raw_duplicate_employee_id_ratio: float = 0.25
     blocking: tuple[str, ...] = ("null_employee_id_pct", "duplicate_employee_id_ratio")
 
 
@@ -57,7 +60,51 @@ def quality_report(silver: DataFrame, thresholds: Thresholds = Thresholds()) ->
     }
     names = [n for n in measures if _NEEDS[n] in silver.columns]
     wide = silver.agg(rows.alias("total_rows"), *[measures[n]().alias(n) for n in names])
-    long = wide.unpivot("total_rows", names, "name", "value")
+    return _judged(wide.unpivot("total_rows", names, "name", "value"), thresholds)
+
+
+class RawCounts:
+    """What a cleaning pass saw and kept, counted while it ran: no scan of its own.
+
+    Wrap the raw rows with :meth:`raw` and the cleaned ones, one per id, with :meth:`cleaned`; after the pass has been written,
+    :meth:`report` has the shares that cleaning removed. A task that runs again after its output was lost counts again.
+    """
+
+    def __init__(self, key: str = "employee_id"):
+        self.key = key
+        self._seen, self._kept = Observation(), Observation()
+
+    def raw(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(
+            self._seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(self.key).isNull()).alias("without_key"))
+
+    def cleaned(self, rows: DataFrame) -> DataFrame:
+        return rows.observe(self._kept, F.count(F.lit(1)).alias("rows"))
+
+    def report(self, spark: SparkSession, thresholds: Thresholds = Thresholds()) -> DataFrame:
+        """Two rows in the shape of :func:`quality_report`; ids that come once each, a missing one included, are no duplicates."""
+        seen, kept = _counted(self._seen), _counted(self._kept).get("rows", 0)
+        rows, without = seen.get("rows", 0), seen.get("without_key", 0)
+        values = {
+            "raw_null_employee_id_pct": without / rows if rows else 0.0,
+            "raw_duplicate_employee_id_ratio": 1 - (kept + (without > 0)) / rows if rows else 0.0,
+        }
+        return _judged(spark.createDataFrame(
+            [(name, value, rows) for name, value in values.items()], "name string, value double, total_rows bigint"), thresholds)
+
+
+def _counted(observation: Observation) -> dict[str, int]:
+    """What was observed; nothing where the optimizer found the input to be empty and dropped the observation with it."""
+    try:
+        return observation.get
+    except Py4JJavaError as error:
+        if "assertion failed" not in str(error):
+            raise
+        return {}
+
+
+def _judged(long: DataFrame, thresholds: Thresholds) -> DataFrame:
+    names = known_checks()
     limit = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(float(getattr(thresholds, n))))])
     return long.select(
         "name",
@@ -82,4 +129,5 @@ def enforce(report: DataFrame) -> None:
 
 
 def known_checks() -> tuple[str, ...]:
+    """All checks; those that begin with ``raw_`` are counted while cleaning runs, see :class:`RawCounts`."""
     return tuple(f.name for f in fields(Thresholds) if f.name != "blocking")

@@ -395,6 +395,13 @@ oracle(
 oracle("silver_employees", "silver", "SELECT * FROM silver")
 oracle("silver_incremental", "silver", "SELECT * FROM silver")
 oracle("stream_silver_upsert", "silver", "SELECT * FROM silver")
+_raw_checks = (
+    ("raw_null_employee_id_pct", "count(*) FILTER (employee_id IS NULL)", 0.01),
+    ("raw_duplicate_employee_id_ratio", "count(*) - count(DISTINCT employee_id) - CAST(bool_or(employee_id IS NULL) AS INT)", 0.25))
+oracle("quality_report_raw", "feed", " UNION ALL ".join(
+    f"SELECT '{name}' AS name, round(({part}) / CAST(count(*) AS DOUBLE), 9) AS value, {limit}::DOUBLE AS threshold, "
+    f"({part}) / CAST(count(*) AS DOUBLE) <= {limit} AS passed, false AS blocking, count(*) AS total_rows FROM feed"
+    for name, part, limit in _raw_checks))
 oracle("silver_write_roundtrip", "silver", "SELECT * EXCLUDE (skills) FROM silver")
 oracle("silver_attendance", "fct_attendance", "SELECT * FROM fct_attendance")
 oracle("silver_performance", "fct_performance", "SELECT * FROM fct_performance")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peoplelake.operators.latest import latest_per_key, mark_current, upsert
-from peoplelake.operators.quality import QualityGateError, Thresholds, enforce, quality_report
+from peoplelake.operators.quality import QualityGateError, RawCounts, Thresholds, enforce, quality_report
 from peoplelake.operators.retrieval import Encoder, embed
 from peoplelake.plans import gold, insights, silver
 from peoplelake.plans.catalog import load_marts
@@ -64,18 +64,21 @@ def clean_employees(
     The cleaned rows are written once, to a version that nobody reads yet; the audit reads the five columns it needs of it,
     and one small commit then makes it the table. A closed gate or a crash leaves the table as it was. ``mode="merge"``
     keeps the published rows of other employees and the newer row of each employee, so an incremental load gives what a
-    full rebuild gives; the audit is then of the merged table.
+    full rebuild gives; the audit is then of the merged table. The report also has the shares of missing and repeated ids
+    among the raw rows, counted as they passed.
     """
     _check_mode(mode)
     spark = raw.sparkSession
     target = lake.silver("dim_employee")
-    cleaned = silver.silver_employees(raw, as_of)
+    counts = RawCounts()
+    cleaned = counts.cleaned(silver.silver_employees(counts.raw(raw), as_of))
     before = published.current(spark, target)
     if mode == "merge":
         cleaned = merged(existing_table(spark, target, cleaned), cleaned, ["employee_id"], "ingest_ts")
     folder = published.write_version(cleaned, target, SILVER_PARTITIONS["dim_employee"])
     report_path = scratch_path(spark, "quality")
-    quality_report(spark.read.parquet(f"{target}/{folder}"), thresholds).coalesce(1).write.parquet(report_path)
+    of_cleaned = quality_report(spark.read.schema(cleaned.schema).parquet(f"{target}/{folder}"), thresholds)
+    of_cleaned.unionByName(counts.report(spark, thresholds)).coalesce(1).write.parquet(report_path)
     report = spark.read.parquet(report_path)
     try:
         if fail_on_quality:
@@ -83,7 +86,7 @@ def clean_employees(
     except QualityGateError:
         discard(spark, f"{target}/{folder}")
         raise
-    published.commit(spark, target, published.Commit(before.number + 1 if before else 0, (folder,)))
+    published.commit(spark, target, published.Commit(before.number + 1 if before else 0, (folder,), cleaned.schema.json()))
     published.expire(spark, target)
     return read_table(spark, target, like=cleaned), report
 

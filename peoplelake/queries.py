@@ -71,7 +71,7 @@ def stream_bronze_ingest(t: Tables) -> DataFrame:
     lake = Lake(scratch_path(t.spark, "ingest"))
     events = log.file_stream(t.spark, f"{t.folder}/events*.parquet", EVENTS_DDL)
     run = start_ingest(b.attendance_messages(events), "attendance", lake, ingest_ts=F.col("timestamp"))
-    batches = watch(run, every=0.2)
+    batches = watch(run)
     landed = t.spark.read.parquet(lake.bronze("attendance"))
     seen = progress_report(t.spark, batches).agg(F.sum("input_rows"))
     per_day = landed.groupBy("ingest_date").agg(
@@ -332,6 +332,13 @@ def vector_topk_blocks(t: Tables) -> DataFrame:
     return hits.withColumn("similarity", F.round("similarity", 6))
 
 
+@query
+def quality_report_raw(t: Tables) -> DataFrame:
+    """The report of the cleaning job, with what it saw of the raw rows."""
+    report = jobs.clean_employees(b.feed(t), Lake(scratch_path(t.spark, "audited")), AS_OF)[1]
+    return report.filter(F.col("name").startswith("raw_")).withColumn("value", F.round("value", 9))
+
+
 @query
 def silver_attendance(t: Tables) -> DataFrame:
     return silver.silver_attendance(b.attendance(t("events")))

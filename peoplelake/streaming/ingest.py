@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.listener import StreamingQueryProgress
 
 from peoplelake.schemas import stream_schema
@@ -41,6 +43,7 @@ def start_ingest(
         .option("checkpointLocation", lake.checkpoint(name))
     )
     trigger = {"availableNow": True} if once else {"processingTime": interval}
+    batch_log(messages.sparkSession)  # before the first batch
     return writer.trigger(**trigger).start()
 
 
@@ -51,23 +54,52 @@ def ingest_topic(
     return start_ingest(kafka_stream(spark, servers, topic, **source), stream, lake, once=once)
 
 
-def watch(query: StreamingQuery, every: float = 1.0) -> dict[int, StreamingQueryProgress]:
-    """Wait for the query to end and keep the progress of every batch by its id.
+class BatchLog(StreamingQueryListener):
+    """Progress of every batch of every query run, as Spark reports it: nothing is asked for, so nothing is missed."""
 
-    The query itself remembers only its last hundred batches, so they are gathered while it runs. A gap in the batch ids
-    would mean that more than these ended between two looks, and fails.
-    """
-    seen: dict[int, StreamingQueryProgress] = {}
-    ended = False
-    while not ended:
-        ended = bool(query.awaitTermination(every))
+    def __init__(self):
+        self._batches: dict[str, dict[int, StreamingQueryProgress]] = defaultdict(dict)
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        seen, p = self._batches[str(event.progress.runId)], event.progress
         # an idle trigger repeats the id of the batch before with no rows
-        for p in query.recentProgress:
-            if p.batchId not in seen or p.numInputRows:
-                seen[p.batchId] = p
-    if seen and len(seen) != max(seen) - min(seen) + 1:
-        raise RuntimeError(f"progress of {max(seen) - min(seen) + 1 - len(seen)} batches was not seen; look more often")
-    return seen
+        if p.batchId not in seen or p.numInputRows:
+            seen[p.batchId] = p
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery, patience: float = 120.0) -> dict[int, StreamingQueryProgress]:
+        """All batches of a query that has ended, by id. Reports come behind the run and in order; its end is the last."""
+        run = str(query.runId)
+        if not self._ended[run].wait(patience):
+            raise RuntimeError(f"the end of run {run} was not reported")
+        return self._batches.pop(run, {})
+
+
+_LOGS: dict[str, BatchLog] = {}
+
+
+def batch_log(spark: SparkSession) -> BatchLog:
+    """The application's log, listening from the first call on."""
+    application = spark.sparkContext.applicationId
+    if application not in _LOGS:
+        _LOGS[application] = BatchLog()
+        spark.streams.addListener(_LOGS[application])
+    return _LOGS[application]
+
+
+def watch(query: StreamingQuery) -> dict[int, StreamingQueryProgress]:
+    """Wait for a query of :func:`start_ingest` to end; the progress of every batch by its id."""
+    query.awaitTermination()
+    return batch_log(SparkSession.active()).of(query)
 
 
 def progress_report(spark: SparkSession, batches: Mapping[int, StreamingQueryProgress]) -> DataFrame:

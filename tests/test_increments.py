@@ -10,7 +10,7 @@ from peoplelake.functions.text import stable_id
 from peoplelake.plans import gold, jobs
 from peoplelake.sources.lake import read_table, write_table
 from peoplelake.sources.log import file_stream, parse_messages
-from peoplelake.streaming.ingest import progress_report, start_ingest, watch
+from peoplelake.streaming.ingest import batch_log, progress_report, start_ingest, watch
 from tests.test_log_and_lake import messages
 
 AS_OF = "2024-06-30"
@@ -117,7 +117,7 @@ def test_progress_covers_more_batches_than_the_query_remembers(spark, lake, tmp_
         stream = file_stream(spark, f"{source}/*.parquet", messages(spark, ["x"]).schema.simpleString()[7:-1].replace(":", " ").replace(",", ", "),
                              max_files_per_trigger=1)
         query = start_ingest(stream, "attendance", lake)
-        batches = watch(query, every=0.05)
+        batches = watch(query)
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     report = progress_report(spark, batches)
@@ -126,6 +126,20 @@ def test_progress_covers_more_batches_than_the_query_remembers(spark, lake, tmp_
     assert report.agg(F.sum("input_rows")).first()[0] == total == spark.read.parquet(lake.bronze("attendance")).count()
 
 
+def test_quick_batches_are_all_reported(spark, tmp_path):
+    """More batches than a query remembers, by far, each of a few milliseconds; two queries at once."""
+    def start(name, n):
+        spark.range(n).repartitionByRange(n, "id").write.parquet(str(tmp_path / name))
+        stream = spark.readStream.schema("id bigint").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+        return stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / f"{name}-log")).trigger(availableNow=True).start()
+
+    batch_log(spark)
+    queries = {n: start(f"q{n}", n) for n in (150, 5)}
+    for n, query in queries.items():
+        batches = watch(query)
+        assert sorted(batches) == list(range(n)) and sum(p.numInputRows for p in batches.values()) == n
+
+
 def test_missing_values_are_json_nulls(spark):
     text = bindings.json_text(("a", F.lit(None).cast("string"), True), ("b", F.lit(1), False))
     assert spark.range(1).select(text).first()[0] == '{"a":null,"b":1}'

@@ -15,7 +15,7 @@ AS_OF = "2024-06-30"
 def test_write_audit_publish(spark, lake):
     good = spark.createDataFrame([feed_row(f"E{i}", i) for i in range(20)], FEED)
     table, report = jobs.clean_employees(good, lake, AS_OF, fail_on_quality=True)
-    assert table.count() == 20 and report.count() == 5
+    assert table.count() == 20 and report.count() == 7
     bad = spark.createDataFrame([feed_row(f"E{i}", i, salary="TBD") for i in range(5)], FEED)
     strict = Thresholds(blocking=("invalid_salary_pct",))
     with pytest.raises(QualityGateError):
@@ -23,6 +23,21 @@ def test_write_audit_publish(spark, lake):
     assert read_table(spark, lake.silver("dim_employee")).count() == 20
 
 
+def test_the_gate_sees_raw_rows(spark, lake):
+    rows = [feed_row(f"E{i}", i) for i in range(10)] + [feed_row("E3", 50 + i) for i in range(4)] + [feed_row(None, 90), feed_row(None, 91)]
+    feed = spark.createDataFrame(rows, FEED)
+    for mode in jobs.MODES:
+        table, report = jobs.clean_employees(feed, lake, AS_OF, mode=mode)
+        got = {r["name"]: r for r in report.collect()}
+        assert table.count() == 10 and got["null_employee_id_pct"]["value"] == got["duplicate_employee_id_ratio"]["value"] == 0.0
+        assert got["raw_null_employee_id_pct"]["value"] == 2 / 16 and not got["raw_null_employee_id_pct"]["passed"]
+        assert got["raw_duplicate_employee_id_ratio"]["value"] == 1 - 11 / 16 and got["raw_null_employee_id_pct"]["total_rows"] == 16
+    with pytest.raises(QualityGateError, match="raw_duplicate_employee_id_ratio=0.3125"):
+        jobs.clean_employees(feed, lake, AS_OF, thresholds=Thresholds(blocking=("raw_duplicate_employee_id_ratio",)), fail_on_quality=True)
+    _, empty = jobs.clean_employees(feed.limit(0), lake, AS_OF)
+    assert {r["value"] for r in empty.collect()} == {0.0}
+
+
 def test_command_line_from_raw_to_insights(spark, lake):
     payloads = ['{"employee_id":"E%d","department":"%s","salary":"%dk","joining_date":"2020-01-%02d","attrition":"%s",'
                 '"performance_rating":%d,"country":"india","experience":%d}'

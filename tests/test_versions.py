@@ -51,10 +51,18 @@ def test_a_reader_that_began_before_ends(spark, lake):
     assert versions.current(spark, lake.gold("none")) is None and versions.read_current(spark, lake.gold("none")) is None
 
 
+def test_tables_without_rows_and_with_a_later_column(spark, lake):
+    path = lake.silver("empty")
+    versions.publish(spark.createDataFrame([], "a int, p string"), path, "p")
+    assert read_table(spark, path).count() == 0 and sorted(read_table(spark, path).columns) == ["a", "p"]
+    versions.publish(spark.createDataFrame([(1, 2, "x")], "a int, b int, p string"), path, "p", mode="append")
+    assert rows(read_table(spark, path).select("a", "b", "p")) == [(1, 2, "x")]
+
+
 def test_two_writers_do_not_undo_each_other(spark, lake):
     path = lake.gold("a/b")
     versions.publish(spark.range(5), path)
-    taken = versions.Commit(1, (versions.write_version(spark.range(6), path),))
+    taken = versions.Commit(1, (versions.write_version(spark.range(6), path),), spark.range(6).schema.json())
     versions.publish(spark.range(7), path)
     with pytest.raises(versions.ConcurrentPublish):
         versions.commit(spark, path, taken)
