@@ -542,6 +542,16 @@ oracle(
         f"{_COLUMNS[m.view].count(',') + 2} AS column_count, "
         f"{lit(m.view + '(' + _COLUMNS[m.view] + ', snapshot_date date)')} AS signature, count(*) AS row_count "
         f"FROM m_{m.view}" for m in MARTS))
+oracle(
+    "mart_catalog_discovered", "emp m_attrition_by_country m_workforce_by_department",
+    " UNION ALL ".join(
+        f"SELECT '{m.view}' AS view_name, '{m.domain}' AS domain, '{m.metric}' AS metric, "
+        f"{_COLUMNS[m.view].count(',') + 2} AS column_count, "
+        f"{lit(m.view + '(' + _COLUMNS[m.view] + ', snapshot_date date)')} AS signature, count(*) AS row_count "
+        f"FROM m_{m.view}" for m in MARTS if m.name in ("attrition/by_country", "workforce/by_department"))
+    + " UNION ALL SELECT 'custom_people_by_place', 'custom', 'people_by_place', 3, "
+    "'custom_people_by_place(department string, people bigint, country string)', count(*) FROM "
+    "(SELECT DISTINCT country, department FROM emp)")
 oracle(
     "gold_build_all", _ALL_MARTS,
     " UNION ALL ".join(

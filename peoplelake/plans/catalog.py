@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from peoplelake.functions.text import squash_whitespace_ends
 from peoplelake.plans.gold import MARTS, Mart, load_mart
 from peoplelake.plans.governance import inspected, is_query, objections, restrict_functions, sources
-from peoplelake.sources.lake import Lake
+from peoplelake.sources import versions
+from peoplelake.sources.lake import Lake, read_table
 
 # Access limits and the words a read-only query may not contain.
 DEFAULT_LIMIT = 500
@@ -61,6 +62,25 @@ def mart_catalog(marts: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def discovered_marts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """Every mart that lies in the lake as ``<domain>/<metric>``, registered or not, by name."""
+    root = lake.gold()
+    names = [f"{domain}/{metric}" for domain in versions.subfolders(spark, root) if domain != "versions"
+             for metric in versions.subfolders(spark, f"{root}/{domain}") if metric != "versions"]
+    return {name: read_table(spark, lake.gold(name)) for name in names if versions.data_files(spark, lake.gold(name))}
+
+
+def discovered_catalog(spark: SparkSession, lake: Lake) -> DataFrame:
+    """:func:`mart_catalog` of :func:`discovered_marts`; rows are counted in the files' footers, so no data is scanned."""
+    rows = []
+    for name, df in discovered_marts(spark, lake).items():
+        domain, metric = name.split("/", 1)
+        count = versions.row_count(spark, versions.data_files(spark, lake.gold(name)))
+        rows.append((view_name(name), domain, metric, len(df.columns), signature(name, df), count))
+    return spark.createDataFrame(
+        rows, "view_name string, domain string, metric string, column_count int, signature string, row_count bigint")
+
+
 def catalog_document(marts: Mapping[str, DataFrame]) -> str:
     """Signatures grouped by domain, as a text block for prompts and docs."""
     lines = ["Available read-only views over the Gold marts:", ""]

@@ -201,6 +201,17 @@ def gold_append_twice(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def mart_catalog_discovered(t: Tables) -> DataFrame:
+    """The catalogue by folders: two registered marts and one that a user has added."""
+    lake = Lake(scratch_path(t.spark, "gold"))
+    employees = b.employees(t)
+    gold.build_all(employees, lake, AS_OF, names=["attrition/by_country", "workforce/by_department"]).collect()
+    own = employees.groupBy("country", "department").agg(F.count(F.lit(1)).alias("people"))
+    versions.publish(own, lake.gold("custom/people_by_place"), "country")
+    return catalog.discovered_catalog(t.spark, lake)
+
+
 @query
 def mart_catalog(t: Tables) -> DataFrame:
     return catalog.mart_catalog(gold_marts(t))

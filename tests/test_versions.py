@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from peoplelake.plans import jobs
+from peoplelake.plans import catalog, jobs
 from peoplelake.sources import versions
-from peoplelake.sources.lake import read_table
+from peoplelake.sources.lake import Lake, read_table
 from peoplelake.streaming.upsert import batch_writer, start_upsert
 from tests.test_cleaning import FEED, feed_row
 
@@ -126,3 +126,16 @@ def test_a_batch_lost_between_write_and_commit_is_repeated(spark, lake, tmp_path
     run()
     assert rows(read_table(spark, lake.silver("people")).select("id", "team", "at")) == NEWEST
     assert versions.current(spark, lake.silver("people")).batches == {"silver_people": 2}
+
+
+def test_catalogue_by_folders_counts_in_footers(spark, lake):
+    versions.publish(spark.range(12).repartition(3), lake.gold("own/one"))
+    versions.publish(spark.range(5), lake.gold("own/two"))
+    versions.publish(spark.range(2), lake.gold("own/two"), mode="append")
+    spark.range(4).withColumn("p", F.col("id") % 2).write.partitionBy("p").parquet(lake.gold("plain/three"))
+    versions.publish(spark.range(1), lake.gold("gold_single"))
+    got = {r["view_name"]: r for r in catalog.discovered_catalog(spark, lake).collect()}
+    assert {n: (r["domain"], r["metric"], r["row_count"]) for n, r in got.items()} == {
+        "own_one": ("own", "one", 12), "own_two": ("own", "two", 7), "plain_three": ("plain", "three", 4)}
+    assert got["plain_three"]["signature"] == "plain_three(id bigint, p int)"
+    assert catalog.discovered_catalog(spark, Lake(f"{lake.root}/none")).count() == 0
