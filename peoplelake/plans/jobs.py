@@ -99,6 +99,8 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be one of {MODES}; appending would repeat keys")
 
 
+# The stream of HRIS employee versions.
+HRIS = "employees"
 _FACTS = {
     "attendance": ("fct_attendance", silver.silver_attendance, ["attendance_id"]),
     "performance": ("fct_performance", silver.silver_performance, ["review_id"]),
@@ -190,6 +192,7 @@ def _parser() -> argparse.ArgumentParser:
     marts.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     marts.add_argument("--coalesce", type=int, default=1)
     marts.add_argument("--fail-on-validation", action="store_true")
+    marts.add_argument("--detail", action="store_true", help="the four detail marts, from the raw HRIS versions and the fact tables")
     chunks = jobs.add_parser("insights", help="marts to the embedded chunk collection")
     chunks.add_argument("--reset", action="store_true")
     return parser
@@ -235,6 +238,8 @@ def _run_silver(spark: SparkSession, lake: Lake, args) -> int:
 
 
 def _run_gold(spark: SparkSession, lake: Lake, args) -> int:
+    if args.detail:
+        return _run_detail(spark, lake, args)
     try:
         gold.select_marts(args.marts)
     except ValueError as error:
@@ -258,6 +263,20 @@ def _run_gold(spark: SparkSession, lake: Lake, args) -> int:
     return EXIT_VALIDATION if args.fail_on_validation and status["doubtful"] else EXIT_OK
 
 
+def _run_detail(spark: SparkSession, lake: Lake, args) -> int:
+    try:
+        staff = read_since(spark, lake.bronze(HRIS), None)
+    except Exception:
+        LOG.exception("raw table %s cannot be read", HRIS)
+        return EXIT_READ
+    try:
+        build_detail_marts(spark, lake, staff, args.as_of)
+    except Exception:
+        LOG.exception("detail marts failed")
+        return EXIT_MART_FAILED
+    return EXIT_OK
+
+
 def _run_insights(spark: SparkSession, lake: Lake, args) -> int:
     LOG.info("chunk collection holds %s rows", refresh_chunks(spark, lake, reset=args.reset).count())
     return EXIT_OK

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from peoplelake.operators.quality import QualityGateError, Thresholds
 from peoplelake.plans import jobs
@@ -81,3 +82,8 @@ def test_fact_jobs_and_detail_marts(spark, lake):
     assert read_table(spark, lake.gold("gold_attendance_compliance")).first()["present_days"] == 1
     assert read_table(spark, lake.gold("gold_performance")).first()["total_bonus"] == 10.0
     assert read_table(spark, lake.gold("gold_recruitment_funnel")).first()["offer"] == 1
+    # the same from the command line, once the versions have landed
+    assert jobs.main(["--lake", lake.root, "--as-of", AS_OF, "gold", "--detail"], spark) == jobs.EXIT_READ
+    write_table(versions.withColumn("ingest_date", F.lit(dt.date(2024, 6, 1))), lake.bronze(jobs.HRIS), "ingest_date")
+    assert jobs.main(["--lake", lake.root, "--as-of", AS_OF, "gold", "--detail"], spark) == jobs.EXIT_OK
+    assert read_table(spark, lake.gold("gold_headcount")).first()["avg_salary"] == 120.0
