@@ -64,8 +64,12 @@ def clean_attrition(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_country(df: DataFrame) -> DataFrame:
-    return df.withColumn("country", fx.title_case(F.col("country")))
+def clean_country(df: DataFrame, preserve_acronyms: bool = False) -> DataFrame:
+    """Country in title case. With ``preserve_acronyms``, names of two or three capitals (USA, UK) stay as they are."""
+    titled, as_is = fx.title_case(F.col("country")), F.trim("country")
+    if preserve_acronyms:
+        titled = F.when(as_is.rlike(r"^\p{Lu}{2,3}$"), as_is).otherwise(titled)
+    return df.withColumn("country", titled)
 
 
 def clean_skills(df: DataFrame) -> DataFrame:
@@ -90,7 +94,9 @@ def keep_employee_columns(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in EMPLOYEE_COLUMNS if c in df.columns])
 
 
-def silver_employees(raw: DataFrame, as_of: dt.date | str | None = None) -> DataFrame:
+def silver_employees(
+    raw: DataFrame, as_of: dt.date | str | None = None, *, preserve_acronyms: bool = False
+) -> DataFrame:
     """Cleaned employee snapshot.
 
     Deduplication runs first, on the untouched rows: cleaning is per-row and leaves key and order columns alone, so
@@ -103,7 +109,7 @@ def silver_employees(raw: DataFrame, as_of: dt.date | str | None = None) -> Data
         .transform(clean_salary)
         .transform(clean_joining_date, as_of)
         .transform(clean_attrition)
-        .transform(clean_country)
+        .transform(clean_country, preserve_acronyms)
         .transform(clean_skills)
         .transform(clean_ranges)
     )

@@ -153,3 +153,13 @@ def test_recruitment_stages(spark):
          ("c", "rejected", ts)], "application_id string, stage string, event_ts timestamp")
     rows = sorted((r["application_id"], r["stage"], r["stage_rank"]) for r in silver.silver_recruitment(df).collect())
     assert rows == [("a", "applied", 1), ("a", "hired", 5), ("c", "rejected", 6)]
+
+
+def test_countries_keep_acronyms_on_request(spark):
+    df = spark.createDataFrame([("USA",), (" UK ",), ("india",), ("INDIA",), ("Us",), ("",), (None,)], "country string")
+    plain, kept = ([r["country"] for r in silver.clean_country(df, flag).collect()] for flag in (False, True))
+    assert plain == ["Usa", "Uk", "India", "India", "Us", "", None]
+    assert kept == ["USA", "UK", "India", "India", "Us", "", None]
+    staff = spark.createDataFrame([feed_row("E1", 1)], FEED).withColumn("country", F.lit("UAE"))
+    assert silver.silver_employees(staff, AS_OF, preserve_acronyms=True).first()["country"] == "UAE"
+    assert silver.silver_employees(staff, AS_OF).first()["country"] == "Uae"
