@@ -194,16 +194,20 @@ def pack_context(
 
 
 def hashing_vectors(df: DataFrame, text_col: str, output: str = "embedding", dimensions: int = DIMENSIONS) -> DataFrame:
-    """Model-free unit vectors: hashed term counts scaled to length one, computed in the JVM."""
-    from pyspark.ml.feature import HashingTF, Normalizer
+    """Model-free unit vectors: hashed term counts scaled to length one, computed in the JVM.
+
+    A term counts at the place that the first 32 bits of its MD5 digest give, modulo ``dimensions``, which any SQL engine can
+    state. Terms are runs of letters and digits in lower case; a text without any, or null, is the zero vector.
+    """
+    from pyspark.ml.feature import CountVectorizerModel, Normalizer
     from pyspark.ml.functions import vector_to_array
 
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    counted = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimensions).transform(
-        df.withColumn("_words", words)
-    )
+    place = lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dimensions).cast("string")
+    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(dimensions)], inputCol="_places", outputCol="_counts")
+    counted = counter.transform(df.withColumn("_places", F.transform(words, place)))
     unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counted)
-    return unit.withColumn(output, vector_to_array("_unit", "float32")).drop("_words", "_counts", "_unit")
+    return unit.withColumn(output, vector_to_array("_unit", "float32")).drop("_places", "_counts", "_unit")
 
 
 def embed(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from peoplelake import bindings as b
 from peoplelake.bindings import AS_OF
 from peoplelake.functions.cleaning import DEPARTMENT_PATTERNS
+from peoplelake.operators.retrieval import DIMENSIONS
 from peoplelake.operators.routing import INTENT_RULES, INTENTS, TOPIC_WORDS
 from peoplelake.plans.catalog import BLOCKED_WORDS, MAX_SQL_CHARS
 from peoplelake.plans.gold import MARTS
@@ -336,10 +337,10 @@ oracle(
       round(sum(date_diff('day', hire_date, CASE WHEN is_active THEN DATE '{AS_OF}' ELSE hire_date + 100 END))
         / CAST(count(*) AS DOUBLE) / 365.0, 2) AS avg_tenure_years
     FROM versions WHERE is_current GROUP BY 1, 2)""")
-oracle(
-    "scd_current_flag", "versions",
-    """SELECT employee_id, grade, base_salary, event_ts, event_ts AS valid_from,
-    lead(event_ts) OVER (PARTITION BY employee_id ORDER BY event_ts) AS valid_to, is_current FROM versions""")
+_HISTORY = """SELECT employee_id, grade, base_salary, event_ts, event_ts AS valid_from,
+    lead(event_ts) OVER (PARTITION BY employee_id ORDER BY event_ts) AS valid_to, is_current FROM versions"""
+oracle("scd_current_flag", "versions", _HISTORY)
+oracle("silver_hris_history", "versions", _HISTORY)
 relation(
     "staff",
     "SELECT CAST(c_custkey AS VARCHAR) AS employee_id, c_mktsegment AS department, r_name AS location FROM customer "
@@ -875,6 +876,33 @@ oracle(
     "chunk_delete_where", "",
     "SELECT doc_id, source, lang, n_chars FROM documents WHERE (lang = 'en' AND source = 'src1') IS NOT TRUE")
 
+# -- hashed terms ---------------------------------------------------------------------------------------------------------
+def hashed(ident: str, text: str, source: str) -> str:
+    """(id, vector): counts of terms at their hashed places, scaled to length one, as single precision like the engine's."""
+    return f"""SELECT id, list(coalesce(n, 0) / CAST(greatest(length, 1e-300) AS DOUBLE) ORDER BY place) AS raw FROM (
+    SELECT id, place, n, sqrt(sum(coalesce(n * n, 0)) OVER (PARTITION BY id)) AS length FROM (
+      SELECT id, place FROM (SELECT {ident} AS id FROM {source}), (SELECT unnest(range({DIMENSIONS})) AS place))
+    LEFT JOIN (SELECT id, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % {DIMENSIONS} AS place, count(*) AS n FROM (
+      SELECT {ident} AS id, unnest(regexp_split_to_array(lower(coalesce({text}, '')), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM {source})
+      WHERE word <> '' GROUP BY 1, 2) USING (id, place)) GROUP BY 1"""
+
+
+def hashed_top_k(corpus: str, asked: str, k: int = 5) -> str:
+    """(query_id, id, similarity, rank) over two relations of :func:`hashed`."""
+    return f"""SELECT query_id, id, greatest(0.0::DOUBLE, raw) AS similarity, CAST(rank AS INT) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY raw DESC, id) AS rank FROM (
+      SELECT q.id AS query_id, c.id AS id, round(coalesce(CASE WHEN isfinite(s) THEN s END, 0), 9) AS raw FROM (
+        SELECT q, c, list_cosine_similarity(q.raw::FLOAT[]::DOUBLE[], c.raw::FLOAT[]::DOUBLE[]) AS s
+        FROM ({asked}) q, ({corpus}) c))) WHERE rank <= {k}"""
+
+
+_DOCUMENT_VECTORS = hashed("doc_id", "text", "documents")
+oracle("embed_text", "", f"""SELECT doc_id, CAST({DIMENSIONS} AS INT) AS dimensions, CAST(place - 1 AS INT) AS place,
+    round(CAST(CAST(value AS FLOAT) AS DOUBLE), 6) AS value FROM (
+    SELECT id AS doc_id, unnest(raw) AS value, generate_subscripts(raw, 1) AS place FROM ({_DOCUMENT_VECTORS})) WHERE value <> 0""")
+oracle("document_search", "", f"""SELECT query_id, id AS doc_id, similarity, rank FROM (
+    {hashed_top_k(_DOCUMENT_VECTORS, hashed('item_id', 'text', 'benchmark'))})""")
+
 # -- insights -------------------------------------------------------------------------------------------------------------
 _NONE = "coalesce({}, 'None')"
 
@@ -1077,6 +1105,50 @@ oracle(
     "insight_chunks", _ALL_MARTS + " years pulse gap",
     "SELECT domain, metric, count(*) AS chunks, count(kind) AS summaries, count(DISTINCT chunk_id) AS ids FROM ("
     + " UNION ALL ".join(_ROWS + _SUMMARIES + _OVERVIEW) + ") GROUP BY 1, 2")
+_EXTRAS = {  # chunk rows and the fields that their metadata has, by mart
+    "attrition_by_department": "department attrition_rate headcount", "attrition_by_country": "country attrition_rate headcount",
+    "attrition_trend_by_cohort": "hire_year attrition_rate", "attrition_by_tenure_bucket": "tenure_bucket attrition_rate",
+    "salary_by_department": "department avg_salary total_payroll", "salary_top_paying_depts": "rank department avg_salary",
+    "workforce_by_country": "country headcount", "workforce_by_department": "department headcount",
+    "workforce_experience_distribution": "experience_bucket headcount", "workforce_hiring_trends": "hire_year hires",
+    "performance_by_department": "department avg_rating rated_employees", "performance_top_teams": "rank department avg_rating",
+    "performance_vs_salary": "performance_rating avg_salary"}
+
+
+def entries(chunk: str, fields: str, source: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {chunk} AS chunk_id, '{f}' AS field, CAST({f} AS VARCHAR) AS entry FROM {source}" for f in fields.split())
+
+
+def _row_entries(sql: str) -> str:
+    """Entries of a row chunk: its id expression is what precedes `` AS chunk_id``, its mart what follows the last FROM."""
+    source = sql.rsplit(" FROM ", 1)[1]
+    domain, metric = sql.split(" AS domain")[0].rsplit("'", 2)[1], sql.split(" AS metric")[0].rsplit("'", 2)[1]
+    return entries(sql.split(" AS chunk_id")[0].removeprefix("SELECT "), _EXTRAS[f"{domain}_{metric}"], source)
+
+
+oracle("insight_metadata", _ALL_MARTS + " years", f"""SELECT chunk_id, field,
+    CASE WHEN try_cast(entry AS DOUBLE) IS NULL THEN entry END AS entry, round(try_cast(entry AS DOUBLE), 6) AS number FROM (
+    {' UNION ALL '.join(map(_row_entries, _ROWS))} UNION ALL
+    {entries("'salary.distribution.summary'", 'avg_salary', 'm_salary_distribution')} UNION ALL
+    {entries("'overview.company_snapshot'", 'total_headcount attrition_rate',
+             f"(SELECT sum(headcount) AS total_headcount, sum(attrited) / CAST(sum(headcount) AS DOUBLE) AS attrition_rate FROM {_WD})")})""")
+
+
+def searched(scope: str, where: str) -> str:
+    hits = hashed_top_k(hashed("chunk_id", "text", f"(SELECT * FROM chunks WHERE {where})"), "SELECT * FROM asked")
+    return f"""SELECT '{scope}' AS scope, query_id AS question_id, rank, chunk_id, similarity, line,
+    CAST(sum(length(line)) OVER (PARTITION BY query_id ORDER BY rank) AS BIGINT) AS used_chars FROM (
+    SELECT query_id, rank, id AS chunk_id, similarity,
+      '- [' || id || ' | sim=' || {f2('similarity')} || '] ' || text AS line
+    FROM ({hits}) JOIN chunks ON chunk_id = id)"""
+
+
+_QUESTIONS = hashed("conv_id || '.' || turn", "text", "conversations")
+oracle("insight_search", _ALL_MARTS + " years pulse gap", f"""SELECT * FROM (
+    WITH chunks AS MATERIALIZED ({' UNION ALL '.join(_ROWS + _SUMMARIES + _OVERVIEW)}), asked AS MATERIALIZED ({_QUESTIONS})
+    {searched('attrition', "domain = 'attrition'")} UNION ALL
+    {searched('pay_summary', "domain = 'salary' AND kind = 'summary'")}) WHERE used_chars <= 600""")
 oracle(
     "lake_health", _ALL_MARTS + " years",
     " UNION ALL ".join(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from peoplelake.functions.text import quoted, render, render_sql, stable_id_sql
-from peoplelake.operators import reports
+from peoplelake.operators import reports, retrieval
 from peoplelake.plans.gold import EXPERIENCE_BUCKETS
 
 LOG = logging.getLogger(__name__)
@@ -400,3 +400,32 @@ def insight_chunks(marts: Marts) -> DataFrame:
     if not frames:
         raise ValueError("no marts to narrate")
     return union_chunks(frames)
+
+
+def search_insights(
+    collection: DataFrame,
+    questions: DataFrame,
+    *,
+    question_id: str,
+    text: str,
+    encoder: retrieval.Encoder | None = None,
+    where: Mapping[str, object] | None = None,
+    k: int = retrieval.TOP_K,
+    min_similarity: float = retrieval.MIN_SIMILARITY,
+    max_chars: int = retrieval.CONTEXT_CHARS,
+) -> DataFrame:
+    """The packed context of every question: ``question_id, rank, chunk_id, similarity, line, used_chars``.
+
+    The collection is filtered before anything is scored; on its partition fields (``domain``, ``kind``) that prunes files.
+    Questions are embedded by the collection's encoder, scored exactly, and the lines of the best chunks packed in rank
+    order within the character budget. A question without any term is as far from every chunk as can be: its lines are those
+    of the smallest ids at similarity 0, unless ``min_similarity`` is above that. Null question ids are left out.
+    """
+    asked = retrieval.embed(questions.select(F.col(question_id).alias("query_id"), F.col(text).alias("_asked")), "_asked",
+                            encoder, output="query_vector").filter(F.col("query_id").isNotNull())
+    hits = retrieval.cosine_top_k(
+        collection, asked.select("query_id", "query_vector"), id_col="chunk_id", vector_col="embedding", k=k, where=where,
+        min_similarity=min_similarity)
+    texts = retrieval.where_equal(collection, where).select("chunk_id", "text")
+    packed = retrieval.pack_context(hits.join(texts, "chunk_id"), max_chars=max_chars)
+    return packed.select(F.col("query_id").alias(question_id), "rank", "chunk_id", "similarity", "line", "used_chars")

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from peoplelake.operators.latest import latest_per_key, mark_current, upsert
 from peoplelake.operators.quality import QualityGateError, RawCounts, Thresholds, enforce, quality_report
 from peoplelake.operators.retrieval import Encoder, embed
+from peoplelake.operators.sequences import version_intervals
 from peoplelake.plans import gold, insights, silver
 from peoplelake.plans.catalog import load_marts
 from peoplelake.schemas import STREAMS
 from peoplelake.session import build_session, discard, scratch_path
 from peoplelake.sources import versions as published
-from peoplelake.sources.lake import SILVER_PARTITIONS, Lake, read_table, write_table
+from peoplelake.sources.lake import CHUNK_PARTITIONS, SILVER_PARTITIONS, Lake, read_table, write_table
 from peoplelake.sources.log import read_since
 from peoplelake.streaming.ingest import ingest_topic, watch
 
@@ -99,8 +100,8 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be one of {MODES}; appending would repeat keys")
 
 
-# The stream of HRIS employee versions.
-HRIS = "employees"
+# The stream of HRIS employee versions, and the table of their validity.
+HRIS, HISTORY = "employees", "dim_employee_history"
 _FACTS = {
     "attendance": ("fct_attendance", silver.silver_attendance, ["attendance_id"]),
     "performance": ("fct_performance", silver.silver_performance, ["review_id"]),
@@ -120,10 +121,29 @@ def clean_fact(raw: DataFrame, lake: Lake, stream: str, mode: str = "overwrite")
     return read_table(spark, target, like=cleaned)
 
 
+def clean_versions(raw: DataFrame, lake: Lake, mode: str = "overwrite") -> DataFrame:
+    """Write the HRIS history: every version of every employee, with the time it was valid and whether it is the current one.
+
+    Only the stream's own fields are kept, so a message that landed twice is one version. ``merge`` adds the new versions to the
+    published ones and draws all intervals again, as a late version also ends the one before it; loading a feed in parts, in any
+    order and with overlaps, gives what loading it at once gives. Rows without an employee id are no versions and are dropped.
+    """
+    _check_mode(mode)
+    spark, target = raw.sparkSession, lake.silver(HISTORY)
+    fields = [c for c in STREAMS[HRIS].struct.names if c in raw.columns]
+    versions = raw.select(*fields).filter(F.col("employee_id").isNotNull())
+    if mode == "merge":
+        existing = existing_table(spark, target, versions)
+        versions = versions if existing is None else existing.unionByName(versions)
+    history = version_intervals(versions.distinct(), "employee_id")
+    published.publish(history, target, SILVER_PARTITIONS[HISTORY])
+    return read_table(spark, target, like=history)
+
+
 def current_staff(versions: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Current HRIS rows with their tenure, the dimension of the detail marts."""
-    current = mark_current(versions, "employee_id").filter("is_current")
-    return silver.tenure_days(current, as_of)
+    """Current HRIS rows with their tenure, the dimension of the detail marts; a history says itself which rows are current."""
+    marked = versions if "is_current" in versions.columns else mark_current(versions, "employee_id")
+    return silver.tenure_days(marked.filter("is_current"), as_of)
 
 
 def build_detail_marts(spark: SparkSession, lake: Lake, versions: DataFrame, as_of: AsOf = None) -> list[str]:
@@ -150,17 +170,17 @@ def refresh_chunks(
 ) -> DataFrame:
     """Narrate the written marts, embed the texts and upsert them into the chunk collection by chunk id.
 
-    The new state is a version of its own, published when it is whole.
+    The new state is a version of its own, published when it is whole, partitioned by the fields that searches filter on.
     """
     fresh = embed(insights.insight_chunks(load_marts(spark, lake)), "text", encoder)
-    target = f"{lake.root}/vectors/insights"
+    target = lake.insights()
     if not reset:
         try:
             fresh = upsert(read_table(spark, target), fresh, "chunk_id")
         except Exception as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-    published.publish(fresh, target)
+    published.publish(fresh, target, CHUNK_PARTITIONS)
     return read_table(spark, target)
 
 
@@ -183,7 +203,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--max-rows", type=int, default=None)
     ingest.add_argument("--starting-offsets", default=None)
     clean = jobs.add_parser("silver", help="raw tables to cleaned tables")
-    clean.add_argument("--stream", default="employee_csv", choices=["employee_csv", *_FACTS])
+    clean.add_argument("--stream", default="employee_csv", choices=["employee_csv", HRIS, *_FACTS])
     clean.add_argument("--since", default=None)
     clean.add_argument("--mode", choices=MODES, default=None, help="default: merge with --since, else overwrite")
     clean.add_argument("--fail-on-dq", action="store_true")
@@ -192,7 +212,7 @@ def _parser() -> argparse.ArgumentParser:
     marts.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
     marts.add_argument("--coalesce", type=int, default=1)
     marts.add_argument("--fail-on-validation", action="store_true")
-    marts.add_argument("--detail", action="store_true", help="the four detail marts, from the raw HRIS versions and the fact tables")
+    marts.add_argument("--detail", action="store_true", help="the four detail marts, from the HRIS history (else its raw rows) and the fact tables")
     chunks = jobs.add_parser("insights", help="marts to the embedded chunk collection")
     chunks.add_argument("--reset", action="store_true")
     return parser
@@ -224,7 +244,9 @@ def _run_silver(spark: SparkSession, lake: Lake, args) -> int:
         return EXIT_OK
     mode = args.mode or ("merge" if args.since else "overwrite")
     try:
-        if args.stream in _FACTS:
+        if args.stream == HRIS:
+            clean_versions(raw, lake, mode)
+        elif args.stream in _FACTS:
             clean_fact(raw, lake, args.stream, mode)
         else:
             clean_employees(raw, lake, args.as_of, mode=mode, fail_on_quality=args.fail_on_dq)
@@ -265,7 +287,8 @@ def _run_gold(spark: SparkSession, lake: Lake, args) -> int:
 
 def _run_detail(spark: SparkSession, lake: Lake, args) -> int:
     try:
-        staff = read_since(spark, lake.bronze(HRIS), None)
+        staff = published.read_current(spark, lake.silver(HISTORY))
+        staff = read_since(spark, lake.bronze(HRIS), None) if staff is None else staff
     except Exception:
         LOG.exception("raw table %s cannot be read", HRIS)
         return EXIT_READ

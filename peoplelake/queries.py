@@ -371,6 +371,14 @@ def scd_current_flag(t: Tables) -> DataFrame:
         "employee_id", "grade", "base_salary", "event_ts", "valid_from", "valid_to", "is_current")
 
 
+@query
+def silver_hris_history(t: Tables) -> DataFrame:
+    lake, feed = Lake(scratch_path(t.spark, "hris")), b.hris_versions(t)
+    jobs.clean_versions(feed.filter("event_ts >= '1995-01-01'"), lake)
+    history = jobs.clean_versions(feed.filter("event_ts < '1996-01-01'"), lake, mode="merge")
+    return history.select("employee_id", "grade", "base_salary", "event_ts", "valid_from", "valid_to", "is_current")
+
+
 @query
 def dim_filter(t: Tables) -> DataFrame:
     picked = reports.filter_dimension(b.employees(t), "department", ["BUILDING", "MACHINERY"])
@@ -586,6 +594,25 @@ def insight_chunks(t: Tables) -> DataFrame:
         F.count_distinct("chunk_id").alias("ids"))
 
 
+@query
+def insight_metadata(t: Tables) -> DataFrame:
+    entries = insights.insight_chunks(gold_marts(t)).select("chunk_id", F.explode("metadata").alias("field", "entry"))
+    number = F.expr("try_cast(entry AS double)")
+    return entries.select("chunk_id", "field", F.when(number.isNull(), F.col("entry")).alias("entry"), F.round(number, 6).alias("number"))
+
+
+@query
+def insight_search(t: Tables) -> DataFrame:
+    lake, _ = built_gold(t)
+    collection = jobs.refresh_chunks(t.spark, lake, reset=True)
+    asked = t("conversations").select(F.concat_ws(".", "conv_id", "turn").alias("question_id"), "text")
+    found = [
+        insights.search_insights(collection, asked, question_id="question_id", text="text", where=where, max_chars=600).select(
+            F.lit(name).alias("scope"), "*")
+        for name, where in (("attrition", {"domain": "attrition"}), ("pay_summary", {"domain": "salary", "kind": "summary"}))]
+    return found[0].unionByName(found[1])
+
+
 # -- retrieval ------------------------------------------------------------------------------------------------------------
 def _hits(t: Tables, **options) -> DataFrame:
     return retrieval.cosine_top_k(
@@ -613,7 +640,8 @@ def pack_context(t: Tables) -> DataFrame:
 @query
 def embed_text(t: Tables) -> DataFrame:
     vectors = retrieval.embed(t("documents"), "text")
-    return vectors.select("doc_id", F.size("embedding").alias("dimensions"), "embedding")
+    places = vectors.select("doc_id", F.size("embedding").alias("dimensions"), F.posexplode("embedding").alias("place", "value"))
+    return places.filter("value <> 0").select("doc_id", "dimensions", "place", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,9 @@ class Lake:
     def gold(self, mart: str = "") -> str:
         return f"{self.root}/gold/{mart}".rstrip("/")
 
+    def insights(self) -> str:
+        return f"{self.root}/vectors/insights"
+
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
@@ -30,14 +34,18 @@ class Lake:
 # Partition column of each cleaned table.
 SILVER_PARTITIONS = {
     "dim_employee": "department",
+    "dim_employee_history": "department",
     "fct_attendance": "work_date",
     "fct_performance": "cycle",
     "fct_recruitment": "department",
 }
 
+# Partition columns of the chunk collection.
+CHUNK_PARTITIONS = ("domain", "kind")
+
 
 def write_table(
-    df: DataFrame, path: str, partition_by: str | None = None, *, mode: str = "overwrite", dynamic: bool = False
+    df: DataFrame, path: str, partition_by: str | Sequence[str] | None = None, *, mode: str = "overwrite", dynamic: bool = False
 ) -> None:
     """Parquet sink, optionally Hive-partitioned.
 
@@ -47,7 +55,8 @@ def write_table(
     if partition_by is None:
         df.write.mode(mode).parquet(path)
         return
-    writer = df.hint("rebalance", F.col(partition_by)).write.mode(mode).partitionBy(partition_by)
+    names = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    writer = df.hint("rebalance", *[F.col(n) for n in names]).write.mode(mode).partitionBy(*names)
     writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from peoplelake.functions import text as tx
-from peoplelake.operators import reports
+from peoplelake.operators import reports, retrieval
 from peoplelake.plans import catalog, gold, insights, jobs
 
 AS_OF = "2024-06-30"
@@ -160,3 +160,33 @@ def test_profiles_agree(spark, marts):
     raw = spark.createDataFrame([("a", "x", None), ("a", "x", 1), ("b", None, 2), (None, "y", 3)], "k string, g string, v int")
     got = {r["measure"]: r["value"] for r in reports.profile_dataset(raw, "k", "g").collect()}
     assert got == {"rows": 4, "unique_k": 2, "duplicate_rows": 1, "nulls_k": 1, "nulls_g": 1, "nulls_v": 1, "distinct_g": 2}
+
+
+def test_search_reads_only_the_wanted_partitions_and_packs(spark, built):
+    collection = jobs.refresh_chunks(spark, built, reset=True)
+    asked = spark.createDataFrame(
+        [("a", "Which department has the highest attrition rate?"), ("b", "attrition in India"), ("c", None), (None, "x")],
+        "qid string, question string")
+    found = insights.search_insights(
+        collection, asked, question_id="qid", text="question", where={"domain": "attrition", "kind": "summary"}, k=3)
+    scans = found._jdf.queryExecution().executedPlan().toString()
+    assert scans.count("PartitionFilters: [isnotnull(domain") == scans.count("FileScan parquet") > 0
+    rows = found.orderBy("qid", "rank").collect()
+    assert {r["qid"] for r in rows} == {"a", "b", "c"}
+    assert all(r["chunk_id"].startswith("attrition.") and r["chunk_id"].endswith("summary") for r in rows)
+    texts = {r["chunk_id"]: r["text"] for r in collection.collect()}
+    vectors = {r["chunk_id"]: r["embedding"] for r in collection.collect()}
+    for qid, question in (("a", "Which department has the highest attrition rate?"), ("b", "attrition in India"), ("c", "")):
+        one = spark.createDataFrame([(question,)], "text string")
+        v = [float(x) for x in retrieval.embed(one, "text").first()["embedding"]]
+        scored = []
+        for c, u in vectors.items():
+            if c.startswith("attrition.") and c.endswith("summary"):
+                norm = sum(x * x for x in v) ** 0.5 * sum(x * x for x in u) ** 0.5
+                scored.append((-round(sum(x * y for x, y in zip(u, v)) / norm, 9) if norm else 0.0, c))
+        mine = [r for r in rows if r["qid"] == qid]
+        assert [r["chunk_id"] for r in mine] == [c for _, c in sorted(scored)[:3]][: len(mine)]
+        assert all(r["line"].endswith(texts[r["chunk_id"]]) for r in mine)
+        assert mine[-1]["used_chars"] <= retrieval.CONTEXT_CHARS
+    tight = insights.search_insights(collection, asked, question_id="qid", text="question", max_chars=10)
+    assert tight.count() == 0

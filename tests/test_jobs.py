@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from peoplelake.operators.quality import QualityGateError, Thresholds
 from peoplelake.plans import jobs
-from peoplelake.sources.lake import read_table, write_table
+from peoplelake.sources.lake import Lake, read_table, write_table
 from peoplelake.sources.log import parse_messages
 from tests.test_cleaning import FEED, feed_row
 from tests.test_log_and_lake import messages
@@ -87,3 +87,27 @@ def test_fact_jobs_and_detail_marts(spark, lake):
     write_table(versions.withColumn("ingest_date", F.lit(dt.date(2024, 6, 1))), lake.bronze(jobs.HRIS), "ingest_date")
     assert jobs.main(["--lake", lake.root, "--as-of", AS_OF, "gold", "--detail"], spark) == jobs.EXIT_OK
     assert read_table(spark, lake.gold("gold_headcount")).first()["avg_salary"] == 120.0
+
+
+def test_history_in_parts_equals_history_at_once(spark, lake, tmp_path):
+    def version(employee, day, pay):
+        return (employee, "IT", pay, pay > 100, dt.datetime(2024, 1, day))
+
+    ddl = "employee_id string, department string, base_salary double, is_active boolean, event_ts timestamp"
+    rows = [version("E1", 1, 100.0), version("E1", 5, 120.0), version("E1", 9, 130.0), version("E2", 3, 90.0), version(None, 4, 1.0)]
+    frames = [spark.createDataFrame(part, ddl) for part in ([rows[2], rows[3], rows[3]], [rows[0], rows[1], rows[2], rows[4]], [])]
+    whole = Lake(str(tmp_path / "whole"))
+    once = jobs.clean_versions(spark.createDataFrame(rows + rows, ddl).withColumn("offset", F.monotonically_increasing_id()), whole)
+    for frame in frames:  # late versions, overlaps, and nothing at all
+        parts = jobs.clean_versions(frame, lake, "merge")
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, once.collect()))
+    got = [(r["event_ts"].day, r["valid_to"] and r["valid_to"].day, r["is_current"])
+           for r in parts.filter("employee_id = 'E1'").orderBy("event_ts").collect()]
+    assert got == [(1, 5, False), (5, 9, False), (9, None, True)] and parts.count() == 4
+    # the command: raw rows to the history, which the detail marts then read
+    raw = spark.createDataFrame(rows, ddl).withColumn("ingest_date", F.lit(dt.date(2024, 6, 1)))
+    write_table(raw, whole.bronze(jobs.HRIS), "ingest_date")
+    assert jobs.main(["--lake", whole.root, "silver", "--stream", jobs.HRIS], spark) == jobs.EXIT_OK
+    again = read_table(spark, whole.silver(jobs.HISTORY))
+    assert again.count() == 4 and jobs.current_staff(again.withColumn("hire_date", F.col("event_ts").cast("date")).withColumn(
+        "termination_date", F.lit(None).cast("date")), AS_OF).count() == 2

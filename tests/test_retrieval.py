@@ -99,6 +99,16 @@ def test_hashed_vectors_match_term_counts_on_documents(spark):
         assert np.allclose(got[i], counts / np.linalg.norm(counts), atol=1e-6)
 
 
+def test_hashed_places_are_those_of_md5(spark):
+    import hashlib
+
+    got = rt.embed(spark.createDataFrame([("Ünder_the 42nd,\ttree the",)], "text string"), "text").first()["embedding"]
+    want = np.zeros(rt.DIMENSIONS)
+    for w in ["ünder", "the", "42nd", "tree", "the"]:
+        want[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % rt.DIMENSIONS] += 1
+    assert np.allclose(got, want / np.linalg.norm(want), atol=1e-7)
+
+
 def test_own_encoder_runs_in_batches(spark):
     def encoder(texts):
         assert len(texts) <= 4
