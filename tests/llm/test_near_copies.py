@@ -209,3 +209,44 @@ def test_embedding_copies_and_empty(spark):
     got = embeddings.near_vectors(frame).collect()
     assert len(got) == 52 and {(r["n_links"], r["component_id"]) for r in got} == {(51, 0)}
     assert embeddings.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_a_group_sends_few_rows_to_its_sample(spark):
+    """Spark limits the rows of a group in every task before the shuffle, so no task gets all vectors of a label."""
+    rows = spark.range(5000).selectExpr(
+        "int(id % 1) AS tree", "concat('a', id % 1) AS path", "id AS node", "array(id + 1F, 2F) AS vector", "1L AS held", "0 AS depth", "5000L AS size")
+    few = embeddings.sampled(rows)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+    assert few.count() == embeddings.SAMPLE and set(few.columns) == {"tree", "path", "vector", "depth", "size"}
+
+
+def test_embeddings_of_doubles_keep_their_digits(spark):
+    """A cosine just under the threshold in double precision that single precision would round to above it."""
+    def pair(cosine, length):
+        return [1.0, 0.0], [length * cosine, length * float(np.sqrt(1 - cosine * cosine))]
+
+    def cosine(a, b):
+        return float(np.dot(embeddings.unit([a])[0], embeddings.unit([b])[0]))
+
+    a, b = next(p for i in range(1, 2000) for p in [pair(embeddings.THRESHOLD - 1e-9, 1 + i / 1000)]
+                if cosine(*p) < embeddings.THRESHOLD <= cosine(*(np.float32(v) for v in p)))
+    for kind, links in (("double", 0), ("float", 1)):
+        frame = spark.createDataFrame([(1, a, 0), (2, b, 0)], f"vec_id bigint, embedding array<{kind}>, label int")
+        assert {r["n_links"] for r in embeddings.near_vectors(frame).collect()} == {links}
+
+
+@pytest.mark.parametrize("trees", [embeddings.TREES])
+def test_embedding_recall_at_the_threshold(spark, trees):
+    """4 000 vectors, each with one other at a cosine between 0.93 and 0.95, in trees with several levels of splits."""
+    rng = np.random.default_rng(3)
+    a, b = rng.standard_normal((2, 2000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (b * a).sum(axis=1, keepdims=True) * a
+    c = rng.uniform(0.9305, 0.95, size=(2000, 1))
+    both = np.concatenate([a, c * a + np.sqrt(1 - c * c) * b / np.linalg.norm(b, axis=1, keepdims=True)]).astype(np.float32)
+    unit = embeddings.unit(both)
+    want = int((unit @ unit.T >= embeddings.THRESHOLD).sum()) - len(unit)
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(both)], "vec_id bigint, embedding array<float>, label int")
+    found = embeddings.near_vectors(frame, trees=trees, leaf=64).agg({"n_links": "sum"}).first()[0]
+    assert 0.99 * want <= found <= want and want >= 4000
