@@ -9,8 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.llm.common import fresh, join_by_key, staged
+from peoplelake.llm.common import fresh, join_by_key, staged, union_all
 from peoplelake.session import scratch_path
+from peoplelake.sources import versions
 
 
 def digest(text: str | Column) -> Column:
@@ -18,18 +19,27 @@ def digest(text: str | Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary"), 256))
 
 
+#: Spark then trusts that a bucket of one file is sorted, as it was written, and merges it without sorting it again.
+SORTED_BUCKETS = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+#: Runs of an index from which they are merged into one.
+RUNS = 8
+
+
 @dataclass
 class DigestIndex:
-    """Table of known digests in ``path``: (digest, keep_id, batch), in a fixed number of hash buckets, sorted.
+    """Known digests in ``path``: (digest, keep_id, batch) in runs, one per batch, each in hash buckets of one sorted file.
 
     The number of buckets is chosen when the index is made (default: the session's shuffle partitions) and written
-    beside it, so every later session reads it with the layout it was written in.
+    beside it, so every later session reads it with the layout it was written in. Runs count once a small commit names them, so
+    a batch that died has added nothing and two writers can't undo each other. No digest is in two runs. ``open`` sets
+    SORTED_BUCKETS in the session.
     """
 
     spark: SparkSession
     path: str
-    name: str
     buckets: int
+    id_type: str
+    names: dict[str, str]
 
     @classmethod
     def open(cls, spark: SparkSession, path: str, buckets: int | None = None, id_type: str = "bigint") -> DigestIndex:
@@ -42,31 +52,62 @@ class DigestIndex:
                 raise
             made = (buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), id_type)
             spark.createDataFrame([made], layout).coalesce(1).write.parquet(f"{path}/layout")
-        name = f"digest_index_{uuid.uuid4().hex}"
-        place = f"{path}/digests".replace("'", r"\'")
-        spark.sql(
-            f"CREATE TABLE {name} (digest BINARY, keep_id {made[1]}, batch STRING) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {made[0]} BUCKETS LOCATION '{place}'"
-        )
-        return cls(spark, path, name, made[0])
+        spark.conf.set(SORTED_BUCKETS, "true")
+        return cls(spark, path, made[0], made[1], {})
+
+    def _run(self, folder: str) -> DataFrame:
+        """A run as a bucketed table; the name is the session's own."""
+        if folder not in self.names:
+            self.names[folder] = f"digest_run_{uuid.uuid4().hex}"
+            place = f"{self.path}/{folder}".replace("'", r"\'")
+            self.spark.sql(
+                f"CREATE TABLE {self.names[folder]} (digest BINARY, keep_id {self.id_type}, batch STRING) USING parquet "
+                f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{place}'")
+        return self.spark.table(self.names[folder])
+
+    def runs(self) -> list[DataFrame]:
+        state = versions.current(self.spark, self.path)
+        return [self._run(folder) for folder in state.folders] if state else []
 
     def table(self) -> DataFrame:
-        return self.spark.table(self.name)
+        """All known digests."""
+        empty = self.spark.createDataFrame([], f"digest binary, keep_id {self.id_type}, batch string")
+        return union_all(self.runs() or [empty])
+
+    def _write(self, rows: DataFrame) -> str:
+        folder = f"versions/{uuid.uuid4().hex}"
+        self._run(folder)
+        (rows.write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.names[folder]))
+        self.spark.catalog.refreshTable(self.names[folder])
+        return folder
 
     def append(self, groups: DataFrame, batch: str) -> None:
-        """Add the digests of ``groups`` (digest, keep_id; one row each) that the index lacks.
+        """Add the digests of ``groups`` (digest, keep_id; one row each) that the index lacks, as a run of their own.
 
-        The anti-join merges the sorted buckets with the new digests, of which alone there is a shuffle. Running a batch
-        again adds nothing.
+        The new digests are shuffled and sorted once and go through sort-merge anti-joins with every run, whose buckets are
+        neither shuffled nor sorted. Running a batch again adds nothing. From RUNS runs on they are merged into one.
         """
-        new = groups.select("digest", "keep_id").join(self.table().hint("merge"), "digest", "left_anti")
-        rows = new.select("digest", "keep_id", F.lit(batch).alias("batch"))
-        (rows.repartition(self.buckets, "digest").write.mode("append").format("parquet")
-         .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
+        before = versions.current(self.spark, self.path)
+        new = groups.select("digest", "keep_id").repartition(self.buckets, "digest")
+        for run in self.runs():
+            new = new.join(run.hint("merge"), "digest", "left_anti")
+        folders = (*(before.folders if before else ()), self._write(new.withColumn("batch", F.lit(batch))))
+        if len(folders) > RUNS:
+            folders = (self._write(union_all([self._run(f) for f in folders]).repartition(self.buckets, "digest")),)
+        schema = self._run(folders[-1]).schema.json()
+        versions.commit(self.spark, self.path, versions.Commit(before.number + 1 if before else 0, folders, schema))
+        versions.expire(self.spark, self.path)
+
+    def look_up(self, groups: DataFrame) -> DataFrame:
+        """``groups`` (digest, ...) with keep_id and batch of their digests, by sort-merge joins with every run."""
+        dealt = groups.repartition(self.buckets, "digest")
+        return union_all([dealt.join(run.hint("merge"), "digest") for run in self.runs()])
 
     def close(self) -> None:
-        """Forget the table name; the files stay."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        """Forget the table names; the files stay, and so do frames that read them."""
+        for name in self.names.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names = {}
 
 
 def dedup_report(
@@ -84,7 +125,7 @@ def dedup_report(
     groups = staged(
         rows.groupBy("digest").agg(F.max("id").alias("keep_id"), F.sum("copies").alias("group_size")), "dedup-groups")
     index.append(groups, batch)
-    facts = groups.drop("keep_id").join(index.table().hint("merge"), "digest")
+    facts = staged(index.look_up(groups.drop("keep_id")), "dedup-facts")
     out = join_by_key(rows, facts, "digest", "group_size")
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
     stays = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1) & (F.col("batch") == batch)
@@ -102,6 +143,7 @@ def drop_exact_copies(
     spark = docs.sparkSession
     index = index or DigestIndex.open(spark, scratch_path(spark, "digest-index"), id_type=docs.schema[id_col].dataType.simpleString())
     report = dedup_report(docs, index, batch, id_col, text_col)
+    index.close()
     mark, own = fresh("text_digest", docs.columns), fresh("own_id", docs.columns)
     keepers = staged(report.filter("kept").select(F.col(id_col).alias(own), F.col("digest").alias(mark)), "dedup-kept")
     marked = docs.withColumn(mark, digest(text_col))

@@ -44,6 +44,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     index = exact_dedup.DigestIndex.open(spark, scratch_path(spark, "digest-index"))
     report = exact_dedup.dedup_report(table(spark, folder, "documents"), index, "first")
+    index.close()
     return report.select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 

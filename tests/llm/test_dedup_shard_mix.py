@@ -54,13 +54,33 @@ def test_index_persists_and_later_batches_lose(spark, tmp_path):
     assert {(r["doc_id"], r["kept"]) for r in rows} == {(9, False), (8, True)} and again.table().count() == 3
 
 
-def test_index_is_merged_without_a_shuffle_of_its_own(spark, tmp_path):
-    index = exact_dedup.DigestIndex.open(spark, str(tmp_path / "index"), buckets=4)
-    exact_dedup.dedup_report(documents(spark, ODD), index, "one").collect()
-    new = documents(spark, ODD).select(exact_dedup.digest("text").alias("digest")).distinct()
-    plan = new.join(index.table().hint("merge"), "digest", "left_anti")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
-    assert not re.search(r"Exchange[^\n]*\n[^\n]*(Filter|Project|FileScan)[^\n]*\n?[^\n]*digest_index", plan)
+def test_index_is_merged_without_a_shuffle_or_sort_of_its_own(spark, tmp_path):
+    index = exact_dedup.DigestIndex.open(spark, str(tmp_path / "index"), buckets=3)  # not the session's shuffle partitions
+    for batch in range(3):
+        rows = [(i, f"text {i}", "s") for i in range(batch * 40, batch * 40 + 60)]
+        kept = exact_dedup.dedup_report(documents(spark, rows), index, str(batch)).filter("kept").collect()
+        assert {r["doc_id"] for r in kept} == {i for i, _, _ in rows if batch == 0 or i >= batch * 40 + 20}
+    assert len(index.runs()) == 3 and index.table().count() == 140
+    groups = documents(spark, ODD).select(exact_dedup.digest("text").alias("digest")).distinct()
+    new = groups.repartition(3, "digest")
+    for run in index.runs():
+        new = new.join(run.hint("merge"), "digest", "left_anti")
+    for found, sides in ((new, 1), (index.look_up(groups), 3)):  # only the new digests are sorted, once a branch
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == plan.count("Bucketed: true") == 3
+        assert plan.count("Sort [") == sides
+
+
+def test_runs_of_an_index_are_merged(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "RUNS", 2)
+    index = exact_dedup.DigestIndex.open(spark, str(tmp_path / "index"), buckets=2)
+    for batch in range(4):
+        exact_dedup.dedup_report(documents(spark, [(batch * 10 + i, f"t{batch * 2 + i}", "s") for i in range(3)]), index, str(batch)).collect()
+        assert len(index.runs()) <= 2
+    held = {bytes(r["digest"]): (r["keep_id"], r["batch"]) for r in index.table().collect()}
+    want = {hashlib.sha256(f"t{n}".encode()).digest(): n for n in range(9)}
+    assert held.keys() == want.keys() and index.table().count() == 9
+    assert held[hashlib.sha256(b"t2").digest()] == (2, "0") and held[hashlib.sha256(b"t3").digest()] == (11, "1")
 
 
 def test_exact_copies_are_dropped_whole(spark):
