@@ -190,3 +190,16 @@ def test_search_reads_only_the_wanted_partitions_and_packs(spark, built):
         assert mine[-1]["used_chars"] <= retrieval.CONTEXT_CHARS
     tight = insights.search_insights(collection, asked, question_id="qid", text="question", max_chars=10)
     assert tight.count() == 0
+
+
+def test_best_label_and_mean_of_means_at_ties(spark):
+    """A missing label or metric never beats a named one, and a mean of means that lies halfway is rounded up."""
+    tie = spark.createDataFrame([(None, 3.0), ("b", 3.0), ("a", 3.0), ("d", None), (None, 1.0), ("c", 1.0)], "department string, m double")
+    row = tie.agg(reports.best_by("department", "m").alias("hi"), reports.best_by("department", "m", False).alias("lo")).first()
+    assert (row["hi"], row["lo"]) == ("a", "c")
+    rated = spark.createDataFrame(
+        [(None, 10, 3.17, 1, 1), ("x", 4, 4.39, 1, 1), ("y", 10, 1.35, 1, 1)],
+        "department string, rated_employees bigint, avg_rating double, high_performers bigint, low_performers bigint")
+    strip = reports.kpi_performance(rated).first()
+    assert (strip["avg_rating"], strip["top_department"]) == (2.62, "x")  # 62.76 / 24 = 2.615
+    assert reports.kpi_performance(rated.limit(0)).first()["avg_rating"] == 0.0
