@@ -8,6 +8,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,8 +23,10 @@ BATCH_SIZE = 32
 DIMENSIONS = 384
 # Similarities are compared at nine decimals so that equal vectors tie exactly, whatever order a BLAS kernel used.
 SIMILARITY_DIGITS = 9
-# Queries of a block, or of a set that travels with the tasks: 4096 vectors of 384 doubles are 12 MB.
+# Queries scored at once, or rows of a side that travels with the tasks: 4096 vectors of 384 doubles are 12 MB.
 MAX_QUERY_SLICE = 4096
+# Corpus rows that a task holds where both sides are large: 16384 vectors of 384 doubles are 50 MB.
+TILE_ROWS = 16_384
 # Scores held at once by a task: 4M doubles are 32 MB.
 SCORE_CELLS = 4_000_000
 
@@ -61,11 +64,11 @@ def cosine_top_k(
 ) -> DataFrame:
     """Exact ``k`` nearest corpus rows per query: ``query_id, id, similarity, rank``.
 
-    The metadata filter runs first. Each corpus batch is scored against the query matrix with one matrix product and
-    only the best ``k`` per query of a task leave it, so pairs are never materialised and what is shuffled is
-    (tasks x queries x k) rows, whatever the corpus size. Ties go to the smaller id. A query set of one slice travels with the
-    tasks; a larger one is dealt into blocks that meet the corpus in a shuffle, see :func:`_grid_top_k`. Either way it is one
-    lazy plan with one corpus scan, and no query and no corpus row is left out. Query ids are taken to be unique.
+    The metadata filter runs first. Of a batch of rows scored together only the best ``k`` per query leave the task, so pairs
+    are never materialised. Ties go to the smaller id. A query set of at most ``slice_rows`` travels with the tasks and the
+    corpus streams past it. Otherwise the
+    two sides meet in a shuffle, see :func:`_grid_top_k`. Either way it is one lazy plan
+    with one scan of what streams, and no query and no corpus row is left out. Query ids are taken to be unique.
     Similarity is ``max(0, cosine)``; rows under ``min_similarity`` are dropped after the top-k, as in the filter order
     of a vector store.
     """
@@ -75,11 +78,11 @@ def cosine_top_k(
 
     spark = queries.sparkSession
     asked = queries.select(query_id, query_vector).filter(F.col(query_vector).isNotNull())
-    head = asked.limit(slice_rows + 1).toPandas()
-    if not len(head):
+    known = asked.limit(slice_rows + 1).count()
+    if not known:
         return spark.createDataFrame([], ddl + ", rank int")
-    if len(head) <= slice_rows:
-        ids, matrix = head[query_id].to_numpy(), _unit_rows(head[query_vector])
+    if known <= slice_rows:
+        ids, matrix = _shipped(asked, query_id, query_vector)
 
         def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held = None
@@ -102,47 +105,56 @@ def cosine_top_k(
     )
 
 
+def _shipped(frame: DataFrame, key: str, vector: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and unit vectors of a side that travels with the tasks; it comes to the driver as Arrow, not as Python numbers."""
+    side = frame.select(F.col(key).alias("key"), F.col(vector).alias("vector")).toArrow()
+    return side["key"].to_pandas().to_numpy(), _unit_rows(side["vector"].to_pandas())
+
+
 def _grid_top_k(
     rows: DataFrame, asked: DataFrame, id_col: str, vector_col: str, query_id: str, query_vector: str, k: int, slice_rows: int, ddl: str
 ) -> DataFrame:
-    """The best ``k`` corpus rows per query and task, for query sets of any size.
+    """The best ``k`` corpus rows per query and tile of the corpus, for sides of any size.
 
-    Queries are dealt into blocks of about ``slice_rows``, each of them one row; every corpus row is sent once to every block.
-    A cell of the grid is a query block with the corpus rows of one slot; slots only spread a block's corpus over tasks, and a
-    block goes once to each. Within a task the block of a cell comes first and the corpus streams past it, so a task holds
-    one block, one Arrow batch and ``k`` rows per query.
+    The corpus is dealt into tiles of about ``TILE_ROWS``, whatever the queries are. A cell of the grid is a tile with one part
+    of the queries: within a task the tile of a cell comes first and the queries stream past it, ``slice_rows`` of them at a
+    time, so a task holds one tile and one Arrow batch. There are as many parts as give every task a cell, one if there are
+    tiles enough: a corpus row is sent once to each part, a query once to each tile.
     """
-    blocks = -(-asked.count() // slice_rows)
-    slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    one = F.struct(F.col(query_id).alias("q"), F.col(query_vector).cast("array<double>").alias("v"))
-    dealt = asked.groupBy(F.pmod(F.xxhash64(query_id), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(one).alias("asked"))
-    dealt = dealt.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
-    sent = rows.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.pmod(F.xxhash64(id_col), F.lit(slots)).cast("int").alias("slot"),
-        F.col(id_col).alias("i"), F.col(vector_col).cast("array<double>").alias("v"))
-    both = dealt.withColumn("kind", F.lit(0)).unionByName(sent.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    cells = both.repartition("block", "slot").sortWithinPartitions("block", "slot", "kind")
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cell, ids, matrix, held = None, None, None, None
-        for batch in batches:
-            for key, part in batch.groupby(["block", "slot"], sort=False):
-                if key != cell:
-                    if held is not None:
-                        yield held.rename(columns={"q": query_id, "i": id_col})
-                    cell, ids, matrix, held = key, None, None, None
-                heads = part[part["kind"] == 0]
-                if len(heads):
-                    listed = heads["asked"].iloc[0]
-                    ids, matrix = pd.Series([x["q"] for x in listed]).to_numpy(), _unit_rows([x["v"] for x in listed])
-                tail = part[part["kind"] == 1]
-                if len(tail) and ids is not None:
-                    best = _best_of_batch(tail["i"].to_numpy(), _unit_rows(tail["v"]), ids, matrix, k)
-                    held = best if held is None else _best_of_both(held, best, k)
-        if held is not None:
-            yield held.rename(columns={"q": query_id, "i": id_col})
+    tiles = max(1, -(-rows.count() // TILE_ROWS))
+    parts = -(-int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // tiles)
 
-    return cells.select("block", "slot", "kind", "asked", "i", "v").mapInPandas(score, ddl)
+    def dealt(frame: DataFrame, key: str, vector: str, kind: int, own: str, own_count: int, other: str, other_count: int) -> DataFrame:
+        return frame.select(
+            F.lit(kind).alias("kind"), F.pmod(F.xxhash64(key), F.lit(own_count)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.lit(other_count - 1))).alias(other),
+            F.col(key).alias("i" if kind == 0 else "q"), F.col(vector).cast("array<double>").alias("v"))
+
+    both = dealt(rows, id_col, vector_col, 0, "tile", tiles, "part", parts).unionByName(
+        dealt(asked, query_id, query_vector, 1, "part", parts, "tile", tiles), allowMissingColumns=True)
+    cells = both.repartition("tile", "part").sortWithinPartitions("tile", "part", "kind")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, waiting, tile = None, [], None
+        for batch in batches:
+            keys = np.stack([batch.column(name).to_numpy() for name in ("tile", "part", "kind")], axis=1)
+            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1))) if len(keys) else keys[:0, 0]
+            for start, stop in zip(starts, [*starts[1:], len(keys)], strict=True):
+                if cell != (cell := tuple(keys[start, :2])):
+                    waiting, tile = [], None
+                piece = batch.slice(start, stop - start)
+                if keys[start, 2] == 0:
+                    waiting.append((piece.column("i").to_numpy(zero_copy_only=False), _unit_rows(piece.column("v").to_pandas())))
+                    continue
+                if waiting:
+                    tile, waiting = tuple(map(np.concatenate, zip(*waiting))), []
+                for some in (piece.slice(at, slice_rows) for at in range(0, len(piece) if tile else 0, slice_rows)):
+                    best = _best_of_batch(*tile, some.column("q").to_numpy(zero_copy_only=False), _unit_rows(some.column("v").to_pandas()), k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(best["q"], piece.column("q").type), pa.array(best["i"], piece.column("i").type), pa.array(best["similarity"])],
+                        names=[query_id, id_col, "similarity"])
+
+    return cells.select("tile", "part", "kind", "q", "i", "v").mapInArrow(score, ddl)
 
 
 def _best_of_both(one: pd.DataFrame, other: pd.DataFrame, k: int) -> pd.DataFrame:

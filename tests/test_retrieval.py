@@ -160,3 +160,22 @@ def test_twenty_thousand_queries_are_one_lazy_plan(spark):
             got.setdefault(r["query_id"], {})[r["rank"]] = r["id"]
         assert len(got) == 20_000
         assert all([got[f"q{i}"][rank] for rank in (1, 2, 3)] == row.tolist() for i, row in enumerate(want))
+
+
+@pytest.mark.parametrize("tile_rows", [16_384, 100])
+def test_grid_sends_the_corpus_to_a_few_cells_and_keeps_long_ids(spark, monkeypatch, tile_rows):
+    """What meets in the grid is a corpus row per part and a query per tile, however few queries are scored at once."""
+    monkeypatch.setattr(rt, "TILE_ROWS", tile_rows)
+    rng = np.random.default_rng(9)
+    base = (1 << 62) + 1  # beyond what a double can tell apart
+    corpus = [(base + i, v) for i, v in enumerate(np.round(rng.normal(size=(600, 6)), 2))]
+    asked = [(base + i, corpus[3 * i][1]) for i in range(200)]
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in corpus], "id bigint, v array<double>").repartition(3)
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in asked], "query_id bigint, query_vector array<double>")
+    hits = rt.cosine_top_k(c, q, id_col="id", vector_col="v", k=3, min_similarity=-1.0, slice_rows=2)
+    assert ids(hits) == brute(corpus, asked, 3)
+    # no hit is listed more than once per tile, whatever the number of blocks of two queries
+    grid = rt._grid_top_k(c, q, "id", "v", "query_id", "query_vector", 3, 2, "query_id bigint, id bigint, similarity double")
+    assert grid.count() <= 200 * 3 * -(-600 // tile_rows)
+    cells = grid._jdf.queryExecution().executedPlan().toString()
+    assert cells.count("Generate explode") == 2 and cells.count("Exchange hashpartitioning") == 1
