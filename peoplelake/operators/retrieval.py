@@ -66,8 +66,8 @@ def cosine_top_k(
 
     The metadata filter runs first. Of a batch of rows scored together only the best ``k`` per query leave the task, so pairs
     are never materialised. Ties go to the smaller id. A query set of at most ``slice_rows`` travels with the tasks and the
-    corpus streams past it. Otherwise the
-    two sides meet in a shuffle, see :func:`_grid_top_k`. Either way it is one lazy plan
+    corpus streams past it. Of a larger one, a corpus of at most ``slice_rows`` travels and the queries stream past that, and
+    nothing but results is shuffled. Two large sides meet in a shuffle, see :func:`_grid_top_k`. Either way it is one lazy plan
     with one scan of what streams, and no query and no corpus row is left out. Query ids are taken to be unique.
     Similarity is ``max(0, cosine)``; rows under ``min_similarity`` are dropped after the top-k, as in the filter order
     of a vector store.
@@ -94,6 +94,18 @@ def cosine_top_k(
                 yield held.rename(columns={"q": query_id, "i": id_col})
 
         found = rows.mapInPandas(score, ddl)
+    elif (few := rows.limit(slice_rows + 1).count()) <= slice_rows:
+        if not few:
+            return spark.createDataFrame([], ddl + ", rank int")
+        held_ids, held_rows = _shipped(rows, id_col, vector_col)
+
+        def rank(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    best = _best_of_batch(held_ids, held_rows, batch[query_id].to_numpy(), _unit_rows(batch[query_vector]), k)
+                    yield best.rename(columns={"q": query_id, "i": id_col})
+
+        found = asked.mapInPandas(rank, ddl)
     else:
         found = _grid_top_k(rows, asked, id_col, vector_col, query_id, query_vector, k, slice_rows, ddl)
     best = Window.partitionBy(query_id).orderBy(F.desc("similarity"), F.asc(id_col))

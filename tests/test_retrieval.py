@@ -179,3 +179,16 @@ def test_grid_sends_the_corpus_to_a_few_cells_and_keeps_long_ids(spark, monkeypa
     assert grid.count() <= 200 * 3 * -(-600 // tile_rows)
     cells = grid._jdf.queryExecution().executedPlan().toString()
     assert cells.count("Generate explode") == 2 and cells.count("Exchange hashpartitioning") == 1
+
+
+def test_a_small_corpus_travels_and_many_questions_stream(spark, vectors):
+    """Many questions of a small collection are not shuffled: one exchange, of results, is in the plan."""
+    corpus, _, c, _ = vectors
+    rng = np.random.default_rng(10)
+    asked = [(i, v) for i, v in enumerate(rng.normal(size=(600, 8)))]
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in asked], "query_id int, query_vector array<double>")
+    hits = rt.cosine_top_k(c, q, id_col="id", vector_col="v", k=4, min_similarity=-1.0, slice_rows=500)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "MapInPandas" in plan
+    assert ids(hits) == brute(corpus, asked, 4)
+    assert rt.cosine_top_k(c.limit(0), q, id_col="id", vector_col="v", slice_rows=500).count() == 0
