@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
@@ -9,6 +10,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -218,20 +220,30 @@ def pack_context(
 
 
 def hashing_vectors(df: DataFrame, text_col: str, output: str = "embedding", dimensions: int = DIMENSIONS) -> DataFrame:
-    """Model-free unit vectors: hashed term counts scaled to length one, computed in the JVM.
+    """Model-free unit vectors: hashed term counts scaled to length one.
 
     A term counts at the place that the first 32 bits of its MD5 digest give, modulo ``dimensions``, which any SQL engine can
-    state. Terms are runs of letters and digits in lower case; a text without any, or null, is the zero vector.
+    state. Terms are runs of letters and digits in lower case; a text without any, or null, is the zero vector. Texts are split
+    and counted by Arrow and numpy, a batch at a time; each different term of a batch is hashed once.
     """
-    from pyspark.ml.feature import CountVectorizerModel, Normalizer
-    from pyspark.ml.functions import vector_to_array
-
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    place = lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dimensions).cast("string")
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(dimensions)], inputCol="_places", outputCol="_counts")
-    counted = counter.transform(df.withColumn("_places", F.transform(words, place)))
-    unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counted)
-    return unit.withColumn(output, vector_to_array("_unit", "float32")).drop("_places", "_counts", "_unit")
+
+    def run(texts: pa.Array) -> pa.Array:
+        listed = pc.split_pattern_regex(texts, pattern=r"[^\p{L}\p{N}]+")
+        sizes = pc.list_value_length(listed).to_numpy(zero_copy_only=False)
+        terms = listed.flatten().dictionary_encode()
+        place = np.array(
+            [int.from_bytes(hashlib.md5(w.encode()).digest()[:4]) % dimensions if w else -1 for w in terms.dictionary.to_pylist()], np.int64)
+        at = place[terms.indices.to_numpy(zero_copy_only=False)] if len(place) else place
+        cell = np.repeat(np.arange(len(texts)) * dimensions, sizes) + at
+        counts = np.bincount(cell[at >= 0], minlength=len(texts) * dimensions).reshape(len(texts), dimensions)
+        length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        unit = np.divide(counts, length, out=np.zeros(counts.shape), where=length > 0).astype(np.float32)
+        starts = np.arange(len(texts) + 1, dtype=np.int32) * dimensions
+        return pa.ListArray.from_arrays(pa.array(starts), pa.array(unit.ravel()))
+
+    # arrow_udf reads the function type from the annotations, which are strings in this module.
+    run.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return df.withColumn(output, F.arrow_udf(run, "array<float>")(F.lower(F.coalesce(F.col(text_col), F.lit("")))))
 
 
 def embed(
