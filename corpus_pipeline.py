@@ -27,8 +27,11 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share four fifths of their five-word shingles, that with the smallest id stays."""
-    return simhash.drop_near_copies(docs)
+    """Of documents whose fingerprints differ in four bits or fewer, that with the smallest id stays: operator 6.
+
+    Documents that share four fifths of their five-word shingles differ in more bits; their links are added to those.
+    """
+    return simhash.drop_near_copies(docs, radius=simhash.RADIUS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -250,13 +250,26 @@ def set_links(nodes: np.ndarray, groups: np.ndarray, sides: np.ndarray, sets: li
     return nodes[ends[_forest(ends)]].reshape(-1, 2)
 
 
+def print_links(nodes: DataFrame, radius: int) -> DataFrame:
+    """(a, b): links that connect the same nodes of ``nodes`` (node, print) as all pairs of prints within ``radius``: every node
+    with the first of its print, and the firsts of prints that :func:`ball_links` links."""
+    firsts = staged(nodes.groupBy("print").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("held")), "print-firsts")
+    same = join_by_key(nodes.select("node", "print"), firsts, "print", "held").filter(F.col("node") != F.col("first"))
+    found = staged(ball_links(firsts.select(F.lit(0).alias("tab"), "print"), radius), "print-links")
+    ends = [firsts.select(F.col("print").alias(side), F.col("first").alias(f"first_{side}")) for side in ("a", "b")]
+    apart = found.join(ends[0], "a").join(ends[1], "b")
+    return staged(same.select(F.col("first").alias("a"), F.col("node").alias("b")).unionByName(
+        apart.select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))), "near-prints")
+
+
 def alike_texts(
     docs: DataFrame, width: int = 5, similarity: float = 0.8, bands: int = 24, rows: int = 5, few: int = 32, block: int = 256,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", radius: int | None = None,
 ) -> DataFrame:
     """(id, text_hash, component_id) per distinct (id, text) of ``docs``: component_id is the smallest id reachable over links.
 
-    Texts link whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity`` or more. At 0.8 one bit in
+    With a ``radius``, texts link first as in :func:`near_duplicates`: by fingerprints that differ in that many bits or fewer,
+    found by :func:`ball_links`. All else adds links to those. Texts link whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity`` or more. At 0.8 one bit in
     seven of a SimHash differs, too many for a ball that can be listed, so texts meet in cells of equal band keys of minima
     of their sets: a pair at 0.8 has no cell in common in 1 case of 14 000, nearer pairs more seldom. First each text is
     compared with one of each of its first cells, which joins most copies. Then every pair of a cell that these links have
@@ -271,12 +284,16 @@ def alike_texts(
     def sign(batches):
         for batch in batches:
             found = [band_keys(shingle_hashes(t.as_py(), width), bands, rows).tolist() for t in batch.column(2)]
+            prints = [0 if radius is None else fingerprint(t.as_py()) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(found, pa.list_(pa.int64()))], names=["id", "text_hash", "keys"])
+                [*batch.columns[:2], pa.array(found, pa.list_(pa.int64())), pa.array(np.array(prints, np.uint64).view(np.int64))],
+                names=["id", "text_hash", "keys", "print"])
 
-    schema = T.StructType([*keyed.schema.fields[:2], T.StructField("keys", T.ArrayType(T.LongType()))])
+    schema = T.StructType(
+        [*keyed.schema.fields[:2], T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("print", T.LongType())])
     signed = staged(keyed.mapInArrow(sign, schema), "signed")
     nodes = staged(signed.dropDuplicates(["id", "text_hash"]).withColumn("node", F.monotonically_increasing_id()), "signed-nodes")
+    near = print_links(nodes, radius) if radius is not None else nodes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
     cells = nodes.select("node", F.posexplode("keys").alias("band", "cell"))
     # of each cell a node that differs from band to band; cells of one node are left out
     heads = staged(cells.groupBy("cell").agg(
@@ -312,7 +329,7 @@ def alike_texts(
         return both.filter(jaccard("sx", "sy") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
     first = cells.filter((F.col("band") < FIRST_BANDS) & (F.col("node") != F.col("head")))
-    links = staged(checked(first.select(F.col("node").alias("x"), F.col("head").alias("y"))), "first-links")
+    links = staged(checked(first.select(F.col("node").alias("x"), F.col("head").alias("y"))).unionByName(near), "first-links")
     joined = staged(components(links), "joined")
     grouped = staged(cells.join(joined, "node", "left").select(
         "cell", "node", F.coalesce("component", "node").alias("group")), "grouped")

@@ -250,3 +250,27 @@ def test_embedding_recall_at_the_threshold(spark, trees):
     frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(both)], "vec_id bigint, embedding array<float>, label int")
     found = embeddings.near_vectors(frame, trees=trees, leaf=64).agg({"n_links": "sum"}).first()[0]
     assert 0.99 * want <= found <= want and want >= 4000
+
+
+def test_pipeline_links_by_fingerprint_first(spark):
+    """Every link of operator 6 counts in the pipeline's stage, and those of alike sets beside them."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(40)]
+    rows = [(n, " ".join([words[n % 40]] * 3)) for n in range(4)]
+    long = [f"v{i}" for i in range(40)]
+    line = "one line that comes often in a text and settles bits".split() * 30
+    for n in range(6):  # the repeated line settles the bits, the sets share little
+        rows.append((10 + n, " ".join(line + [f"own{n}x{i}" for i in range(30)])))
+    rows += [(20, " ".join(long)), (21, " ".join(long[:38] + ["else", "where"])), (22, " ".join(long[:20]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    prints = {i: plain_fingerprint(t) for i, t in rows}
+    sets = {i: {tuple(w) for w in zip(*(t.split()[k:] for k in range(5)), strict=False)} or {tuple(t.split())} for i, t in rows}
+    by_print = [(a, b) for a, _ in rows for b, _ in rows if a < b and (prints[a] ^ prints[b]).bit_count() <= 4]
+    by_set = [(a, b) for a, _ in rows for b, _ in rows if a < b and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8]
+    assert set(by_print) - set(by_set)
+    want = least_reachable([i for i, _ in rows], by_print + by_set)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()}
+    assert kept == set(want.values())
+    assert corpus_pipeline.near_dedup_stage(spark, docs.limit(0), "").count() == 0
