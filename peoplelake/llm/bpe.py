@@ -14,6 +14,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -22,8 +23,10 @@ from pyspark.sql import types as T
 from peoplelake.llm.common import ship
 from peoplelake.llm.merging import BitmapOfRanks, Remembered, Strings, merge_all, packed, pair_table, slices
 
-#: Chunks and pieces that a worker remembers in each generation. Results don't depend on it.
-CACHE = 1 << 18
+#: Chunks and pieces that a worker remembers in each generation, and bytes of text that it encodes together. Idle workers keep
+#: much of what a task took, and an executor has several, so both bound what it holds. Results depend on neither.
+CACHE = 1 << 17
+PART = 1 << 21
 #: White space as the pattern's ``\s`` has it; the standard ``re`` counts four control characters more.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Stretches that the split pattern can never match across: a word with the blank before it, or white space.
@@ -194,13 +197,25 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text
     return docs.select(*kept, text_col).mapInArrow(lambda batches: _encoded(batches, name, pattern, out), schema)
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """All rows of a batch, in runs with up to PART bytes in the last column, a text; a longer text comes alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = before = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, before + PART, side="right")))
+        yield batch.slice(at, stop - at)
+        at, before = stop, int(ends[stop - 1])
+
+
 def _encoded_texts(batches, name: str, pattern: str):
-    """(batch, ids of its last column, a text). What the encoder remembers goes with the task, as idle workers keep their
-    memory."""
+    """(rows, ids of their last column, a text), a part of a batch at a time. What the encoder remembers goes with the task, as
+    idle workers keep their memory."""
     encoder = _encoder(name, pattern)
     try:
         for batch in batches:
-            yield batch, list(encoder.encode_all([t.as_py() or "" for t in batch.column(batch.num_columns - 1)]))
+            for part in _parts(batch):
+                yield part, list(encoder.encode_all([t or "" for t in part.column(part.num_columns - 1).to_pylist()]))
     finally:
         encoder.forget()
 

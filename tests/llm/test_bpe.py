@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -61,6 +62,20 @@ def test_a_full_cache_changes_nothing(public, monkeypatch):
     assert len(encoder.chunks) <= 2
 
 
+def test_a_batch_is_encoded_in_parts(public, monkeypatch):
+    monkeypatch.setattr(bpe, "PART", 2000, raising=False)
+    monkeypatch.setitem(bpe._ENCODERS, ("parts", PATTERN), bpe.Encoder(public[0], PATTERN))
+    texts = ODD + ["é" * 700, None, "", "one two " * 100]
+    for kind in (pa.string(), pa.large_string()):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, kind)], names=["doc_id", "text"])
+        parts = list(bpe._encoded([batch.slice(0, 0), batch, batch.slice(3, 2)], "parts", PATTERN, "ids"))
+        sizes = [sum(len((texts[i] or "").encode()) for i in p.column(0).to_pylist()) for p in parts]
+        assert len(parts) > 3 and all(size <= 2000 or p.num_rows == 1 for size, p in zip(sizes, parts))
+        assert [x for p in parts for x in p.column(0).to_pylist()] == [*range(len(texts)), 3, 4]
+        assert [x for p in parts for x in p.column(1).to_pylist()] == [
+            public[1].encode_ordinary(t or "") for t in [*texts, *texts[3:5]]]
+
+
 def test_frames_round_trip(spark, public):
     rows = [(i, t, "n", "kept") for i, t in enumerate(ODD)] + [(1, "", "n", "kept")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string, ids string")
