@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peoplelake.operators.latest import latest_per_key, mark_current, upsert
+from peoplelake.operators.latest import latest_across, mark_current, upsert
 from peoplelake.operators.quality import QualityGateError, RawCounts, Thresholds, enforce, quality_report
 from peoplelake.operators.retrieval import Encoder, embed
 from peoplelake.operators.sequences import version_intervals
@@ -48,7 +48,7 @@ def merged(existing: DataFrame | None, new: DataFrame, keys: Sequence[str], newe
     if existing is None:
         return new
     both = existing.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)))
-    return latest_per_key(both, keys, [newest_by, "_batch"]).drop("_batch")
+    return latest_across(both, keys, [newest_by, "_batch"]).drop("_batch")
 
 
 def clean_employees(

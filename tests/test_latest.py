@@ -1,6 +1,8 @@
 import datetime as dt
 
 from peoplelake.operators.latest import latest_per_key, mark_current, upsert
+from peoplelake.plans import jobs
+from peoplelake.sources import versions
 
 DDL = "k string, ts int, offset int, v string"
 
@@ -26,6 +28,24 @@ def test_hot_key_is_cut_down_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan[exchange:], plan
 
 
+def test_merged_tables_are_shuffled_and_sorted_once(spark, tmp_path):
+    old = spark.createDataFrame(
+        [("a", 1, "old"), ("b", 5, "late"), ("c", None, "undated"), ("d", None, "undated"), ("e", 2, "dated"), ("f", 1, "alone"),
+         (None, 1, "old")], "k string, ts int, v string")
+    new = spark.createDataFrame(
+        [("a", 1, "tie"), ("b", 4, "early"), ("c", 0, "dated"), ("d", None, "tie"), ("e", None, "undated"), ("g", None, "alone"),
+         (None, 2, "new")], "k string, ts int, v string")
+    path = str(tmp_path / "table")
+    for batch in (old, new):
+        versions.upsert_version(batch, path, ["k"], "ts")
+    for both in (jobs.merged(old, new, ["k"], "ts"), versions.read_current(spark, path)):
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(k") == 1 and "Sort" not in plan[plan.index("Exchange"):], plan
+        assert {r["k"]: r["v"] for r in both.collect()} == {
+            "a": "tie", "b": "late", "c": "dated", "d": "tie", "e": "dated", "f": "alone", "g": "alone", None: "new"}
+        assert both.count() == 8
+
+
 def test_current_version_contract(spark):
     df = spark.createDataFrame(
         [("E1", "SDE", dt.datetime(2026, 1, 1)), ("E1", "SDE-2", dt.datetime(2026, 4, 1)), ("E2", "QA", dt.datetime(2026, 1, 1))],
