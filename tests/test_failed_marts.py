@@ -6,7 +6,7 @@ import pytest
 
 from peoplelake import queries
 from peoplelake.bindings import Tables, employees
-from peoplelake.plans import gold
+from peoplelake.plans import catalog
 
 
 @pytest.fixture
@@ -35,6 +35,19 @@ def test_rows_of_a_failed_mart_are_not_left_out(tables, monkeypatch):
     assert narrated(tables, "insight_rows") == 13  # the failed build is not kept
 
 
+@pytest.mark.parametrize("lost", ["performance/vs_salary", "workforce/by_country"])
+def test_summaries_of_absent_marts_are_not_left_out(tables, monkeypatch, lost):
+    with monkeypatch.context() as broken:
+        if lost.startswith("performance"):  # fails in the build
+            broken.setattr(queries, "written_employees", lambda t: employees(t).drop("salary"))
+        else:  # is written and can't be found again
+            load = catalog.load_marts
+            broken.setattr(catalog, "load_marts", lambda *found: {n: m for n, m in load(*found).items() if n != lost})
+        with pytest.raises(RuntimeError, match=lost):
+            narrated(tables, "insight_summaries")
+    assert narrated(tables, "insight_summaries") == 14
+
+
 def test_health_and_views_of_a_failed_build(tables, monkeypatch):
     monkeypatch.setattr(queries, "written_employees", lambda t: employees(t).drop("salary"))
     health = {r["artefact"]: r["present"] for r in queries.lake_health(tables).collect()}
